@@ -42,3 +42,30 @@ def flattened_target(t: Tables, domain: list[str]) -> DataFrame:
     from ledgerloom.operators.flatten import category_flatten
     old = events(t).where(F.col("o_orderdate") < ntz(NEW_EVENTS_FROM))
     return category_flatten(old, event_categories(t), categories(t), domain)
+
+
+# ---- ranked duplicate pruning ----------------------------------------------
+
+DEPOSIT_FROM = "2000-06-01"
+
+
+def card_holder_keys(t: Tables) -> DataFrame:
+    """Master card holders, key only: customers."""
+    return t.customer.select(F.col("c_custkey").alias("entryid"))
+
+
+def deposit_ids(t: Tables) -> DataFrame:
+    """Deposit ids: recent finished orders; entry = customer, id = order."""
+    o = t.orders
+    return (o.where((F.col("o_orderdate") >= ntz(DEPOSIT_FROM)) & (F.col("o_orderstatus") == "F"))
+            .select(F.col("o_custkey").alias("Entryid"),
+                    F.col("o_orderkey").cast("string").alias("ShortDepositID"),
+                    F.col("o_orderkey").alias("FullDepositID"),
+                    F.col("o_orderkey").alias("EncryptedDepositID"),
+                    F.col("o_orderdate").alias("createdate")))
+
+
+def deposit_usage(t: Tables) -> DataFrame:
+    """Direct deposit records: returned line items, account = order."""
+    return (t.lineitem.where(F.col("l_returnflag") == "R")
+            .select(F.col("l_orderkey").alias("dfiaccountno")))
