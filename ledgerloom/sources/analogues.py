@@ -69,3 +69,36 @@ def deposit_usage(t: Tables) -> DataFrame:
     """Direct deposit records: returned line items, account = order."""
     return (t.lineitem.where(F.col("l_returnflag") == "R")
             .select(F.col("l_orderkey").alias("dfiaccountno")))
+
+
+# ---- incremental loads -----------------------------------------------------
+
+CHANGED_FROM = "2001-01-01"
+
+
+def loaded_accounts(t: Tables) -> DataFrame:
+    """An Accounts target loaded by an earlier run: orders before the cut,
+    Modified stored in UTC as the loads do."""
+    from ledgerloom.functions.exprs import to_utc
+    return (t.orders.where(F.col("o_orderdate") < ntz(CHANGED_FROM))
+            .select(F.col("o_orderkey").alias("Id"), to_utc("o_orderdate").alias("Modified")))
+
+
+def existing_accounts(t: Tables) -> DataFrame:
+    """Accounts already in the target: every priority but the lowest."""
+    return (t.orders.where(F.col("o_orderpriority") != "5-LOW")
+            .select(F.col("o_orderkey").alias("Id"), F.col("o_orderstatus").alias("Status"),
+                    F.col("o_orderdate").alias("Modified"), F.lit("target").alias("loaded_by")))
+
+
+def reloaded_accounts(t: Tables) -> DataFrame:
+    """Re-derived rows for changed accounts that still qualify (not pending)."""
+    return (t.orders.where((F.col("o_orderdate") >= ntz(CHANGED_FROM))
+                           & (F.col("o_orderstatus") != "P"))
+            .select(F.col("o_orderkey").alias("Id"), F.col("o_orderstatus").alias("Status"),
+                    F.col("o_orderdate").alias("Modified"), F.lit("reload").alias("loaded_by")))
+
+
+def changed_account_keys(t: Tables) -> DataFrame:
+    return (t.orders.where(F.col("o_orderdate") >= ntz(CHANGED_FROM))
+            .select(F.col("o_orderkey").alias("Id")))
