@@ -15,6 +15,10 @@ holds a third of the data, that task holds a third of the data. The
 4. Join back on (partition, key): the hot key is spread over its partitions,
    so the join is balanced.
 
+The numbered rows are checkpointed between 2 and 3: the stats and the join
+must read the same partition bounds, and a second evaluation of the range
+exchange could sample different ones.
+
 Dense rank is row number over the distinct (keys, order values), joined
 back on those values. Ties keep their order only if the caller adds a unique
 last key, which every job here does.
@@ -56,6 +60,11 @@ def _range_row_number(df: DataFrame, keys, order, out, partitions: int) -> DataF
                .sortWithinPartitions(*sort)
                .withColumn("_ll_rid", F.monotonically_increasing_id())
                .withColumn("_ll_pid", F.spark_partition_id()))
+    # Both branches below must see the same partition bounds and row ids;
+    # re-running the range exchange may sample different bounds, so the
+    # numbered rows are written once to the checkpoint folder (a reliable,
+    # shared location that also survives executor loss).
+    ordered = ordered.checkpoint(eager=True)
     key_alias = [f"_ll_k{i}" for i in range(len(keys))]
     stats = (ordered.groupBy("_ll_pid", *keys)
              .agg(F.min("_ll_rid").alias("_ll_first"), F.count(F.lit(1)).alias("_ll_cnt")))

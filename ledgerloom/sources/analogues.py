@@ -102,3 +102,120 @@ def reloaded_accounts(t: Tables) -> DataFrame:
 def changed_account_keys(t: Tables) -> DataFrame:
     return (t.orders.where(F.col("o_orderdate") >= ntz(CHANGED_FROM))
             .select(F.col("o_orderkey").alias("Id")))
+
+
+# ---- qualification (customer-level master) ---------------------------------
+
+EXP_DATE = "2001-06-15"
+
+
+def customer_master(t: Tables) -> DataFrame:
+    """Card holders as customers: person = nation, BUILDING accounts are
+    type 2 (secondary), HOUSEHOLD accounts are closed (status 6)."""
+    c = t.customer
+    seg = F.col("c_mktsegment")
+    return c.select(
+        "*",
+        F.col("c_custkey").alias("entryid"),
+        F.col("c_nationkey").cast("string").alias("ssn"),
+        F.col("c_name").alias("firstname"),
+        F.when(seg == "BUILDING", 2).otherwise(1).alias("AccountTypeId"),
+        F.when(seg == "HOUSEHOLD", 6).otherwise(1).alias("accountstatus"),
+        F.col("c_custkey").alias("provideraccountID"))
+
+
+def open_cards(t: Tables) -> DataFrame:
+    """Cards: open orders; expiry = order month."""
+    return (t.orders.where(F.col("o_orderstatus") == "O")
+            .select(F.col("o_orderkey").alias("cardid"),
+                    F.col("o_custkey").alias("cardholderid"),
+                    F.month("o_orderdate").alias("expmonth"),
+                    F.year("o_orderdate").alias("expyear"),
+                    F.col("o_orderkey").alias("externalcardid")))
+
+
+def _cents(c):
+    return F.round(F.col(c) * 100).cast("bigint")
+
+
+def ledger_balances(t: Tables) -> DataFrame:
+    """Ledger balances: a customer's negative balance is outstanding, else 0."""
+    bal = F.when(F.col("c_acctbal") < 0, _cents("c_acctbal")).otherwise(F.lit(0).cast("bigint"))
+    return t.customer.select(F.col("c_custkey").alias("UserAccountID"),
+                             bal.alias("UserLedgerBalance"), bal.alias("UserAvailableBalance"))
+
+
+def order_balances(t: Tables) -> DataFrame:
+    """Balance rows: finished orders since DEPOSIT_FROM, amount in cents."""
+    o = t.orders.where((F.col("o_orderdate") >= ntz(DEPOSIT_FROM))
+                       & (F.col("o_orderstatus") == "F"))
+    return o.select(F.col("o_custkey").alias("UserAccountID"),
+                    _cents("o_totalprice").alias("UserAvailableBalance"),
+                    _cents("o_totalprice").alias("UserLedgerBalance"))
+
+
+def ordering_customers(t: Tables, before: bool) -> DataFrame:
+    """Run snapshots: customers ordering before / from CHANGED_FROM."""
+    d = F.col("o_orderdate")
+    cond = d < ntz(CHANGED_FROM) if before else d >= ntz(CHANGED_FROM)
+    return t.orders.where(cond).select(F.col("o_custkey").alias("entryid"))
+
+
+def existing_lookup(t: Tables) -> DataFrame:
+    """Deposit-id lookup rows already present: the AUTOMOBILE customers."""
+    return (t.customer.where(F.col("c_mktsegment") == "AUTOMOBILE")
+            .select(F.col("c_custkey").alias("entryid")))
+
+
+# ---- conversion (order-level master: one account per order) ----------------
+
+
+def accounts_master(t: Tables) -> DataFrame:
+    """Legacy master rows, one account per order, person = customer.
+
+    The active card of an account is the customer's newest order; the
+    provider key is junk ('K'+key or blanks) for two rare order kinds.
+    """
+    o, c, n = t.orders, t.customer, t.nation
+    newest = (o.groupBy(F.col("o_custkey").alias("_ck"))
+              .agg(F.max_by("o_orderkey", F.struct("o_orderdate", "o_orderkey"))
+                   .alias("ActiveCardID")))
+    status, prio = F.col("o_orderstatus"), F.col("o_orderpriority")
+    key_text = F.col("o_orderkey").cast("string")
+    provider = (F.when((status == "P") & (prio == "5-LOW"), F.concat(F.lit("K"), key_text))
+                .when((status == "P") & (prio == "4-NOT SPECIFIED"), F.lit("  "))
+                .otherwise(key_text))
+    j = (o.join(c, o["o_custkey"] == c["c_custkey"])
+         .join(n, c["c_nationkey"] == n["n_nationkey"])
+         .join(newest, o["o_custkey"] == newest["_ck"]))
+    return j.select(
+        F.col("o_orderkey").alias("entryid"),
+        F.lit(1).alias("programid"),
+        F.col("o_custkey").alias("clientkey"),
+        provider.alias("providerkey"),
+        F.col("c_name").alias("firstname"),
+        F.col("c_mktsegment").alias("lastname"),
+        F.col("c_name").alias("address1"),
+        F.when(status == "F", F.lit("   ")).otherwise(prio).alias("address2"),
+        status.alias("address3"),
+        F.col("n_name").alias("city"),
+        F.col("n_name").alias("state"),
+        F.concat(F.lpad(F.col("c_nationkey").cast("string"), 5, "0"), F.lit("-"),
+                 F.substring(prio, 1, 1)).alias("zip"),
+        F.when(status == "O", F.concat(F.lower("c_name"), F.lit("@mail.test")))
+         .otherwise(F.lit("")).alias("email"),
+        F.concat(F.lit("555"), F.col("o_custkey").cast("string")).alias("telephone"),
+        F.when(prio == "1-URGENT", F.concat(F.lit("1"), key_text)).alias("celltel"),
+        F.col("o_custkey").cast("string").alias("ssn"),
+        F.col("o_orderdate").alias("dob"),
+        F.when(status == "F", 6).when(status == "O", 1).otherwise(2).alias("accountstatus"),
+        F.col("o_orderdate").alias("created"),
+        _cents("o_totalprice").alias("availablebalance"),
+        _cents("o_totalprice").alias("ledgerbalance"),
+        F.col("o_orderdate").alias("activateddate"),
+        F.col("o_orderdate").alias("CreateDate"),
+        F.col("o_orderdate").alias("LastUpdateDate"),
+        F.col("o_orderkey").alias("provideraccountID"),
+        "ActiveCardID",
+        F.col("o_orderkey").alias("LastFeePlanChangeID"),
+        F.substring(prio, 1, 1).cast("int").alias("AccountTypeId"))
