@@ -219,3 +219,145 @@ def accounts_master(t: Tables) -> DataFrame:
         "ActiveCardID",
         F.col("o_orderkey").alias("LastFeePlanChangeID"),
         F.substring(prio, 1, 1).cast("int").alias("AccountTypeId"))
+
+
+def _digit(c: str):
+    return F.substring(F.col(c), 1, 1).cast("int")
+
+
+def applications(t: Tables) -> DataFrame:
+    """Applications: one per order; finished orders are approved (status 7);
+    birth-date parts from the order date 30 years back (29 Feb -> invalid)."""
+    o = t.orders
+    return o.select(F.col("o_orderkey").alias("applicationid"),
+                    F.col("o_custkey").alias("clientkey"),
+                    F.when(F.col("o_orderstatus") == "F", 7).otherwise(1).alias("status"),
+                    F.col("o_orderdate").alias("submitted"),
+                    (F.year("o_orderdate") - 30).alias("year"),
+                    F.month("o_orderdate").alias("month"),
+                    F.dayofmonth("o_orderdate").alias("day"))
+
+
+def fee_plans(t: Tables) -> DataFrame:
+    """Fee plan changes: one per order, plan id = priority digit."""
+    return t.orders.select(F.col("o_orderkey").alias("FeePlanChangeID"),
+                           _digit("o_orderpriority").alias("FeePlanID"))
+
+
+def deposit_lookup(t: Tables) -> DataFrame:
+    """Deposit-id lookup of the accounts: finished orders, 20-character ids."""
+    o = t.orders.where(F.col("o_orderstatus") == "F")
+    return o.select(F.col("o_orderkey").alias("entryid"),
+                    F.concat(F.lpad(F.col("o_custkey").cast("string"), 10, "0"),
+                             F.lpad(F.col("o_orderkey").cast("string"), 10, "0"))
+                    .alias("FullDepositID"))
+
+
+BALANCES_LOADED_BEFORE = "2000-01-01"
+AS_OF = "2001-09-01 00:00:00"
+
+
+def account_balances(t: Tables) -> DataFrame:
+    """Account balances: finished orders, in cents."""
+    o = t.orders.where(F.col("o_orderstatus") == "F")
+    return o.select(F.col("o_orderkey").alias("UserAccountID"),
+                    _cents("o_totalprice").alias("UserAvailableBalance"),
+                    _cents("o_totalprice").alias("UserLedgerBalance"),
+                    F.col("o_orderkey").alias("TransactionID"),
+                    F.col("o_orderdate").alias("TransactionTime"),
+                    F.col("o_orderdate").alias("CreateDate"),
+                    F.col("o_orderdate").alias("LastUpdateDate"))
+
+
+def loaded_balances(t: Tables) -> DataFrame:
+    """AccountBalances target of an earlier run (balances before 2000)."""
+    from ledgerloom.functions.exprs import to_utc
+    b = account_balances(t).where(F.col("TransactionTime") < ntz(BALANCES_LOADED_BEFORE))
+    return b.select(F.col("UserAccountID").alias("Id"),
+                    to_utc("TransactionTime").alias("EffectiveDate"))
+
+
+def legacy_mapping(t: Tables) -> DataFrame:
+    """Legacy account -> card holder mapping: order -> customer."""
+    return t.orders.select(F.col("o_orderkey").alias("Account_ID"),
+                           F.col("o_custkey").alias("Cardholder_ID"))
+
+
+def existing_mapping(t: Tables) -> DataFrame:
+    """AccountCardholders already loaded: the high-priority orders."""
+    return (t.orders.where(F.col("o_orderpriority") == "2-HIGH")
+            .select(F.col("o_orderkey").alias("Account_Id"),
+                    F.col("o_custkey").alias("Cardholder_Id")))
+
+
+def cards(t: Tables) -> DataFrame:
+    """Cards: one per order (card holder = the account); status O/P/F -> 1/2/3."""
+    o = t.orders
+    return o.select(
+        F.col("o_orderkey").alias("cardid"),
+        F.col("o_orderkey").alias("cardholderid"),
+        F.month("o_orderdate").alias("expmonth"),
+        (F.year("o_orderdate") + 3).alias("expyear"),
+        F.col("o_orderkey").alias("externalcardid"),
+        F.col("o_orderdate").alias("LastUpdateDate"),
+        F.col("o_orderdate").alias("CreateDate"),
+        F.col("o_orderdate").alias("created"),
+        F.col("o_orderdate").alias("IssueDate"),
+        F.concat(F.lit("CARDHOLDER NAME FOR CUSTOMER "), F.col("o_custkey").cast("string"))
+         .alias("nameoncard"),
+        F.when(F.col("o_orderstatus") == "O", 1).when(F.col("o_orderstatus") == "P", 2)
+         .otherwise(3).alias("cardstatus"),
+        (_digit("o_orderpriority") - 1).alias("IssuanceState"),
+        (_digit("o_orderpriority") - 1).alias("MaterialID"))
+
+
+def card_materials(t: Tables) -> DataFrame:
+    return t.region.select(F.col("r_regionkey").alias("MaterialID"),
+                           F.col("r_regionkey").alias("PlasticTypeID"))
+
+
+def plastic_types(t: Tables) -> DataFrame:
+    return t.region.select(F.col("r_regionkey").alias("PlasticTypeID"))
+
+
+def pin_sets(t: Tables) -> DataFrame:
+    """Pin-set events: accepted line items of the order."""
+    return (t.lineitem.where(F.col("l_returnflag") == "A")
+            .select(F.col("l_orderkey").alias("cardid"), F.col("l_shipdate").alias("asofdate")))
+
+
+def status_history(t: Tables) -> DataFrame:
+    """Card status history: line items; block reason = line number."""
+    return t.lineitem.select(F.col("l_orderkey").alias("cardid"),
+                             F.col("l_linenumber").alias("blockreasonid"),
+                             F.col("l_shipdate").alias("changeddate"))
+
+
+def pans(t: Tables) -> DataFrame:
+    """Card numbers on file: orders with returned items; 19-character PAN."""
+    r = t.lineitem.where(F.col("l_returnflag") == "R")
+    return (r.groupBy(F.col("l_orderkey").alias("externalcardid"))
+            .agg(F.count(F.lit(1)).alias("_n"))
+            .select("externalcardid",
+                    F.concat(F.lpad(F.col("externalcardid").cast("string"), 12, "0"),
+                             F.lpad(F.col("_n").cast("string"), 7, "0")).alias("PAN")))
+
+
+def card_requests(t: Tables) -> DataFrame:
+    """Card requests: one per order; delivery type = priority digit."""
+    return t.orders.select(F.col("o_orderkey").alias("CardRequestID"),
+                           F.col("o_orderkey").alias("EntryID"),
+                           _digit("o_orderpriority").alias("DeliveryTypeID"),
+                           F.col("o_orderdate").alias("CreateDate"),
+                           F.col("o_orderdate").alias("LastUpdateDate"))
+
+
+def request_histories(t: Tables) -> DataFrame:
+    """Requests already converted: the finished orders."""
+    return t.orders.where(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("id"))
+
+
+def states(t: Tables) -> DataFrame:
+    """State lookup: nations outside region 0 (the rest fall back to 999)."""
+    return (t.nation.where(F.col("n_regionkey") != 0)
+            .select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("value")))
