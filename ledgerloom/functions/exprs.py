@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from decimal import Decimal
 
 from pyspark.sql import Column
@@ -85,6 +86,12 @@ def person_ok(ssn="ssn", first_name="firstname") -> Column:
             & (F.rtrim(f) != F.lit(cm.SENTINEL_FIRST_NAME)))
 
 
-def ntz(text: str) -> Column:
-    """TIMESTAMP_NTZ literal (a plain literal keeps parquet pushdown)."""
-    return F.lit(text).cast("timestamp_ntz")
+def ntz(value) -> Column:
+    """TIMESTAMP_NTZ literal (a plain literal keeps parquet pushdown).
+
+    A Python datetime goes through its text form, so the session and driver
+    time zones never shift it.
+    """
+    if isinstance(value, dt.datetime):
+        value = value.replace(tzinfo=None).isoformat(sep=" ")
+    return F.lit(str(value)).cast("timestamp_ntz")

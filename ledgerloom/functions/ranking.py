@@ -35,6 +35,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerloom.session import ensure_checkpoint_dir
+
 OrderSpec = Sequence[tuple[str, bool]]
 
 
@@ -64,6 +66,7 @@ def _range_row_number(df: DataFrame, keys, order, out, partitions: int) -> DataF
     # re-running the range exchange may sample different bounds, so the
     # numbered rows are written once to the checkpoint folder (a reliable,
     # shared location that also survives executor loss).
+    ensure_checkpoint_dir(df.sparkSession)
     ordered = ordered.checkpoint(eager=True)
     key_alias = [f"_ll_k{i}" for i in range(len(keys))]
     stats = (ordered.groupBy("_ll_pid", *keys)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import code_maps as cm
-from ledgerloom.functions.exprs import to_local
+from ledgerloom.functions.exprs import ntz, to_local
 
 
 def _keys(key) -> list[str]:
@@ -59,7 +59,7 @@ def high_water_mark(target: DataFrame, column: str, *, default: str = cm.EMPTY_M
 
 def changed_since(source: DataFrame, column: str, mark, *, inclusive: bool = False) -> DataFrame:
     """Source rows modified after the mark (strict ``>`` by default)."""
-    lit = F.lit(mark).cast("timestamp_ntz") if not isinstance(mark, Column) else mark
+    lit = mark if isinstance(mark, Column) else ntz(mark)
     c = F.col(column)
     return source.where(c >= lit if inclusive else c > lit)
 

@@ -11,8 +11,6 @@ load_phones, J30 load_cards, J31 load_card_numbers, J32 load_card_requests.
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,11 +24,7 @@ CARDHOLDER_COLUMNS = ["Id", "Created", "Modified", "IsBlocked", "Ssn_Number", "N
 
 
 def _mark(mark) -> F.Column:
-    if mark is None:
-        mark = cm.EMPTY_MARK
-    if isinstance(mark, dt.datetime):
-        return F.lit(mark).cast("timestamp_ntz")
-    return ntz(str(mark))
+    return ntz(cm.EMPTY_MARK if mark is None else mark)
 
 
 def _rank1(ranked: DataFrame) -> DataFrame:

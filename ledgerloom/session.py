@@ -34,6 +34,8 @@ def get_spark(
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
     conf.setdefault("spark.driver.memory", "8g")
+    # local sessions only: a scratch checkpoint folder (clusters name a shared one)
+    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerloom-ckpt-"))
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -47,14 +49,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster that setting points at shared storage and is used as is.
-    Only when it is unset (local tests) a scratch folder is created.
+    Only when the session has none (local tests) a scratch folder is set.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if not current:
-        current = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
-    spark.sparkContext.setCheckpointDir(current)
-    return current
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="ledgerloom-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def checkpoint_root(spark: SparkSession) -> str:

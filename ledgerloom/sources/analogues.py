@@ -361,3 +361,16 @@ def states(t: Tables) -> DataFrame:
     """State lookup: nations outside region 0 (the rest fall back to 999)."""
     return (t.nation.where(F.col("n_regionkey") != 0)
             .select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("value")))
+
+
+def conversion_inputs(t: Tables) -> dict[str, DataFrame]:
+    """Every input role of the conversion run, from the driver tables."""
+    return {
+        "master": accounts_master(t), "cards": cards(t), "balances": account_balances(t),
+        "deposit_ids": deposit_ids(t), "deposit_usage": deposit_usage(t),
+        "applications": applications(t), "fee_plans": fee_plans(t), "states": states(t),
+        "pin_sets": pin_sets(t), "status_history": status_history(t),
+        "materials": card_materials(t), "plastic_types": plastic_types(t), "pans": pans(t),
+        "legacy_mapping": legacy_mapping(t), "card_requests": card_requests(t),
+        "request_histories": request_histories(t),
+    }
