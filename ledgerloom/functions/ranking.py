@@ -1,8 +1,10 @@
 """Ranking within groups that survives a hot group.
 
 ``Window.partitionBy(k)`` sends every row of a key to one task. When one key
-holds a third of the data, that task holds a third of the data. The
-``range`` strategy below splits such a group instead:
+holds a third of the data, that task holds a third of the data. The default
+``auto`` strategy first counts rows per key (one partial aggregate) and
+sends only the keys above ``HOT_GROUP_ROWS`` through the ``range`` plan,
+which splits such a group:
 
 1. ``repartitionByRange`` on (keys, order): the sampled bounds cut a hot key
    over several partitions; rows with identical sort keys stay together.
@@ -15,7 +17,7 @@ holds a third of the data, that task holds a third of the data. The
 4. Join back on (partition, key): the hot key is spread over its partitions,
    so the join is balanced.
 
-The numbered rows are checkpointed between 2 and 3: the stats and the join
+The numbered rows are written to the checkpoint folder between 2 and 3: the stats and the join
 must read the same partition bounds, and a second evaluation of the range
 exchange could sample different ones.
 
@@ -35,7 +37,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerloom.session import ensure_checkpoint_dir
+from ledgerloom.session import materialize
 
 OrderSpec = Sequence[tuple[str, bool]]
 
@@ -64,10 +66,9 @@ def _range_row_number(df: DataFrame, keys, order, out, partitions: int) -> DataF
                .withColumn("_ll_pid", F.spark_partition_id()))
     # Both branches below must see the same partition bounds and row ids;
     # re-running the range exchange may sample different bounds, so the
-    # numbered rows are written once to the checkpoint folder (a reliable,
-    # shared location that also survives executor loss).
-    ensure_checkpoint_dir(df.sparkSession)
-    ordered = ordered.checkpoint(eager=True)
+    # numbered rows are written once as a table in the shared checkpoint
+    # folder (computed once, survives executor loss).
+    ordered = materialize(ordered, "ranked")
     key_alias = [f"_ll_k{i}" for i in range(len(keys))]
     stats = (ordered.groupBy("_ll_pid", *keys)
              .agg(F.min("_ll_rid").alias("_ll_first"), F.count(F.lit(1)).alias("_ll_cnt")))
@@ -85,6 +86,40 @@ def _range_row_number(df: DataFrame, keys, order, out, partitions: int) -> DataF
         "_ll_rid", "_ll_pid", "_ll_spid", "_ll_first", "_ll_before", *key_alias)
 
 
+# A group above this many rows is "hot": one task would sort it alone.
+HOT_GROUP_ROWS = 2_000_000
+# At most this many hot keys are collected (a third of 10^12 rows in groups
+# of 2*10^6 rows is far below it); beyond it every row takes the range path.
+MAX_HOT_KEYS = 10_000
+
+
+def _range_rank(df, keys, order, out, method, n):
+    if method == "row_number":
+        return _range_row_number(df, keys, order, out, n)
+    # dense rank = row number over distinct (keys, order values)
+    value_cols = [c for c, _ in order]
+    distinct = df.select(*keys, *value_cols).distinct()
+    ranked = _range_row_number(distinct, keys, order, out, n)
+    cols = keys + value_cols
+    alias = [f"_ll_v{i}" for i in range(len(cols))]
+    ranked = ranked.select(*[F.col(c).alias(a) for c, a in zip(cols, alias)], out)
+    joined = df.join(ranked, _null_safe_on(df, ranked, list(zip(cols, alias))), "inner")
+    return joined.drop(*alias)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], hot_group_rows: int = HOT_GROUP_ROWS,
+             max_keys: int = MAX_HOT_KEYS) -> list | None:
+    """Keys with more than ``hot_group_rows`` rows (one partial aggregate).
+
+    Returns None when there are more than ``max_keys`` of them, so what
+    reaches the driver is bounded.
+    """
+    rows = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ll_n"))
+            .where(F.col("_ll_n") > hot_group_rows).select(*keys)
+            .limit(max_keys + 1).collect())
+    return None if len(rows) > max_keys else rows
+
+
 def rank_in_groups(
     df: DataFrame,
     keys: Sequence[str],
@@ -92,33 +127,40 @@ def rank_in_groups(
     out: str,
     *,
     method: str = "row_number",
-    strategy: str = "range",
+    strategy: str = "auto",
     partitions: int | None = None,
+    hot_group_rows: int = HOT_GROUP_ROWS,
 ) -> DataFrame:
     """Add ``out`` = row_number / dense_rank within ``keys`` by ``order``.
 
-    strategy "window": one plain window (fine when groups are known small);
-    "range": the hot-group-safe plan described in the module docstring.
+    strategy "window": one plain window (groups known to be small);
+    "range": the hot-group-safe plan of the module docstring for all rows;
+    "auto": find the hot keys first; rows of ordinary keys get the plain
+    window, rows of hot keys (a broadcast set of bounded size) the range
+    plan. With no hot key this is one aggregate plus the plain window.
     """
     keys = list(keys)
     if method not in ("row_number", "dense_rank"):
         raise ValueError(method)
     if strategy == "window":
         return _window_rank(df, keys, order, out, method)
-    if strategy != "range":
-        raise ValueError(strategy)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    if method == "row_number":
-        return _range_row_number(df, keys, order, out, n)
-    # dense rank = row number over distinct (keys, order values)
-    value_cols = [c for c, _ in order]
-    distinct = df.select(*keys, *value_cols).distinct()
-    ranked = _range_row_number(distinct, keys, order, out, n)
-    cols = keys + value_cols
-    alias = [f"_ll_v{i}" for i in range(len(cols))]
-    ranked = ranked.select(*[F.col(c).alias(a) for c, a in zip(cols, alias)], out)
-    joined = df.join(ranked, _null_safe_on(df, ranked, list(zip(cols, alias))), "inner")
-    return joined.drop(*alias)
+    if strategy == "range":
+        return _range_rank(df, keys, order, out, method, n)
+    if strategy != "auto":
+        raise ValueError(strategy)
+    hot = hot_keys(df, keys, hot_group_rows)
+    if hot is None:
+        return _range_rank(df, keys, order, out, method, n)
+    if not hot:
+        return _window_rank(df, keys, order, out, method)
+    alias = [f"_ll_h{i}" for i in range(len(keys))]
+    hot_df = df.sparkSession.createDataFrame(hot, df.select(*keys).schema).toDF(*alias)
+    hot_df = F.broadcast(hot_df)
+    on = _null_safe_on(df, hot_df, list(zip(keys, alias)))
+    cold = _window_rank(df.join(hot_df, on, "left_anti"), keys, order, out, method)
+    warm = _range_rank(df.join(hot_df, on, "left_semi"), keys, order, out, method, n)
+    return cold.unionByName(warm)
 
 
 def first_per_group(df: DataFrame, keys: Sequence[str], order: OrderSpec) -> DataFrame:

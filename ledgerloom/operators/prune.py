@@ -76,7 +76,7 @@ def _flag(child: DataFrame, master: DataFrame, usage: DataFrame, key: str) -> Da
 
 
 def usage_rank(master: DataFrame, child: DataFrame, usage: DataFrame, *,
-               key: str = "entryid", strategy: str = "range") -> DataFrame:
+               key: str = "entryid", strategy: str = "auto") -> DataFrame:
     """Rows of multi-id entries with UseRank and DDIDRank (dense ranks)."""
     used = usage_count(child, usage)
     multi = multi_key_entries(master, child, key=key)

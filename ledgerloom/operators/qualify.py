@@ -137,11 +137,11 @@ CONTACT_ORDER = [("AccountTypeId", False), ("accountstatus", False),
 
 
 def contact_rank(accounts: DataFrame, *, person: str = "ssn", order=CONTACT_ORDER,
-                 tie_key: str = "entryid", strategy: str = "range") -> DataFrame:
+                 tie_key: str = "entryid", strategy: str = "auto") -> DataFrame:
     """``ContactRank`` = row number per person; ``tie_key`` makes it total.
 
-    Persons can be very uneven (one person key may hold a large share of the
-    rows), so the default is the range-split ranking.
+    Persons can be very uneven (a dummy person key may hold a large share of
+    the rows), so hot persons are split by the ``auto`` ranking strategy.
     """
     return rank_in_groups(accounts, [person], list(order) + [(tie_key, False)],
                           "ContactRank", strategy=strategy)

@@ -3,9 +3,9 @@
 Order of the legacy procedure, except that junk rows are removed before the
 snapshot diff (so an account that becomes junk is closed, F17). Frames that
 many later steps read (ranked accounts, lookup, card holders, accounts) are
-checkpointed to the session's shared checkpoint folder: that cuts the plan
-lineage and lets a lost executor be recovered from files, not recomputed
-from the sources.
+written as parquet tables to the session's shared checkpoint folder and read
+back: that cuts the plan lineage, computes each once, and lets a lost
+executor be recovered from files, not recomputed from the sources.
 
 Inputs (role name -> DataFrame with the legacy columns):
   master, cards, balances, goals (optional), deposit_ids, deposit_usage,
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import exclude, incremental as inc, loads, lookup as lk, qualify
 from ledgerloom.plans.runs import empty_targets
-from ledgerloom.session import ensure_checkpoint_dir
+from ledgerloom.session import materialize
 
 
 @dataclass
@@ -38,9 +38,8 @@ class RunResult:
     steps: list = field(default_factory=list)
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _cut(df: DataFrame, label: str) -> DataFrame:
+    return materialize(df, label)
 
 
 def _replace(target: DataFrame, rows: DataFrame, key: str, doomed: DataFrame) -> DataFrame:
@@ -67,7 +66,7 @@ def run_conversion(inputs: dict[str, DataFrame], *, exp_date: str, as_of: str,
     q = qualify.append_related(q, i["master"])
     q = qualify.drop_closed_zero(q, i["balances"])
     kept, rejected = qualify.junk_filter(q)
-    kept = _cut(kept)
+    kept = _cut(kept, "qualifying")
     steps += [("qualifying", kept), ("rejected", rejected)]
     if previous_qualifying is not None:
         dropped = qualify.snapshot_diff(previous_qualifying, kept)
@@ -75,16 +74,16 @@ def run_conversion(inputs: dict[str, DataFrame], *, exp_date: str, as_of: str,
         steps.append(("accounts_to_close", dropped))
 
     # ranking (J18) and the deposit-id lookup
-    ranked = _cut(qualify.contact_rank(kept))
+    ranked = _cut(qualify.contact_rank(kept), "ranked")
     new_ids = lk.best_id_lookup(i["master"], i["deposit_ids"], i["deposit_usage"],
                                 existing_lookup)
     lookup = _cut(new_ids if existing_lookup is None
-                  else existing_lookup.select(*lk.LOOKUP_COLUMNS).unionByName(new_ids))
+                  else existing_lookup.select(*lk.LOOKUP_COLUMNS).unionByName(new_ids), "lookup")
     steps += [("ranked", ranked), ("lookup_added", new_ids)]
 
     # card holders
     ch_rows = loads.load_cardholders(ranked, i["applications"], tg["Cardholders"])
-    tg["Cardholders"] = _cut(inc.append(tg["Cardholders"], ch_rows))
+    tg["Cardholders"] = _cut(inc.append(tg["Cardholders"], ch_rows), "cardholders")
     steps.append(("cardholders_added", ch_rows))
 
     # accounts (J21, J22, J25): one key set for delete and insert
@@ -94,7 +93,7 @@ def run_conversion(inputs: dict[str, DataFrame], *, exp_date: str, as_of: str,
         F.col("entryid").alias("Id"))
     accounts, delete_only = inc.replace_changed(tg["Accounts"], acc_rows, key="Id",
                                                 changed_keys=changed)
-    tg["Accounts"] = _cut(accounts)
+    tg["Accounts"] = _cut(accounts, "accounts")
     steps.append(("accounts_loaded", acc_rows))
 
     # balances (J26): replace accounts whose balance moved past the mark

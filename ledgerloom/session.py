@@ -63,3 +63,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for written intermediate tables (lineage cuts)."""
     return ensure_checkpoint_dir(spark)
+
+
+def materialize(df, label: str = "table"):
+    """Cut lineage: write ``df`` once as parquet under the shared checkpoint
+    folder and read it back.
+
+    Used where a frame is read by several later steps, or must not be
+    recomputed (the numbered rows of the range ranking). Parquet keeps the
+    data columnar, the read-back frame has real file sizes for AQE's
+    broadcast decisions, and the files survive lost executors.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{checkpoint_root(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)

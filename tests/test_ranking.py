@@ -38,3 +38,13 @@ def test_first_per_group_nulls_last_desc(spark):
     df = spark.createDataFrame([(1, None, 1), (1, 5, 2), (2, None, 3)], "k int, v int, id int")
     got = {r.k: r.id for r in first_per_group(df, ["k"], [("v", True)]).collect()}
     assert got == {1: 2, 2: 3}
+
+
+@pytest.mark.parametrize("method", ["row_number", "dense_rank"])
+def test_auto_splits_hot_keys_only(spark, skewed, method):
+    from ledgerloom.functions.ranking import hot_keys
+    assert [r.k for r in hot_keys(skewed, ["k"], 5000)] == [0]
+    order = [("v", True), ("w", False)] + ([("tie", False)] if method == "row_number" else [])
+    a = rank_in_groups(skewed, ["k"], order, "r", method=method, hot_group_rows=5000)
+    b = rank_in_groups(skewed, ["k"], order, "r", method=method, strategy="window")
+    assert sorted(a.collect(), key=repr) == sorted(b.collect(), key=repr)
