@@ -109,13 +109,14 @@ def _range_rank(df, keys, order, out, method, n):
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_group_rows: int = HOT_GROUP_ROWS,
              max_keys: int = MAX_HOT_KEYS) -> list | None:
-    """Keys with more than ``hot_group_rows`` rows (one partial aggregate).
+    """Keys with more than ``hot_group_rows`` rows, each with its count
+    ``_ll_n`` (one partial aggregate).
 
     Returns None when there are more than ``max_keys`` of them, so what
     reaches the driver is bounded.
     """
     rows = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_ll_n"))
-            .where(F.col("_ll_n") > hot_group_rows).select(*keys)
+            .where(F.col("_ll_n") > hot_group_rows)
             .limit(max_keys + 1).collect())
     return None if len(rows) > max_keys else rows
 
@@ -154,8 +155,12 @@ def rank_in_groups(
         return _range_rank(df, keys, order, out, method, n)
     if not hot:
         return _window_rank(df, keys, order, out, method)
+    # enough range partitions that no task gets more than a hot group's worth
+    hot_rows = sum(r["_ll_n"] for r in hot)
+    n = max(n, -(-hot_rows // hot_group_rows))
     alias = [f"_ll_h{i}" for i in range(len(keys))]
-    hot_df = df.sparkSession.createDataFrame(hot, df.select(*keys).schema).toDF(*alias)
+    hot_df = df.sparkSession.createDataFrame(
+        [tuple(r[k] for k in keys) for r in hot], df.select(*keys).schema).toDF(*alias)
     hot_df = F.broadcast(hot_df)
     on = _null_safe_on(df, hot_df, list(zip(keys, alias)))
     cold = _window_rank(df.join(hot_df, on, "left_anti"), keys, order, out, method)

@@ -41,6 +41,20 @@ def domain_frame(expanded: DataFrame, category: str = "Category") -> DataFrame:
     return expanded.select(c).where(c.isNotNull()).distinct().orderBy(c)
 
 
+def domain_text(expanded: DataFrame, category: str = "Category") -> DataFrame:
+    """J02 as text: one row, the sorted values bracket-quoted and comma
+    separated (the form of a column list), NULLs dropped.
+
+    The values are collected into one group; their number is the domain,
+    bounded like ``category_domain``.
+    """
+    c = F.col(category)
+    values = F.array_sort(F.collect_set(c))
+    quoted = F.transform(values, lambda v: F.concat(F.lit("["), F.replace(v, F.lit("]"),
+                                                                          F.lit("]]")), F.lit("]")))
+    return expanded.where(c.isNotNull()).agg(F.concat_ws(",", quoted).alias("columns"))
+
+
 def category_domain(expanded: DataFrame, category: str = "Category",
                     max_categories: int = DEFAULT_MAX_CATEGORIES) -> list[str]:
     """The column list of the pivot, collected once to the driver.
