@@ -79,4 +79,4 @@ def materialize(df, label: str = "table"):
     spark = df.sparkSession
     path = f"{checkpoint_root(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -51,3 +51,23 @@ def test_exclusions_closed_under_person(two_runs):
     every = first.ranked.join(persons, "ssn", "left_semi").select("entryid")
     missing = every.join(first.accounts_without_pan.select("entryid"), "entryid", "left_anti")
     assert missing.count() == 0
+
+
+def test_invariants_on_driver_tables(spark, small_dir):
+    import __spark_entry__ as E
+    q = E.queries()
+    # sum of pivot cells = bridge rows
+    pivot = q["j03_category_pivot"](spark, small_dir)
+    cells = pivot.select(sum(F.col(f"`{c}`") for c in pivot.columns[1:]).alias("s")).agg(
+        F.sum("s")).first()[0]
+    assert cells == q["j01_bridge_expand"](spark, small_dir).count()
+    # keep_best: one row per entry
+    best = q["j12_keep_best"](spark, small_dir)
+    assert best.select("Entryid").distinct().count() == best.count()
+    # insert_absent never adds a key already in the target
+    rows = q["j20_insert_absent"](spark, small_dir)
+    t = Tables(spark, small_dir).lineitem
+    assert rows.join(t, rows.o_orderkey == t.l_orderkey, "left_semi").count() == 0
+    # merge keeps the key unique
+    new = q["j22_replace_changed"](spark, small_dir)
+    assert new.select("Id").distinct().count() == new.count()
