@@ -152,3 +152,42 @@ def run_conversion(inputs: dict[str, DataFrame], *, exp_date: str, as_of: str,
         counts = [(name, df.count()) for name, df in steps]
         report_df = spark.createDataFrame(counts, "step string, rows bigint")
     return RunResult(tg, kept, ranked, lookup, awp, chwp, delete_only, report_df, steps)
+
+
+def run_job(spark, input_paths: dict[str, str], root: str, *, exp_date: str, as_of: str,
+            run_id: str | None = None, full_reload: bool = False,
+            fmt: str = "parquet") -> tuple[str, DataFrame]:
+    """The conversion as a job: inputs from paths, state from run directories.
+
+    Inputs are read with their declared schemas. The current target state is
+    the last complete run under ``root`` (none on a full reload; the deposit
+    lookup and the qualifying snapshot are kept across reloads, as the legacy
+    procedure did). Every target, the qualifying snapshot, the lookup and
+    the exclusion lists are written as run ``run_id``; the run report is
+    written last and marks the run complete.
+    """
+    from ledgerloom.plans import runs
+    from ledgerloom.sources.schemas import read_role
+
+    run_id = run_id or runs.new_run_id()
+    inputs = {role: read_role(spark, path, role, fmt) for role, path in input_paths.items()}
+    prev = runs.last_complete_run(spark, root, before=run_id)
+    targets, prev_q, prev_lookup = None, None, None
+    if prev is not None:
+        prev_q = runs.read_run(spark, root, "QualifyingAccounts", prev)
+        prev_lookup = runs.read_run(spark, root, "DDID_Lookup", prev)
+        if not full_reload:
+            targets = {name: runs.read_run(spark, root, name, prev)
+                       for name in runs.RELOADED_TARGETS}
+            targets = {k: v for k, v in targets.items() if v is not None}
+    result = run_conversion(inputs, exp_date=exp_date, as_of=as_of, targets=targets,
+                            previous_qualifying=prev_q, existing_lookup=prev_lookup,
+                            full_reload=full_reload)
+    outputs = dict(result.targets)
+    outputs.update(QualifyingAccounts=result.qualifying, DDID_Lookup=result.lookup,
+                   AccountsWithoutPAN=result.accounts_without_pan,
+                   CardholdersWithoutPAN=result.cardholders_without_pan)
+    for name, df in outputs.items():
+        runs.write_run(df, root, name, run_id)
+    runs.write_run(result.report, root, runs.REPORT_TABLE, run_id)
+    return run_id, result.report

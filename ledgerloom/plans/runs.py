@@ -14,9 +14,9 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import types as T
 
 from ledgerloom.session import checkpoint_root
+from ledgerloom.sources.schemas import TARGET_SCHEMAS
 
 
 def new_run_id(now: dt.datetime | None = None) -> str:
@@ -69,36 +69,27 @@ def default_root(spark: SparkSession) -> str:
     return checkpoint_root(spark).rstrip("/") + "/runs"
 
 
-TS = T.TimestampNTZType()
-TARGET_SCHEMAS = {
-    "Cardholders": "Id bigint, Created timestamp_ntz, Modified timestamp_ntz, IsBlocked int, "
-                   "Ssn_Number string, Name_First string, Name_Last string, DateOfBirth timestamp_ntz",
-    "Accounts": "Id bigint, Created timestamp_ntz, Modified timestamp_ntz, Status int, "
-                "ActivationDate timestamp_ntz, DepositNumber string, Type_Id int, "
-                "AccountBalance_Id bigint, ApplicationId bigint, IsFraud int, "
-                "StatusChangeReason int, LimitPackage int",
-    "AccountBalances": "Id bigint, Created timestamp_ntz, Modified timestamp_ntz, "
-                       "AvailableBalance decimal(18,2), LedgerBalance decimal(18,2), "
-                       "EffectiveDate timestamp_ntz",
-    "AccountCardholders": "Account_id bigint, Cardholder_id bigint",
-    "Addresses": "Created timestamp_ntz, Modified timestamp_ntz, Type int, Address1 string, "
-                 "Address2 string, Address3 string, City string, State int, PostalCode string, "
-                 "Country int, Program_Id int, CardHolder_Id bigint",
-    "Emails": "Created timestamp_ntz, Modified timestamp_ntz, Address string, Type int, "
-              "CardHolder_Id bigint",
-    "Phones": "Created timestamp_ntz, Modified timestamp_ntz, Type int, Digits string, "
-              "CardHolder_Id bigint",
-    "Cards": "Id bigint, Created timestamp_ntz, Modified timestamp_ntz, IssueDate timestamp_ntz, "
-             "IsPinSet int, NameOnCard string, CardExpiration_Month int, CardExpiration_Year int, "
-             "Status int, IssueReason int, CardStock_Id int, Account_Id bigint, "
-             "CardHolder_Id bigint, StatusReason int, CardNumber_Id bigint, "
-             "WhenEligibleForFreeReplacementCard timestamp_ntz, CardCreationHistory_Id bigint",
-    "CardCreationHistories": "Id bigint, Address1 string, Address2 string, Address3 string, "
-                             "City string, State int, PostalCode string, Country int, "
-                             "DeliverType string, Created timestamp_ntz, Modified timestamp_ntz",
-}
+# The nine targets emptied by a full reload.
+RELOADED_TARGETS = ("Cardholders", "Accounts", "AccountBalances", "AccountCardholders",
+                    "Addresses", "Emails", "Phones", "Cards", "CardCreationHistories")
 
 
 def empty_targets(spark: SparkSession) -> dict[str, DataFrame]:
     """The nine targets a full reload starts from, empty."""
-    return {name: spark.createDataFrame([], schema) for name, schema in TARGET_SCHEMAS.items()}
+    return {name: spark.createDataFrame([], TARGET_SCHEMAS[name]) for name in RELOADED_TARGETS}
+
+
+REPORT_TABLE = "RunReport"
+
+
+def last_complete_run(spark: SparkSession, root: str, before: str | None = None) -> str | None:
+    """The newest run whose report was written; the report is written last,
+    so it marks a run in which every table was committed."""
+    done = [r for r in complete_runs(spark, root, REPORT_TABLE) if before is None or r < before]
+    return done[-1] if done else None
+
+
+def read_run(spark: SparkSession, root: str, table: str, run_id: str) -> DataFrame | None:
+    if run_id not in complete_runs(spark, root, table):
+        return None
+    return spark.read.parquet(run_path(root, table, run_id))
