@@ -22,17 +22,24 @@ def quote(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _category_rows(bridge: DataFrame, categories: DataFrame) -> DataFrame:
-    """(id, Category) per bridge row; repeated bridge rows stay repeated."""
-    cats = categories.select(F.col("id").alias("category_id"), "Category")
+def _category_rows(bridge: DataFrame, categories: DataFrame,
+                   collation: str | None = None) -> DataFrame:
+    """(id, Category) per bridge row; repeated bridge rows stay repeated.
+
+    ``collation`` (e.g. 'UTF8_LCASE') makes grouping and matching of the
+    category text follow it; the default is binary comparison.
+    """
+    cat = F.col("Category") if collation is None else F.collate("Category", collation)
+    cats = categories.select(F.col("id").alias("category_id"), cat.alias("Category"))
     return (bridge.select("event_id", "category_id")
             .join(cats, "category_id")
             .select(F.col("event_id").alias("id"), "Category"))
 
 
-def bridge_expand(events: DataFrame, bridge: DataFrame, categories: DataFrame) -> DataFrame:
+def bridge_expand(events: DataFrame, bridge: DataFrame, categories: DataFrame, *,
+                  collation: str | None = None) -> DataFrame:
     """One row per (event, bridge row); events without categories drop out."""
-    return events.join(_category_rows(bridge, categories), "id")
+    return events.join(_category_rows(bridge, categories, collation), "id")
 
 
 def domain_frame(expanded: DataFrame, category: str = "Category") -> DataFrame:
@@ -67,7 +74,7 @@ def category_domain(expanded: DataFrame, category: str = "Category",
         raise ValueError(f"more than {max_categories} distinct categories")
     values = [r[0] for r in rows]
     lowered = {v.lower() for v in values}
-    if len(lowered) != len(values):
+    if len(lowered) != len(values):  # column names are case-insensitive
         raise ValueError("categories differ only by letter case; column names would collide")
     return values
 
@@ -94,7 +101,8 @@ def category_pivot(expanded: DataFrame, domain=None, *, id: str = "id",
 
 def category_flatten(events: DataFrame, bridge: DataFrame, categories: DataFrame,
                      domain=None, *, literal: bool = False,
-                     max_categories: int = DEFAULT_MAX_CATEGORIES) -> DataFrame:
+                     max_categories: int = DEFAULT_MAX_CATEGORIES,
+                     collation: str | None = None) -> DataFrame:
     """Event attributes + one count column per category.
 
     Default: one row per event. The counts are aggregated on the narrow
@@ -102,8 +110,9 @@ def category_flatten(events: DataFrame, bridge: DataFrame, categories: DataFrame
     table is joined once per event instead of once per bridge row.
     ``literal=True``: the pivot is joined back to the expanded rows, one row
     per (event, bridge row), as the positional insert did.
+    ``collation``: see ``_category_rows`` (values equal under it share a column).
     """
-    rows = _category_rows(bridge, categories)
+    rows = _category_rows(bridge, categories, collation)
     if domain is None:
         live = rows.join(events.select("id"), "id", "left_semi")
         domain = category_domain(live, "Category", max_categories)

@@ -156,12 +156,19 @@ def changed_cardholders(cardholders: DataFrame, ranked: DataFrame, *, mark=None)
     return _contact_rows(cardholders, ranked, mark).select("CardHolder_Id").distinct()
 
 
+def _with_state(rows: DataFrame, states: DataFrame, collation: str | None) -> DataFrame:
+    """Left lookup of the state id by its text (``collation`` optional)."""
+    st = states.select(F.col("id").alias("_state_id"), F.col("value").alias("_state_text"))
+    left, right = F.col("state"), st["_state_text"]
+    if collation is not None:
+        left, right = F.collate(left, collation), F.collate(right, collation)
+    return rows.join(st, left == right, "left").drop("_state_text")
+
+
 def load_addresses(cardholders: DataFrame, ranked: DataFrame, states: DataFrame, *,
-                   mark=None) -> DataFrame:
+                   mark=None, collation: str | None = None) -> DataFrame:
     """One address per changed card holder (its rank-1 account)."""
-    rows = _contact_rows(cardholders, ranked, mark)
-    st = states.select(F.col("id").alias("_state_id"), F.col("value").alias("state"))
-    rows = rows.join(st, "state", "left")
+    rows = _with_state(_contact_rows(cardholders, ranked, mark), states, collation)
     return rows.select(
         to_utc("CreateDate").alias("Created"), to_utc("LastUpdateDate").alias("Modified"),
         F.lit(1).alias("Type"),
@@ -261,7 +268,8 @@ def load_card_numbers(mapping: DataFrame, cards: DataFrame, pans: DataFrame, *,
 
 
 def load_card_requests(requests: DataFrame, existing: DataFrame | None, master: DataFrame,
-                       mapping: DataFrame, states: DataFrame) -> DataFrame:
+                       mapping: DataFrame, states: DataFrame, *,
+                       collation: str | None = None) -> DataFrame:
     """Card requests not yet converted, with the account's address."""
     r = requests
     if existing is not None:
@@ -270,8 +278,7 @@ def load_card_requests(requests: DataFrame, existing: DataFrame | None, master:
     mch = master.select(F.col("entryid").alias("EntryID"), "address1", "address2", "address3",
                         "city", "zip", "state")
     m = mapping.select(F.col("Account_Id").alias("EntryID"))
-    st = states.select(F.col("id").alias("_state_id"), F.col("value").alias("state"))
-    j = r.join(mch, "EntryID").join(m, "EntryID").join(st, "state", "left")
+    j = _with_state(r.join(mch, "EntryID").join(m, "EntryID"), states, collation)
     return j.select(
         F.col("CardRequestID").alias("Id"),
         left_n("address1", 40).alias("Address1"),

@@ -402,3 +402,20 @@ def test_exclusions_closure(spark):
     awp, chwp = exclude.exclusions(ranked, cards, pans, ch)
     assert sorted(r.entryid for r in awp.collect()) == [1, 2, 3, 4]
     assert sorted(r.Id for r in chwp.collect()) == [1, 3]
+
+
+def test_collation_groups_case_variants(spark):
+    events = spark.createDataFrame([(1,), (2,)], "id long")
+    bridge = spark.createDataFrame([(1, 10), (1, 11), (2, 11)], "event_id long, category_id long")
+    cats = spark.createDataFrame([(10, "Promo"), (11, "PROMO")], "id long, Category string")
+    with pytest.raises(ValueError, match="letter case"):
+        flatten.category_flatten(events, bridge, cats)
+    out = flatten.category_flatten(events, bridge, cats, collation="UTF8_LCASE")
+    assert len(out.columns) == 2
+    assert sorted(r[1] for r in out.collect()) == [1, 2]
+    ranked = master(spark, dict(entryid=1, ssn="p", state="ny")).withColumn(
+        "ContactRank", F.lit(1).cast("long"))
+    ch = spark.createDataFrame([(11, "p")], "Id long, Ssn_Number string")
+    states = spark.createDataFrame([(7, "NY")], "id int, value string")
+    assert loads.load_addresses(ch, ranked, states).first().State == 999
+    assert loads.load_addresses(ch, ranked, states, collation="UTF8_LCASE").first().State == 7
