@@ -3,7 +3,8 @@
 Runs each job on $BENCH_SF_DIR (default /root/testdata/sf0.1) with
 local[$BENCH_CPUS]: one warm-up, then the median of $BENCH_RUNS runs, the
 action being a ``noop`` write (the whole plan runs, nothing is stored).
-Prints one JSON line.
+Prints one JSON line. With $BENCH_EVENT_LOG set to a folder, Spark's
+event log is written there for stage and task times (no UI is started).
 """
 
 from __future__ import annotations
@@ -40,7 +41,11 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     names = sys.argv[1:] or HEADLINE
-    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=cpus)
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):
+        extra = {"spark.eventLog.enabled": "true",
+                 "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = get_spark(master=f"local[{cpus}]", shuffle_partitions=cpus, extra_conf=extra)
 
     def once(name: str) -> float:
         t0 = time.perf_counter()

@@ -70,7 +70,9 @@ def _id_rank_above_1() -> F.Column:
 
 
 def _flag(child: DataFrame, master: DataFrame, usage: DataFrame, key: str) -> DataFrame:
-    used = usage_count(child, usage)
+    # a child that already carries its use count (J10 with keep_usage) is not
+    # recounted: the usage table does not change between the two deletes
+    used = child if USED in child.columns else usage_count(child, usage)
     stats = _entry_stats(used, master, key)
     return used.join(stats, KEY, "left")
 
@@ -87,6 +89,11 @@ def usage_rank(master: DataFrame, child: DataFrame, usage: DataFrame, *,
                           method="dense_rank", strategy=strategy)
 
 
+def _out_cols(child: DataFrame, keep_usage: bool):
+    cols = [c for c in child.columns if c != USED]
+    return cols + [USED] if keep_usage else cols
+
+
 def _survivors(flagged: DataFrame, delete: F.Column, child_cols, literal: bool) -> DataFrame:
     delete = F.coalesce(F.col("_multi") & delete, F.lit(False))
     if not literal:
@@ -98,11 +105,15 @@ def _survivors(flagged: DataFrame, delete: F.Column, child_cols, literal: bool)
 
 
 def prune_unused(master: DataFrame, child: DataFrame, usage: DataFrame, *,
-                 key: str = "entryid", literal: bool = False) -> DataFrame:
-    """Drop never-used ids that are not the entry's highest id."""
+                 key: str = "entryid", literal: bool = False,
+                 keep_usage: bool = False) -> DataFrame:
+    """Drop never-used ids that are not the entry's highest id.
+
+    ``keep_usage=True`` keeps the ``DDID_Used`` column so J11 can reuse it.
+    """
     flagged = _flag(child, master, usage, key)
     delete = F.col(USED).isNull() & _id_rank_above_1()
-    return _survivors(flagged, delete, child.columns, literal)
+    return _survivors(flagged, delete, _out_cols(child, keep_usage), literal)
 
 
 def prune_less_used(master: DataFrame, child: DataFrame, usage: DataFrame, *,
@@ -114,7 +125,7 @@ def prune_less_used(master: DataFrame, child: DataFrame, usage: DataFrame, *,
     flagged = _flag(child, master, usage, key)
     use1 = _use_rank_is_1()
     delete = ~use1 | _id_rank_above_1()
-    return _survivors(flagged, delete, child.columns, literal)
+    return _survivors(flagged, delete, _out_cols(child, False), literal)
 
 
 def keep_best(master: DataFrame, child: DataFrame, usage: DataFrame, *,
