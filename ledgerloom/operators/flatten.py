@@ -117,6 +117,9 @@ def category_flatten(events: DataFrame, bridge: DataFrame, categories: DataFrame
         live = rows.join(events.select("id"), "id", "left_semi")
         domain = category_domain(live, "Category", max_categories)
     event_cols = events.columns
+    clash = {c.lower() for c in event_cols} & {v.lower() for v in domain}
+    if clash:
+        raise ValueError(f"categories named like event columns: {sorted(clash)}")
     if not domain:
         return events.where(F.lit(False))
     if literal:

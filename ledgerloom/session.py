@@ -56,7 +56,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
-    sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="ledgerloom-ckpt-"))
+    if not configured:
+        if not sc.master.startswith("local"):
+            # a machine-local folder is not visible to other executors
+            raise ValueError("set spark.checkpoint.dir to a shared folder on the cluster")
+        configured = tempfile.mkdtemp(prefix="ledgerloom-ckpt-")
+    sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
 
 
