@@ -99,6 +99,26 @@ def category_pivot(expanded: DataFrame, domain=None, *, id: str = "id",
     return expanded.groupBy(id).agg(*_count_columns(domain, category))
 
 
+def category_counts(events: DataFrame, bridge: DataFrame, categories: DataFrame,
+                    domain=None, *, max_categories: int = DEFAULT_MAX_CATEGORIES,
+                    collation: str | None = None) -> DataFrame:
+    """J03 from the source tables: ``id`` + one count per category, for events
+    that exist.
+
+    Same rows as ``category_pivot(bridge_expand(...))``, but the bridge rows
+    are counted per id (map-side partial counts) before they meet the
+    events, and the events contribute only their ids to a semi join.
+    """
+    rows = _category_rows(bridge, categories, collation)
+    ids = events.select("id")
+    if domain is None:
+        domain = category_domain(rows.join(ids, "id", "left_semi"), "Category", max_categories)
+    if not domain:
+        return ids.where(F.lit(False))
+    counts = rows.groupBy("id").agg(*_count_columns(domain, "Category"))
+    return counts.join(ids, "id", "left_semi")
+
+
 def category_flatten(events: DataFrame, bridge: DataFrame, categories: DataFrame,
                      domain=None, *, literal: bool = False,
                      max_categories: int = DEFAULT_MAX_CATEGORIES,
