@@ -48,18 +48,24 @@ def domain_frame(expanded: DataFrame, category: str = "Category") -> DataFrame:
     return expanded.select(c).where(c.isNotNull()).distinct().orderBy(c)
 
 
-def domain_text(expanded: DataFrame, category: str = "Category") -> DataFrame:
+def domain_text(expanded: DataFrame, category: str = "Category",
+                max_categories: int = DEFAULT_MAX_CATEGORIES) -> DataFrame:
     """J02 as text: one row, the sorted values bracket-quoted and comma
     separated (the form of a column list), NULLs dropped.
 
-    The values are collected into one group; their number is the domain,
-    bounded like ``category_domain``.
+    At most ``max_categories + 1`` distinct values reach the single final
+    group; more than ``max_categories`` raises, as for ``category_domain``.
     """
     c = F.col(category)
-    values = F.array_sort(F.collect_set(c))
+    distinct = (expanded.where(c.isNotNull()).select(c.alias("_v")).distinct()
+                .limit(max_categories + 1))
+    values = F.array_sort(F.collect_list("_v"))
     quoted = F.transform(values, lambda v: F.concat(F.lit("["), F.replace(v, F.lit("]"),
                                                                           F.lit("]]")), F.lit("]")))
-    return expanded.where(c.isNotNull()).agg(F.concat_ws(",", quoted).alias("columns"))
+    too_many = F.size(values) > F.lit(max_categories)
+    text = F.when(too_many, F.raise_error(F.lit(f"more than {max_categories} distinct categories"))
+                  ).otherwise(F.concat_ws(",", quoted))
+    return distinct.agg(text.alias("columns"))
 
 
 def category_domain(expanded: DataFrame, category: str = "Category",

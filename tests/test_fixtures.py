@@ -419,3 +419,13 @@ def test_collation_groups_case_variants(spark):
     states = spark.createDataFrame([(7, "NY")], "id int, value string")
     assert loads.load_addresses(ch, ranked, states).first().State == 999
     assert loads.load_addresses(ch, ranked, states, collation="UTF8_LCASE").first().State == 7
+
+
+def test_domain_text_quotes_and_caps(spark, cat_frames):
+    events, bridge, cats = cat_frames
+    expanded = flatten.bridge_expand(events, bridge, cats)
+    assert flatten.domain_text(expanded).first().columns == "[#tag],[Sales, Q1],[a.b [x]]]"
+    with pytest.raises(Exception, match="more than 2"):
+        flatten.domain_text(expanded, max_categories=2).collect()
+    with pytest.raises(ValueError, match="more than 2"):
+        flatten.category_domain(expanded, max_categories=2)
