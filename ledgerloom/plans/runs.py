@@ -29,9 +29,13 @@ def run_path(root: str, table: str, run_id: str) -> str:
 
 
 def write_run(df: DataFrame, root: str, table: str, run_id: str) -> str:
-    """Write ``df`` as this run's copy of ``table``; returns the path."""
+    """Write ``df`` as this run's copy of ``table``; returns the path.
+
+    A run only reads older runs, so rewriting its own directory (a retry of
+    a failed run with the same id) never touches data it is reading.
+    """
     path = run_path(root, table, run_id)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return path
 
 

@@ -46,3 +46,15 @@ def test_merge_stream_replaces_by_key(spark):
     q.awaitTermination(300)
     latest = runs.previous_run(spark, work, "Accounts")
     assert sorted(map(tuple, latest.collect())) == [(1, "a"), (2, "B"), (3, "c")]
+
+
+def test_runs_ignore_incomplete_and_allow_retry(spark):
+    work = tempfile.mkdtemp(prefix="ll-runs-")
+    df = spark.createDataFrame([(1,)], "Id long")
+    runs.write_run(df, work, "T", "20240101T000000")
+    runs.write_run(df, work, runs.REPORT_TABLE, "20240101T000000")
+    runs.write_run(df, work, "T", "20240102T000000")          # report missing: incomplete
+    assert runs.last_complete_run(spark, work) == "20240101T000000"
+    runs.write_run(df.union(df), work, "T", "20240102T000000")  # retry, same id
+    assert runs.read_run(spark, work, "T", "20240102T000000").count() == 2
+    assert runs.previous_run(spark, work, "T", before="20240102T000000").count() == 1
