@@ -34,6 +34,7 @@ class RunResult:
     accounts_without_pan: DataFrame
     cardholders_without_pan: DataFrame
     delete_only_keys: DataFrame
+    not_loaded: DataFrame | None = None
     report: DataFrame | None = None
     steps: list = field(default_factory=list)
 
@@ -95,6 +96,11 @@ def run_conversion(inputs: dict[str, DataFrame], *, exp_date: str, as_of: str,
                                                 changed_keys=changed)
     tg["Accounts"] = _cut(accounts, "accounts")
     steps.append(("accounts_loaded", acc_rows))
+    # an account that newly qualifies without being changed itself is not
+    # loaded by the mark; report it rather than silently skip it
+    not_loaded = (ranked.select(F.col("entryid").alias("Id"))
+                  .join(tg["Accounts"].select("Id"), "Id", "left_anti"))
+    steps += [("qualifying_not_in_accounts", not_loaded), ("delete_only_keys", delete_only)]
 
     # balances (J26): replace accounts whose balance moved past the mark
     has_balances = tg["AccountBalances"].limit(1).count() > 0
@@ -151,7 +157,8 @@ def run_conversion(inputs: dict[str, DataFrame], *, exp_date: str, as_of: str,
     if report:
         counts = [(name, df.count()) for name, df in steps]
         report_df = spark.createDataFrame(counts, "step string, rows bigint")
-    return RunResult(tg, kept, ranked, lookup, awp, chwp, delete_only, report_df, steps)
+    return RunResult(tg, kept, ranked, lookup, awp, chwp, delete_only, not_loaded, report_df,
+                     steps)
 
 
 def run_job(spark, input_paths: dict[str, str], root: str, *, exp_date: str, as_of: str,

@@ -98,3 +98,9 @@ def test_run_job_from_files_twice(spark, small_dir):
         assert same_rows(a, b), name
     steps = {r.step: r.rows for r in report.collect()}
     assert steps["Accounts"] > 0 and set(runs.RELOADED_TARGETS) <= set(steps)
+
+
+def test_first_run_reports_nothing_missing(two_runs):
+    first, _ = two_runs
+    steps = {r.step: r.rows for r in first.report.collect()}
+    assert steps["qualifying_not_in_accounts"] == 0 and steps["delete_only_keys"] == 0
