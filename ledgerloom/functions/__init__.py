@@ -1,0 +1 @@
+"""Column expressions, fixed code tables and ranking helpers."""

@@ -1,0 +1 @@
+"""The jobs: each a function from DataFrames to DataFrames."""

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.ranking import first_per_group, rank_in_groups
+from ledgerloom.functions.ranking import HOT_GROUP_ROWS, first_per_group, rank_in_groups
 
 KEY = "Entryid"
 ID = "FullDepositID"
@@ -78,15 +78,15 @@ def _flag(child: DataFrame, master: DataFrame, usage: DataFrame, key: str) -> Da
 
 
 def usage_rank(master: DataFrame, child: DataFrame, usage: DataFrame, *,
-               key: str = "entryid", strategy: str = "auto") -> DataFrame:
+               key: str = "entryid", strategy: str = "auto",
+               hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Rows of multi-id entries with UseRank and DDIDRank (dense ranks)."""
     used = usage_count(child, usage)
     multi = multi_key_entries(master, child, key=key)
     rows = used.join(multi, KEY, "left_semi")
-    rows = rank_in_groups(rows, [KEY], [(USED, True)], "UseRank",
-                          method="dense_rank", strategy=strategy)
-    return rank_in_groups(rows, [KEY], [(ID, True)], "DDIDRank",
-                          method="dense_rank", strategy=strategy)
+    opts = dict(method="dense_rank", strategy=strategy, hot_group_rows=hot_group_rows)
+    rows = rank_in_groups(rows, [KEY], [(USED, True)], "UseRank", **opts)
+    return rank_in_groups(rows, [KEY], [(ID, True)], "DDIDRank", **opts)
 
 
 def _out_cols(child: DataFrame, keep_usage: bool):

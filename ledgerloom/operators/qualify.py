@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import code_maps as cm
 from ledgerloom.functions.exprs import month_end, ntz, person_ok, try_bigint
-from ledgerloom.functions.ranking import rank_in_groups
+from ledgerloom.functions.ranking import HOT_GROUP_ROWS, rank_in_groups
 
 
 def qualify_accounts(master: DataFrame, cards: DataFrame, balances: DataFrame,
@@ -137,11 +137,12 @@ CONTACT_ORDER = [("AccountTypeId", False), ("accountstatus", False),
 
 
 def contact_rank(accounts: DataFrame, *, person: str = "ssn", order=CONTACT_ORDER,
-                 tie_key: str = "entryid", strategy: str = "auto") -> DataFrame:
+                 tie_key: str = "entryid", strategy: str = "auto",
+                 hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """``ContactRank`` = row number per person; ``tie_key`` makes it total.
 
     Persons can be very uneven (a dummy person key may hold a large share of
     the rows), so hot persons are split by the ``auto`` ranking strategy.
     """
     return rank_in_groups(accounts, [person], list(order) + [(tie_key, False)],
-                          "ContactRank", strategy=strategy)
+                          "ContactRank", strategy=strategy, hot_group_rows=hot_group_rows)

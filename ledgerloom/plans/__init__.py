@@ -1,0 +1 @@
+"""Multi-step plans: run directories, the conversion run, registered queries."""

@@ -1,0 +1 @@
+"""Structured Streaming adapters (foreachBatch) for the incremental jobs."""

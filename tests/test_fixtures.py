@@ -429,3 +429,13 @@ def test_domain_text_quotes_and_caps(spark, cat_frames):
         flatten.domain_text(expanded, max_categories=2).collect()
     with pytest.raises(ValueError, match="more than 2"):
         flatten.category_domain(expanded, max_categories=2)
+
+
+def test_hot_person_ranked_by_split_path(spark):
+    # person "p" holds most accounts; a low threshold sends it down the range path
+    acc = master(spark, *[dict(entryid=i, ssn="p" if i % 4 else f"q{i}",
+                               AccountTypeId=i % 3, activateddate=D(2020, 1, 1 + i % 20))
+                          for i in range(60)])
+    a = qualify.contact_rank(acc, hot_group_rows=10).select("entryid", "ContactRank")
+    b = qualify.contact_rank(acc, strategy="window").select("entryid", "ContactRank")
+    assert sorted(a.collect()) == sorted(b.collect())
