@@ -15,6 +15,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_MAX_CATEGORIES = 10_000  # same bound as spark.sql.pivotMaxValues
+# Up to this many categories, one count_if per value (one aggregate, every
+# row compared with each value, stays in whole-stage codegen, whose default
+# limit spark.sql.codegen.maxFields is 100). Wider lists count the narrow
+# (id, category) pairs first and pivot those counts.
+WIDE_DOMAIN = 100
 
 
 def quote(name: str) -> str:
@@ -91,6 +96,16 @@ def _count_columns(domain, category: str):
     return [F.count_if(c == F.lit(v)).alias(v) for v in domain]
 
 
+def _counts(rows: DataFrame, domain, id: str, category: str) -> DataFrame:
+    """``id`` + one bigint count per domain value (0 when absent)."""
+    if len(domain) <= WIDE_DOMAIN:
+        return rows.groupBy(id).agg(*_count_columns(domain, category))
+    pairs = rows.groupBy(id, category).agg(F.count(F.lit(1)).alias("_ll_n"))
+    wide = pairs.groupBy(id).pivot(category, list(domain)).agg(F.sum("_ll_n"))
+    return wide.select(id, *[F.coalesce(F.col(quote(v)), F.lit(0)).cast("bigint").alias(v)
+                             for v in domain])
+
+
 def category_pivot(expanded: DataFrame, domain=None, *, id: str = "id",
                    category: str = "Category") -> DataFrame:
     """One row per id, one bigint count per category value.
@@ -102,7 +117,7 @@ def category_pivot(expanded: DataFrame, domain=None, *, id: str = "id",
         domain = category_domain(expanded, category)
     if not domain:
         return expanded.select(id).where(F.lit(False))
-    return expanded.groupBy(id).agg(*_count_columns(domain, category))
+    return _counts(expanded, domain, id, category)
 
 
 def category_counts(events: DataFrame, bridge: DataFrame, categories: DataFrame,
@@ -121,8 +136,7 @@ def category_counts(events: DataFrame, bridge: DataFrame, categories: DataFrame,
         domain = category_domain(rows.join(ids, "id", "left_semi"), "Category", max_categories)
     if not domain:
         return ids.where(F.lit(False))
-    counts = rows.groupBy("id").agg(*_count_columns(domain, "Category"))
-    return counts.join(ids, "id", "left_semi")
+    return _counts(rows, domain, "id", "Category").join(ids, "id", "left_semi")
 
 
 def category_flatten(events: DataFrame, bridge: DataFrame, categories: DataFrame,
@@ -150,11 +164,11 @@ def category_flatten(events: DataFrame, bridge: DataFrame, categories: DataFrame
         return events.where(F.lit(False))
     if literal:
         expanded = events.join(rows, "id")
-        pivot = rows.groupBy("id").agg(*_count_columns(domain, "Category"))
+        pivot = _counts(rows, domain, "id", "Category")
         return (expanded.join(pivot, "id")
                 .select(*[F.col(quote(c)) for c in event_cols],
                         *[F.col(quote(v)) for v in domain]))
-    counts = rows.groupBy("id").agg(*_count_columns(domain, "Category"))
+    counts = _counts(rows, domain, "id", "Category")
     return events.join(counts, "id").select(
         *[F.col(quote(c)) for c in event_cols], *[F.col(quote(v)) for v in domain])
 

@@ -439,3 +439,22 @@ def test_hot_person_ranked_by_split_path(spark):
     a = qualify.contact_rank(acc, hot_group_rows=10).select("entryid", "ContactRank")
     b = qualify.contact_rank(acc, strategy="window").select("entryid", "ContactRank")
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_wide_domain_pivots_pair_counts(spark):
+    n = 150   # above WIDE_DOMAIN: pair counts + pivot instead of count_if
+    events = spark.range(40).select(F.col("id"), (F.col("id") % 3).alias("g"))
+    bridge = spark.range(400).select((F.col("id") % 40).alias("event_id"),
+                                     (F.col("id") % n).alias("category_id"))
+    cats = spark.range(n).select(F.col("id"), F.format_string("c.%03d", "id").alias("Category"))
+    wide = flatten.category_flatten(events, bridge, cats)
+    assert len(wide.columns) == 2 + n
+    from ledgerloom.operators import flatten as fl
+    old = fl.WIDE_DOMAIN
+    try:
+        fl.WIDE_DOMAIN = 10_000
+        narrow = flatten.category_flatten(events, bridge, cats)
+    finally:
+        fl.WIDE_DOMAIN = old
+    assert wide.columns == narrow.columns
+    assert sorted(wide.collect()) == sorted(narrow.collect())
