@@ -17,7 +17,7 @@ def spark():
 
     from ledgerloom.session import BASE_CONF
 
-    builder = (SparkSession.builder.master("local[4]")
+    builder = (SparkSession.builder.master("local[8]")
                .config("spark.sql.shuffle.partitions", "8")
                .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ll-test-ckpt-")))
     for k, v in BASE_CONF.items():
