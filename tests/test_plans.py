@@ -43,19 +43,20 @@ def test_scan_prunes_columns(spark, small_dir):
     assert schemas and all("o_totalprice" not in s for s in schemas), schemas
 
 
-def test_flatten_plan_at_scale_shuffles_each_input_once(spark, small_dir):
-    """With broadcast off (as at cluster scale), J04 pre-aggregates the bridge
-    rows map-side and joins the event rows on the aggregate's partitioning."""
+@pytest.mark.parametrize("name", ["j03_category_pivot", "j04_category_flatten"])
+def test_flatten_plan_at_scale_shuffles_each_input_once(spark, small_dir, name):
+    """With broadcast off (as at cluster scale), J03/J04 pre-aggregate the
+    bridge rows map-side and join the events on the aggregate's partitioning."""
     keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     old = {k: spark.conf.get(k, None) for k in keys}
     try:
         for k in keys:
             spark.conf.set(k, "-1")
-        p = plan(E.queries()["j04_category_flatten"](spark, small_dir))
+        p = plan(E.queries()[name](spark, small_dir))
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     assert len(re.findall(r"Exchange hashpartitioning", p)) == 4, p
     # the partial count sits below the shuffle on id
-    assert re.search(r"Exchange hashpartitioning\(id#\d+L?, \d+\)[^\n]*\n\s*\+- HashAggregate"
+    assert re.search(r"Exchange hashpartitioning\(id#\d+L?, \d+\)[^\n]*\n[\s:]*\+- HashAggregate"
                      r"\(keys=\[id#\d+L?\], functions=\[partial_count", p), p
