@@ -15,7 +15,8 @@ which splits such a group:
    count; a window over that small table (at most one row per partition for
    any key) sums the counts of the key in earlier partitions.
 4. Join back on (partition, key): the hot key is spread over its partitions,
-   so the join is balanced.
+   so the join is balanced; when only hot keys take this path the small
+   stats table is broadcast and the numbered rows are not shuffled again.
 
 The numbered rows are written to the checkpoint folder between 2 and 3: the stats and the join
 must read the same partition bounds, and a second evaluation of the range
@@ -58,7 +59,8 @@ def _window_rank(df, keys, order, out, method):
     return df.withColumn(out, fn.over(w).cast("bigint"))
 
 
-def _range_row_number(df: DataFrame, keys, order, out, partitions: int) -> DataFrame:
+def _range_row_number(df: DataFrame, keys, order, out, partitions: int,
+                      small_stats: bool = False) -> DataFrame:
     sort = [F.col(k).asc_nulls_first() for k in keys] + sort_columns(order)
     ordered = (df.repartitionByRange(partitions, *sort)
                .sortWithinPartitions(*sort)
@@ -78,6 +80,10 @@ def _range_row_number(df: DataFrame, keys, order, out, partitions: int) -> DataF
     stats = stats.select(F.col("_ll_pid").alias("_ll_spid"),
                          *[F.col(k).alias(a) for k, a in zip(keys, key_alias)],
                          "_ll_first", "_ll_before")
+    if small_stats:
+        # only hot keys here: at most one stats row per range partition plus
+        # one per hot key, a known bound, so the numbered rows stay in place
+        stats = F.broadcast(stats)
     on = (ordered["_ll_pid"] == stats["_ll_spid"]) & _null_safe_on(
         ordered, stats, list(zip(keys, key_alias)))
     joined = ordered.join(stats, on, "inner")
@@ -91,15 +97,17 @@ HOT_GROUP_ROWS = 2_000_000
 # At most this many hot keys are collected (a third of 10^12 rows in groups
 # of 2*10^6 rows is far below it); beyond it every row takes the range path.
 MAX_HOT_KEYS = 10_000
+# Largest per-partition stats table that is broadcast in the hot-key path.
+MAX_STATS_ROWS = 1_000_000
 
 
-def _range_rank(df, keys, order, out, method, n):
+def _range_rank(df, keys, order, out, method, n, small_stats=False):
     if method == "row_number":
-        return _range_row_number(df, keys, order, out, n)
+        return _range_row_number(df, keys, order, out, n, small_stats)
     # dense rank = row number over distinct (keys, order values)
     value_cols = [c for c, _ in order]
     distinct = df.select(*keys, *value_cols).distinct()
-    ranked = _range_row_number(distinct, keys, order, out, n)
+    ranked = _range_row_number(distinct, keys, order, out, n, small_stats)
     cols = keys + value_cols
     alias = [f"_ll_v{i}" for i in range(len(cols))]
     ranked = ranked.select(*[F.col(c).alias(a) for c, a in zip(cols, alias)], out)
@@ -164,7 +172,9 @@ def rank_in_groups(
     hot_df = F.broadcast(hot_df)
     on = _null_safe_on(df, hot_df, list(zip(keys, alias)))
     cold = _window_rank(df.join(hot_df, on, "left_anti"), keys, order, out, method)
-    warm = _range_rank(df.join(hot_df, on, "left_semi"), keys, order, out, method, n)
+    # stats rows <= n + len(hot), both bounded: broadcast (MAX_STATS_ROWS check)
+    small = n + len(hot) <= MAX_STATS_ROWS
+    warm = _range_rank(df.join(hot_df, on, "left_semi"), keys, order, out, method, n, small)
     return cold.unionByName(warm)
 
 
