@@ -458,3 +458,18 @@ def test_wide_domain_pivots_pair_counts(spark):
         fl.WIDE_DOMAIN = old
     assert wide.columns == narrow.columns
     assert sorted(wide.collect()) == sorted(narrow.collect())
+
+
+def test_declared_schemas_conform_and_read(spark):
+    import tempfile
+
+    from ledgerloom.sources.schemas import INPUT_SCHEMAS, conform, read_role
+    df = spark.createDataFrame([("7", "x")], "CARDID string, extra string")
+    with pytest.raises(ValueError, match="missing column"):
+        conform(df, INPUT_SCHEMAS["pin_sets"])
+    out = conform(df, INPUT_SCHEMAS["pin_sets"], allow_missing=True)
+    assert out.columns == ["cardid", "asofdate"] and out.first() == (7, None)
+    path = tempfile.mkdtemp(prefix="ll-role-") + "/pins"
+    out.write.parquet(path)
+    back = read_role(spark, path, "pin_sets")
+    assert [f.dataType.simpleString() for f in back.schema.fields] == ["bigint", "timestamp_ntz"]
