@@ -45,11 +45,13 @@ def qualify_accounts(master: DataFrame, cards: DataFrame, balances: DataFrame,
     live_cards = cards.where(
         (F.col("expmonth") > 0) & (F.col("expyear") > 0) & (F.col("externalcardid") > 0)
         & (month_end("expyear", "expmonth") > ntz(exp_date)))
-    a = (base.select("entryid")
-         .join(live_cards.select(F.col("cardholderid").alias("entryid")), "entryid", "left_semi"))
+    # key sets are deduplicated first (partial aggregate), so a card holder
+    # with very many cards, or an account with many balance rows, is one row
+    holders = live_cards.select(F.col("cardholderid").alias("entryid")).distinct()
+    a = base.select("entryid").join(holders, "entryid", "left_semi")
 
     nonzero = balances.where(F.col("UserLedgerBalance") != 0).select(
-        F.col("UserAccountID").alias("provideraccountID"))
+        F.col("UserAccountID").alias("provideraccountID")).distinct()
     b = base.select("entryid", "provideraccountID").join(
         nonzero, "provideraccountID", "left_semi").select("entryid")
 
@@ -59,7 +61,7 @@ def qualify_accounts(master: DataFrame, cards: DataFrame, balances: DataFrame,
         paying = (goals.select("EntryID", "PayRewardsToEntryID")
                   .join(goal_accounts, "EntryID")
                   .join(nonzero, "provideraccountID", "left_semi")
-                  .select(F.col("PayRewardsToEntryID").alias("entryid")))
+                  .select(F.col("PayRewardsToEntryID").alias("entryid")).distinct())
         c = master.where(ok).select("entryid").join(paying, "entryid", "left_semi")
         parts.append(c)
     keys = reduce(DataFrame.unionByName, parts).distinct()
