@@ -104,7 +104,7 @@ def drop_closed_zero(accounts: DataFrame, balances: DataFrame, *,
 
 def snapshot_diff(previous: DataFrame, current: DataFrame, *, key: str = "entryid") -> DataFrame:
     """Keys in the previous run that are not in this one."""
-    return previous.select(key).distinct().join(current.select(key), key, "left_anti")
+    return previous.select(key).distinct().join(current.select(key).distinct(), key, "left_anti")
 
 
 def mark_closed(target: DataFrame, keys: DataFrame, *, key: str = "Id", keys_col: str = "entryid",
