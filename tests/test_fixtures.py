@@ -473,3 +473,24 @@ def test_declared_schemas_conform_and_read(spark):
     out.write.parquet(path)
     back = read_role(spark, path, "pin_sets")
     assert [f.dataType.simpleString() for f in back.schema.fields] == ["bigint", "timestamp_ntz"]
+
+
+def test_insert_absent_distinct_and_append_by_name(spark):
+    target = spark.createDataFrame([(1, "a")], "Id long, v string")
+    source = spark.createDataFrame([("b", 2), ("b", 2), ("a", 1)], "v string, Id long")
+    rows = inc.insert_absent(target, source, key="Id", distinct=True)
+    assert rows.count() == 1
+    out = inc.append(target, rows)
+    assert out.columns == ["Id", "v"] and sorted(map(tuple, out.collect())) == [(1, "a"), (2, "b")]
+
+
+def test_latest_per_key_with_filter_and_no_match(spark):
+    left = spark.createDataFrame([(1,), (2,), (3,)], "clientkey long")
+    apps = spark.createDataFrame([(1, 10, 7, T0), (1, 11, 7, D(2021, 1, 1)), (1, 12, 1, D(2022, 1, 1)),
+                                  (2, 20, 1, T0)],
+                                 "clientkey long, applicationid long, status int, submitted timestamp_ntz")
+    out = inc.latest_per_key(left, apps, on=[("clientkey", "clientkey")],
+                             order=[("submitted", True)], columns=["applicationid"],
+                             where=F.col("status") == 7, prefix="app_")
+    got = {r.clientkey: r.app_applicationid for r in out.collect()}
+    assert got == {1: 11, 2: None, 3: None}
