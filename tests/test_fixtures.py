@@ -494,3 +494,14 @@ def test_latest_per_key_with_filter_and_no_match(spark):
                              where=F.col("status") == 7, prefix="app_")
     got = {r.clientkey: r.app_applicationid for r in out.collect()}
     assert got == {1: 11, 2: None, 3: None}
+
+
+def test_mark_inclusive_and_without_zone(spark):
+    tgt = spark.createDataFrame([(1, D(2024, 1, 1, 5))], "Id long, Modified timestamp_ntz")
+    assert inc.high_water_mark(tgt, "Modified", zone=None) == D(2024, 1, 1, 5)
+    mark = inc.high_water_mark(tgt, "Modified")           # 05:00 UTC = 00:00 Eastern
+    src = spark.createDataFrame([(1, D(2024, 1, 1)), (2, D(2024, 1, 2))],
+                                "Id long, LastUpdateDate timestamp_ntz")
+    assert [r.Id for r in inc.changed_since(src, "LastUpdateDate", mark).collect()] == [2]
+    both = inc.changed_since(src, "LastUpdateDate", mark, inclusive=True)
+    assert sorted(r.Id for r in both.collect()) == [1, 2]
