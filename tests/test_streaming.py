@@ -58,3 +58,13 @@ def test_runs_ignore_incomplete_and_allow_retry(spark):
     runs.write_run(df.union(df), work, "T", "20240102T000000")  # retry, same id
     assert runs.read_run(spark, work, "T", "20240102T000000").count() == 2
     assert runs.previous_run(spark, work, "T", before="20240102T000000").count() == 1
+
+
+def test_checkpoint_folder_comes_from_the_session(spark):
+    from ledgerloom.session import ensure_checkpoint_dir, materialize
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    used = ensure_checkpoint_dir(spark)
+    assert configured and configured.rstrip("/") in used
+    df = materialize(spark.range(3), "probe")
+    assert df.count() == 3
+    assert any(configured.rstrip("/") in f for f in df.inputFiles())
