@@ -5,7 +5,7 @@ import pytest
 import __spark_entry__ as E
 import oracle_check as oc
 
-NAMES = sorted(E.oracle_sql())
+NAMES = sorted(E.ORACLE_SQL)
 
 
 @pytest.fixture(scope="module")
@@ -20,7 +20,7 @@ def test_matches_oracle(spark, small_dir, duck, name):
 
 
 def test_every_query_has_oracle_or_is_documented():
-    no_sql = set(E.queries()) - set(E.oracle_sql())
+    no_sql = set(E.QUERIES) - set(E.ORACLE_SQL)
     assert no_sql == {"j36_run_conversion"}
 
 
@@ -32,4 +32,4 @@ def test_entry_runs(spark):
 
 def test_registry_contract():
     assert set(E.oracle_sql()) <= set(E.queries())
-    assert all(name.startswith("j") and name[1:3].isdigit() for name in E.queries())
+    assert all(name.startswith("j") and name[1:3].isdigit() for name in E.QUERIES)
