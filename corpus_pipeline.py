@@ -9,12 +9,45 @@ for the next.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import packing
+from ledgerloom.llm import language, packing, secret_scan, simhash, toxicity
 from ledgerloom.llm.common import materialize, read, ship
 from ledgerloom.llm.queries import TOKENIZER
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity classifier rejects go."""
+    ship(spark)
+    return toxicity.keep_clean(docs, read(spark, sf_dir, "labels"))
+
+
+def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without an identified language go; the others carry the
+    identified one. Rows that repeat an id share the surest verdict."""
+    ship(spark)
+    found = language.identify(docs, "text", F.col("lang"), F.col("source"), keep=("doc_id",)).where("accepted")
+    verdicts = found.groupBy(F.col("doc_id").alias("judged")).agg(F.max_by("lang", F.struct("confidence", "lang")).alias("identified"))
+    joined = docs.join(verdicts, docs["doc_id"].eqNullSafe(verdicts["judged"]))
+    return joined.select(*[F.col("identified").alias(c) if c == "lang" else docs[c] for c in docs.columns])
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies stays: the smallest id's.
+    Rows that repeat an id are copies; rows without an id stay."""
+    ship(spark)
+    groups = simhash.near_duplicates(docs, shingle=4, radius=4)
+    copies = groups.where("doc_id != component_id").select("doc_id").distinct()
+    first = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"])
+    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Secrets in texts are replaced by a mark; all documents stay."""
+    ship(spark)
+    return secret_scan.redact(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The remaining documents as sequences of 1024 tokens, a row per piece."""
     ship(spark)
@@ -22,6 +55,10 @@ def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("language ID", drop_unknown_language),
+    ("SimHash near-dedup", drop_near_copies),
+    ("secret scans", mask_secrets),
     ("packing", pack_documents),
 ]
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from collections.abc import Iterator
 
@@ -13,11 +14,11 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.session import materialize
+from ledgerloom.session import checkpoint_root, materialize
 
 _SHIPPED: dict[str, str] = {}
 
-__all__ = ["materialize", "name", "pick", "read", "ship", "text_slices", "strings", "held_out_bucket"]
+__all__ = ["materialize", "name", "pick", "read", "scratch", "ship", "text_slices", "strings", "held_out_bucket"]
 
 
 def ship(spark: SparkSession) -> None:
@@ -44,6 +45,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+def scratch(spark: SparkSession, label: str) -> str:
+    """A new path below the checkpoint folder that all executors share."""
+    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+
+
 def name(column: str) -> Column:
     """The column of exactly this name (dots and spaces are part of it)."""
     return F.col(f"`{column.replace('`', '``')}`")

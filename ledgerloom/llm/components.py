@@ -11,6 +11,7 @@ a node's neighbours.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,3 +50,30 @@ def components(links: DataFrame) -> DataFrame:
         mark = seen
     nodes = now.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return nodes.unionByName(now.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())
+
+
+class Forest:
+    """Components of a task's own nodes 0 .. n-1, by whole arrays of links.
+
+    A task that finds many links among few nodes returns one link for each
+    node it has linked, never all pairs.
+    """
+
+    def __init__(self, n: int):
+        self.root = np.arange(n)
+
+    def add(self, a: np.ndarray, b: np.ndarray) -> None:
+        while True:
+            x, y = self.root[a], self.root[b]
+            apart = x != y
+            if not apart.any():
+                return
+            a, b, x, y = a[apart], b[apart], x[apart], y[apart]
+            np.minimum.at(self.root, np.maximum(x, y), np.minimum(x, y))
+            while not np.array_equal(up := self.root[self.root], self.root):
+                self.root = up
+
+    def links(self) -> tuple[np.ndarray, np.ndarray]:
+        """Each linked node and its root."""
+        nodes = np.flatnonzero(self.root != np.arange(len(self.root)))
+        return nodes, self.root[nodes]

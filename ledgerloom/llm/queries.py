@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import bpe, packing, topk
-from ledgerloom.llm.common import read
+from ledgerloom.llm import bpe, content, language, multi_index, packing, secret_scan, simhash, topk, toxicity, warc
+from ledgerloom.llm.common import read, scratch
 
 #: The vocabulary of the tokenizing queries; a path, never a copy.
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -17,11 +17,61 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 QUERY_STEP = 20
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of all documents and pages, by their text, what they
+    declare, and their source or host (one set of priors for both)."""
+    documents = read(spark, sf_dir, "documents").select(
+        "doc_id", F.lit(None).cast("long").alias("page_id"), "text", F.col("lang").alias("declares"),
+        F.col("source").alias("address"), F.lit(False).alias("markup"))
+    pages = read(spark, sf_dir, "pages").select(
+        F.lit(None).cast("long").alias("doc_id"), "page_id", F.col("html").alias("text"),
+        language.markup_language(F.col("html")).alias("declares"), F.col("url").alias("address"), F.lit(True).alias("markup"))
+    return language.identify(documents.unionByName(pages), "text", F.col("declares"), F.col("address"), F.col("markup"),
+                             keep=("doc_id", "page_id"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    return toxicity.score(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate secret of all documents with the forest's verdict; the
+    string itself is given by its digest."""
+    found = secret_scan.score(read(spark, sf_dir, "documents"))
+    return found.select("doc_id", "at", "start", F.length("candidate").alias("length"),
+                        F.sha2("candidate", 256).alias("candidate_sha256"), "chance", "is_secret")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 1024 tokens: a row per piece."""
     return packing.pack(read(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end_id=0)
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the components of near ones."""
+    return simhash.near_duplicates(read(spark, sf_dir, "documents"), shingle=4, radius=4)
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC bundles and read back from them."""
+    path = scratch(spark, "warc")
+    warc.write(read(spark, sf_dir, "pages"), path)
+    return warc.read_records(spark, path).select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"))
+
+
+def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate vectors with equal labels."""
+    return multi_index.near_duplicates(read(spark, sf_dir, "embeddings"), threshold=0.93)
+
+
+def op8_content(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of all pages."""
+    return content.extract(read(spark, sf_dir, "pages")).withColumn("n_chars", F.char_length("text").cast("long"))
+
+
 def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every document's ids and of the text decoded from them."""
     return bpe.digests(read(spark, sf_dir, "documents"), TOKENIZER)
@@ -33,7 +83,8 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_packing, op9_bpe, op10_topk)
+    f.__name__: f for f in (op1_language_id, op2_toxicity, op3_secret_scan, op4_packing, op5_simhash, op6_warc, op7_multi_index,
+                            op8_content, op9_bpe, op10_topk)
 }
 
 #: Integer scores, so DuckDB's answer must equal Spark's in every row.
