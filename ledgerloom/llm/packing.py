@@ -1,14 +1,14 @@
 """Packing of documents into training sequences by cutting stock.
 
 Method: a document's tokens are cut into pieces of the full capacity and one
-tail. The tails' histogram of lengths, in units of ``UNIT`` tokens, is the
+tail. The tails' histogram of lengths, in units of a few tokens, is the
 demand of a cutting-stock linear program; column generation prices patterns by
 a knapsack dynamic program (``cutting_stock``). Patterns are used a whole
 number of times, and every pattern takes the pieces of a length by their rank:
 the n-th piece of a length goes to the pattern copy that holds places up to n.
 
 Spark does the per-document work. The driver sees one count for each length
-(at most ``capacity / UNIT``). Ranks come from counters inside the tasks that
+(at most ``capacity``). Ranks come from counters inside the tasks that
 write the pieces and prefix sums of (task, length) counts, so that no task
 gathers all pieces of a length.
 """
@@ -30,8 +30,10 @@ from ledgerloom.llm import cutting_stock
 from ledgerloom.llm.bpe import WORDS, Vocabulary, read_spec, worker_encoder
 from ledgerloom.llm.common import materialize, pick, text_slices
 
-#: Tokens for each unit of the linear program's lengths.
-UNIT = 8
+#: Tokens for each unit of the linear program's lengths: the largest of these
+#: whose rounding wastes at most this share of all tokens, as long as there
+#: are no more lengths than the program takes.
+UNITS, LEAST_WASTE, MOST_LENGTHS = (8, 4, 2, 1), 0.01, 256
 
 
 def ranked_merges(vocabulary: Vocabulary):
@@ -48,7 +50,7 @@ def ranked_merges(vocabulary: Vocabulary):
 def pieces(df: DataFrame, tokenizer_path: str, capacity: int, end_id: int | None,
            id_column: str, text_column: str) -> DataFrame:
     """A row for each piece: id, start, length, ids_crc32, doc_tokens, and its
-    task, size in units and rank among the task's pieces of that size."""
+    task and rank among the task's pieces of that length."""
     spec = df.sparkSession.sparkContext.broadcast(read_spec(tokenizer_path))
     kind = df.schema[id_column].dataType.simpleString()
     end = b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
@@ -56,7 +58,7 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int, end_id: int | None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(spec.value, ranked_merges)
         task = TaskContext.get().partitionId()
-        seen = np.zeros(capacity // UNIT + 2, dtype=np.int64)
+        seen = np.zeros(capacity + 1, dtype=np.int64)
         for whole in batches:
             for batch in text_slices(whole, "text"):
                 row, start, length, crc, total = [], [], [], [], []
@@ -67,22 +69,35 @@ def pieces(df: DataFrame, tokenizer_path: str, capacity: int, end_id: int | None
                         part = ids[4 * at:4 * (at + capacity)]
                         row.append(i), start.append(at), length.append(len(part) // 4)
                         crc.append(zlib.crc32(part)), total.append(n)
-                units = -(-np.array(length, dtype=np.int64) // UNIT)
-                rank = np.zeros(len(units), dtype=np.int64)
-                order = np.argsort(units, kind="stable")
-                distinct, first, count = np.unique(units[order], return_index=True, return_counts=True)
+                lengths = np.array(length, dtype=np.int64)
+                rank = np.zeros(len(lengths), dtype=np.int64)
+                order = np.argsort(lengths, kind="stable")
+                distinct, first, count = np.unique(lengths[order], return_index=True, return_counts=True)
                 for u, f, c in zip(distinct, first, count):
                     rank[order[f:f + c]] = seen[u] + np.arange(c)
                     seen[u] += c
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("id").take(pa.array(row, pa.int64())), pa.array(start, pa.int64()),
-                     pa.array(length, pa.int64()), pa.array(crc, pa.int64()), pa.array(total, pa.int64()),
-                     pa.array(np.full(len(row), task, dtype=np.int64)), pa.array(units), pa.array(rank)],
-                    names=["id", "start", "length", "ids_crc32", "doc_tokens", "task", "units", "rank"])
+                     pa.array(lengths), pa.array(crc, pa.int64()), pa.array(total, pa.int64()),
+                     pa.array(np.full(len(row), task, dtype=np.int64)), pa.array(rank)],
+                    names=["id", "start", "length", "ids_crc32", "doc_tokens", "task", "rank"])
 
     picked = pick(df, id=id_column, text=text_column).withColumn("text", F.col("text").cast("string"))
     return picked.mapInArrow(run, f"id {kind}, start long, length long, ids_crc32 long, doc_tokens long, "
-                                  "task long, units long, rank long")
+                                  "task long, rank long")
+
+
+def choose_unit(lengths: dict[int, int], capacity: int) -> int:
+    """The unit for a histogram of lengths, by the rule at ``UNITS``."""
+    total = sum(k * n for k, n in lengths.items())
+    fitting = [u for u in UNITS if capacity % u == 0]
+    for unit in fitting:
+        rounded = {-(-k // unit) for k in lengths}
+        if len(rounded) > MOST_LENGTHS:
+            return fitting[max(0, fitting.index(unit) - 1)]
+        if sum((-k % unit) * n for k, n in lengths.items()) <= LEAST_WASTE * total:
+            return unit
+    return fitting[-1]
 
 
 def pack(df: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int | None = 0,
@@ -95,37 +110,41 @@ def pack(df: DataFrame, tokenizer_path: str, capacity: int = 1024, end_id: int |
     and a sequence holds at most ``capacity`` ids. A null or empty text has
     only ``end_id`` (no piece if that is None); repeated rows are packed each;
     a null id stays null; long texts give many full pieces. Tables without
-    rows give no rows. ``capacity`` is a multiple of ``UNIT``.
+    rows give no rows.
     """
-    if capacity % UNIT:
-        raise ValueError(f"capacity must be a multiple of {UNIT}")
     spark = df.sparkSession
     cut = materialize(pieces(df, tokenizer_path, capacity, end_id, id_column, text_column), "pieces")
-    counts = cut.groupBy("task", "units").agg(F.count("*").alias("n"))
-    before = counts.select("task", "units", (F.sum("n").over(
-        W.partitionBy("units").orderBy("task")) - F.col("n")).alias("before"))
-    demand = {r["units"]: r["n"] for r in counts.groupBy("units").agg(F.sum("n").alias("n")).collect()}
+    counts = cut.groupBy("task", "length").agg(F.count("*").alias("n"))
+    lengths = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    unit = choose_unit(lengths, capacity)
+    demand: dict[int, int] = {}
+    for k, n in lengths.items():
+        demand[-(-k // unit)] = demand.get(-(-k // unit), 0) + n
+    units = F.ceil(F.col("length") / unit).cast("long")
+    earlier = W.partitionBy(units).orderBy("length", "task")
+    before = counts.select("task", "length", (F.sum("n").over(earlier) - F.col("n")).alias("before"))
 
     # At most one pattern for each length in use and one for each piece that
     # rounding leaves (fewer than the lengths times their copies): some
     # thousand rows for any corpus.
     slots, sequence, served = [], 0, dict.fromkeys(demand, 0)
-    for times, copies in cutting_stock.patterns(demand, capacity // UNIT, gap):
+    for times, copies in cutting_stock.patterns(demand, capacity // unit, gap):
         place = 0
-        for units, per in sorted(copies.items(), reverse=True):
-            slots.append((units, served[units], served[units] + times * per, per, sequence, place))
-            served[units] += times * per
+        for size, per in sorted(copies.items(), reverse=True):
+            slots.append((size, served[size], served[size] + times * per, per, sequence, place))
+            served[size] += times * per
             place += per
         sequence += times
     plan = spark.createDataFrame(
         slots, "units long, from_rank long, to_rank long, per long, from_sequence long, from_place long")
 
-    ranked = cut.join(before, ["task", "units"]).withColumn("rank", F.col("rank") + F.col("before"))
+    ranked = (cut.join(before, ["task", "length"]).withColumn("rank", F.col("rank") + F.col("before"))
+              .withColumn("units", units))
     placed = ranked.join(F.broadcast(plan), "units").where("rank >= from_rank and rank < to_rank").select(
         F.col("id").alias(id_column), "start", "length", "ids_crc32", "doc_tokens",
         F.expr("from_sequence + (rank - from_rank) div per").alias("sequence_id"),
         F.expr("from_place + (rank - from_rank) % per").alias("place"),
-        (F.col("units") == capacity // UNIT).alias("alone"))
+        (F.col("units") == capacity // unit).alias("alone"))
     # A pattern whose single length is the full capacity holds one piece.
     window = W.partitionBy("sequence_id").orderBy("place").rowsBetween(W.unboundedPreceding, -1)
     alone = placed.where("alone").withColumn("offset", F.lit(0).cast("long"))
