@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import exclude, incremental as inc, loads, lookup as lk, qualify
 from ledgerloom.plans.runs import empty_targets
-from ledgerloom.session import materialize
+from ledgerloom.session import intermediate_tables, materialize
 
 
 @dataclass
@@ -34,7 +34,10 @@ class RunResult:
     accounts_without_pan: DataFrame
     cardholders_without_pan: DataFrame
     delete_only_keys: DataFrame
-    not_loaded: DataFrame | None = None
+    rejected: DataFrame
+    accounts_to_close: DataFrame
+    cards_delete_only_keys: DataFrame
+    not_loaded: DataFrame
     report: DataFrame | None = None
     steps: list = field(default_factory=list)
 
@@ -61,62 +64,63 @@ def run_conversion(inputs: dict[str, DataFrame], *, exp_date: str, as_of: str,
         tg.update(targets)
     steps: list[tuple[str, DataFrame]] = []
 
+    def step(name: str, df: DataFrame) -> DataFrame:
+        """A step's rows, written once: the targets and the report read them."""
+        rows = _cut(df, name)
+        steps.append((name, rows))
+        return rows
+
     # qualification (J13-J15), cleaning (J17), closing dropped accounts
     q = qualify.qualify_accounts(i["master"], i["cards"], i["balances"], i.get("goals"),
                                  exp_date=exp_date)
     q = qualify.append_related(q, i["master"])
-    q = qualify.drop_closed_zero(q, i["balances"])
+    q = _cut(qualify.drop_closed_zero(q, i["balances"]), "qualified")
     kept, rejected = qualify.junk_filter(q)
-    kept = _cut(kept, "qualifying")
-    steps += [("qualifying", kept), ("rejected", rejected)]
+    kept, rejected = step("qualifying", kept), step("rejected", rejected)
+    previous = kept.where(F.lit(False)) if previous_qualifying is None else previous_qualifying
+    dropped = step("accounts_to_close", qualify.snapshot_diff(previous, kept))
     if previous_qualifying is not None:
-        dropped = qualify.snapshot_diff(previous_qualifying, kept)
         tg["Accounts"] = qualify.mark_closed(tg["Accounts"], dropped)
-        steps.append(("accounts_to_close", dropped))
 
     # ranking (J18) and the deposit-id lookup
-    ranked = _cut(qualify.contact_rank(kept), "ranked")
-    new_ids = lk.best_id_lookup(i["master"], i["deposit_ids"], i["deposit_usage"],
-                                existing_lookup)
+    ranked = step("ranked", qualify.contact_rank(kept))
+    new_ids = step("lookup_added", lk.best_id_lookup(
+        i["master"], i["deposit_ids"], i["deposit_usage"], existing_lookup))
     lookup = _cut(new_ids if existing_lookup is None
                   else existing_lookup.select(*lk.LOOKUP_COLUMNS).unionByName(new_ids), "lookup")
-    steps += [("ranked", ranked), ("lookup_added", new_ids)]
 
     # card holders
-    ch_rows = loads.load_cardholders(ranked, i["applications"], tg["Cardholders"])
+    ch_rows = step("cardholders_added", loads.load_cardholders(
+        ranked, i["applications"], tg["Cardholders"]))
     tg["Cardholders"] = _cut(inc.append(tg["Cardholders"], ch_rows), "cardholders")
-    steps.append(("cardholders_added", ch_rows))
 
     # accounts (J21, J22, J25): one key set for delete and insert
     mark = inc.high_water_mark(tg["Accounts"], "Modified")
-    acc_rows = loads.load_accounts(ranked, i["fee_plans"], lookup, i["applications"], mark=mark)
+    acc_rows = step("accounts_loaded", loads.load_accounts(
+        ranked, i["fee_plans"], lookup, i["applications"], mark=mark))
     changed = inc.changed_since(i["master"], "LastUpdateDate", mark).select(
         F.col("entryid").alias("Id"))
     accounts, delete_only = inc.replace_changed(tg["Accounts"], acc_rows, key="Id",
                                                 changed_keys=changed)
     tg["Accounts"] = _cut(accounts, "accounts")
-    steps.append(("accounts_loaded", acc_rows))
     # an account that newly qualifies without being changed itself is not
     # loaded by the mark; report it rather than silently skip it
-    not_loaded = (ranked.select(F.col("entryid").alias("Id"))
-                  .join(tg["Accounts"].select("Id"), "Id", "left_anti"))
-    steps += [("qualifying_not_in_accounts", not_loaded), ("delete_only_keys", delete_only)]
+    not_loaded = step("qualifying_not_in_accounts", ranked.select(F.col("entryid").alias("Id"))
+                      .join(tg["Accounts"].select("Id"), "Id", "left_anti"))
+    delete_only = step("delete_only_keys", delete_only)
 
     # balances (J26): replace accounts whose balance moved past the mark
-    has_balances = tg["AccountBalances"].limit(1).count() > 0
-    bmark = inc.high_water_mark(tg["AccountBalances"], "EffectiveDate") if has_balances else None
-    bal_rows = loads.load_balances(tg["Accounts"], ranked, i["balances"], tg["AccountBalances"],
-                                   mark=bmark, as_of=as_of)
+    bmark = inc.high_water_mark(tg["AccountBalances"], "EffectiveDate")
+    bal_rows = step("balances_loaded", loads.load_balances(
+        tg["Accounts"], ranked, i["balances"], tg["AccountBalances"], mark=bmark, as_of=as_of))
     # zero rows only go to accounts without any balance row, so deleting
     # every loaded id removes exactly the balances being refreshed
     tg["AccountBalances"] = _replace(tg["AccountBalances"], bal_rows, "Id", bal_rows)
-    steps.append(("balances_loaded", bal_rows))
 
     # account -> card holder mapping
-    map_rows = loads.load_account_cardholders(tg["Accounts"], kept, tg["Cardholders"],
-                                              tg["AccountCardholders"])
+    map_rows = step("account_cardholders_added", loads.load_account_cardholders(
+        tg["Accounts"], kept, tg["Cardholders"], tg["AccountCardholders"]))
     tg["AccountCardholders"] = inc.append(tg["AccountCardholders"], map_rows)
-    steps.append(("account_cardholders_added", map_rows))
 
     # contact rows of changed card holders are replaced
     changed_ch = loads.changed_cardholders(tg["Cardholders"], ranked, mark=mark)
@@ -124,41 +128,45 @@ def run_conversion(inputs: dict[str, DataFrame], *, exp_date: str, as_of: str,
                                                           mark=mark)),
                        ("Emails", loads.load_emails(tg["Cardholders"], ranked, mark=mark)),
                        ("Phones", loads.load_phones(tg["Cardholders"], ranked, mark=mark))):
+        rows = step(f"{name.lower()}_loaded", rows)
         tg[name] = _replace(tg[name], rows, "CardHolder_Id", changed_ch)
-        steps.append((f"{name.lower()}_loaded", rows))
 
-    # cards (J30): replace cards changed after the cards mark
+    # cards (J30, J22): one key set for delete and insert, as for accounts; a
+    # changed card whose account no longer qualifies stays and is reported
     cmark = inc.high_water_mark(tg["Cards"], "Modified")
-    card_rows = loads.load_cards(ranked, i["legacy_mapping"], i["cards"], i["materials"],
-                                 i["plastic_types"], i["fee_plans"], i["pin_sets"],
-                                 i["status_history"], mark=cmark)
+    card_rows = step("cards_loaded", loads.load_cards(
+        ranked, i["legacy_mapping"], i["cards"], i["materials"], i["plastic_types"], i["fee_plans"],
+        i["pin_sets"], i["status_history"], mark=cmark))
     changed_cards = inc.changed_since(i["cards"], "LastUpdateDate", cmark).select(
         F.col("cardid").alias("Id"))
-    tg["Cards"] = _replace(tg["Cards"], card_rows, "Id", changed_cards)
-    steps.append(("cards_loaded", card_rows))
+    tg["Cards"], cards_only = inc.replace_changed(tg["Cards"], card_rows, key="Id",
+                                                  changed_keys=changed_cards)
+    cards_only = step("cards_delete_only_keys", cards_only)
 
     # card numbers (J31): full reload
-    tg["CardNumbers"] = loads.load_card_numbers(i["legacy_mapping"], i["cards"], i["pans"])
-    steps.append(("card_numbers", tg["CardNumbers"]))
+    tg["CardNumbers"] = step("card_numbers", loads.load_card_numbers(
+        i["legacy_mapping"], i["cards"], i["pans"]))
 
     # card requests (J32): absent ones (already converted or in this target)
     done = i["request_histories"].select("id").unionByName(
         tg["CardCreationHistories"].select(F.col("Id").alias("id")))
-    req_rows = loads.load_card_requests(i["card_requests"], done, i["master"],
-                                        i["legacy_mapping"], i["states"])
+    req_rows = step("card_requests_added", loads.load_card_requests(
+        i["card_requests"], done, i["master"], i["legacy_mapping"], i["states"]))
     tg["CardCreationHistories"] = inc.append(tg["CardCreationHistories"], req_rows)
-    steps.append(("card_requests_added", req_rows))
 
     # exclusions
     awp, chwp = exclude.exclusions(ranked, i["cards"], i["pans"], tg["Cardholders"])
-    steps += [("accounts_without_pan", awp), ("cardholders_without_pan", chwp)]
+    awp, chwp = step("accounts_without_pan", awp), step("cardholders_without_pan", chwp)
+
+    report_df = _report(spark, steps) if report else None
+    return RunResult(tg, kept, ranked, lookup, awp, chwp, delete_only, rejected, dropped, cards_only,
+                     not_loaded, report_df, steps)
+
 
-    report_df = None
-    if report:
-        counts = [(name, df.count()) for name, df in steps]
-        report_df = spark.createDataFrame(counts, "step string, rows bigint")
-    return RunResult(tg, kept, ranked, lookup, awp, chwp, delete_only, not_loaded, report_df,
-                     steps)
+def _report(spark, steps) -> DataFrame:
+    """Rows of each step; the steps are written tables, so this only counts."""
+    counts = [(name, df.count()) for name, df in steps]
+    return spark.createDataFrame(counts, "step string, rows bigint")
 
 
 def run_job(spark, input_paths: dict[str, str], root: str, *, exp_date: str, as_of: str,
@@ -170,14 +178,23 @@ def run_job(spark, input_paths: dict[str, str], root: str, *, exp_date: str, as_
     the last complete run under ``root`` (none on a full reload; the deposit
     lookup and the qualifying snapshot are kept across reloads, as the legacy
     procedure did). Every target, the qualifying snapshot, the lookup and
-    the exclusion lists are written as run ``run_id``; the run report is
-    written last and marks the run complete.
+    the exclusion lists, the accounts to close, rejected rows and the keys
+    that were reported rather than loaded are written as run ``run_id``; the
+    run report (rows of every output and of every step) is written last and
+    marks the run complete. Writing a finished run again takes its mark back
+    first. Keys that must be unique are checked before anything is written.
     """
+    from ledgerloom.operators.checks import check_unique
     from ledgerloom.plans import runs
-    from ledgerloom.sources.schemas import read_role
+    from ledgerloom.sources.schemas import DECLARED_KEYS, read_role
 
     run_id = run_id or runs.new_run_id()
+    runs.reopen_run(spark, root, run_id)
     inputs = {role: read_role(spark, path, role, fmt) for role, path in input_paths.items()}
+    for role, key in DECLARED_KEYS.items():
+        repeated = check_unique(inputs[role], key).count()
+        if repeated:  # the qualification and the merges rest on these keys
+            raise ValueError(f"{repeated} values of {role}.{key} repeat")
     prev = runs.last_complete_run(spark, root, before=run_id)
     targets, prev_q, prev_lookup = None, None, None
     if prev is not None:
@@ -187,18 +204,23 @@ def run_job(spark, input_paths: dict[str, str], root: str, *, exp_date: str, as_
             targets = {name: runs.read_run(spark, root, name, prev)
                        for name in runs.RELOADED_TARGETS}
             targets = {k: v for k, v in targets.items() if v is not None}
-    result = run_conversion(inputs, exp_date=exp_date, as_of=as_of, targets=targets,
-                            previous_qualifying=prev_q, existing_lookup=prev_lookup,
-                            full_reload=full_reload, report=False)
-    outputs = dict(result.targets)
-    outputs.update(QualifyingAccounts=result.qualifying, DDID_Lookup=result.lookup,
-                   AccountsWithoutPAN=result.accounts_without_pan,
-                   CardholdersWithoutPAN=result.cardholders_without_pan)
-    counts = []
-    for name, df in outputs.items():
-        runs.write_run(df, root, name, run_id)
-        # counted from the written files, not by re-running the step
-        counts.append((name, runs.read_run(spark, root, name, run_id).count()))
-    report = spark.createDataFrame(counts, "step string, rows bigint")
-    runs.write_run(report, root, runs.REPORT_TABLE, run_id)
+    with intermediate_tables(spark):  # deleted once the run has committed
+        result = run_conversion(inputs, exp_date=exp_date, as_of=as_of, targets=targets,
+                                previous_qualifying=prev_q, existing_lookup=prev_lookup,
+                                full_reload=full_reload, report=False)
+        outputs = dict(result.targets)
+        outputs.update(QualifyingAccounts=result.qualifying, DDID_Lookup=result.lookup,
+                       AccountsWithoutPAN=result.accounts_without_pan,
+                       CardholdersWithoutPAN=result.cardholders_without_pan,
+                       AccountsToClose=result.accounts_to_close, RejectedAccounts=result.rejected,
+                       AccountsNotLoaded=result.not_loaded, AccountsDeleteOnly=result.delete_only_keys,
+                       CardsDeleteOnly=result.cards_delete_only_keys)
+        counts = []
+        for name, df in outputs.items():
+            runs.write_run(df, root, name, run_id)
+            # counted from the written files, not by re-running the step
+            counts.append((name, runs.read_run(spark, root, name, run_id).count()))
+        report = spark.createDataFrame(counts, "step string, rows bigint").unionByName(
+            _report(spark, result.steps))
+        runs.write_run(report, root, runs.REPORT_TABLE, run_id)
     return run_id, report

@@ -15,7 +15,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.session import checkpoint_root
+from ledgerloom.session import checkpoint_root, delete_path
 from ledgerloom.sources.schemas import TARGET_SCHEMAS
 
 
@@ -39,6 +39,12 @@ def write_run(df: DataFrame, root: str, table: str, run_id: str) -> str:
     return path
 
 
+def reopen_run(spark: SparkSession, root: str, run_id: str) -> None:
+    """Take back the commit mark of a run that is about to be written again:
+    until its new report is written it does not count."""
+    delete_path(spark, run_path(root, REPORT_TABLE, run_id))
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import contextlib
+import contextvars
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
+_RUN_FOLDER: contextvars.ContextVar[str | None] = contextvars.ContextVar("run_folder", default=None)
+
 # Settings every job relies on: AQE for runtime re-planning (coalesce, skew
 # join split, sort-merge -> broadcast when a side is measured small), NTZ-safe
 # session zone, no web UI.
@@ -28,14 +33,20 @@ def get_spark(
     app_name: str = "ledgerloom",
     extra_conf: dict | None = None,
 ) -> SparkSession:
-    """Local session for tests and bench; on a cluster use the provided one."""
+    """Local session for tests and bench; on a cluster use the provided one.
+
+    The checkpoint folder is never set here: ``ensure_checkpoint_dir`` takes
+    the session's own, and makes one only for a local session without any.
+    """
     cpus = os.environ.get("BENCH_CPUS", "8")
     builder = SparkSession.builder.master(master or f"local[{cpus}]").appName(app_name)
     conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
-    conf.setdefault("spark.driver.memory", "8g")
-    # local sessions only: a scratch checkpoint folder (clusters name a shared one)
-    conf.setdefault("spark.checkpoint.dir", tempfile.mkdtemp(prefix="ledgerloom-ckpt-"))
+    target = (extra_conf or {}).get("spark.master") or master or f"local[{cpus}]"
+    if shuffle_partitions or target.startswith("local"):
+        # a cluster's own setting stays unless the caller names one
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or cpus)
+    if target.startswith("local"):
+        conf.setdefault("spark.driver.memory", "8g")
     conf.update(extra_conf or {})
     for key, value in conf.items():
         builder = builder.config(key, value)
@@ -79,9 +90,36 @@ def materialize(df, label: str = "table"):
     data columnar, the read-back frame has real file sizes for AQE's
     broadcast decisions, and the files survive lost executors.
     """
-    import uuid
-
     spark = df.sparkSession
-    path = f"{checkpoint_root(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    path = f"{tables_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def tables_root(spark: SparkSession) -> str:
+    """Folder of the intermediate tables: this application's, or the run's
+    inside ``intermediate_tables``."""
+    root = f"{checkpoint_root(spark).rstrip('/')}/tables-{spark.sparkContext.applicationId}"
+    return _RUN_FOLDER.get() or root
+
+
+@contextlib.contextmanager
+def intermediate_tables(spark: SparkSession):
+    """A folder of its own for the tables that ``materialize`` writes inside
+    the block; it is deleted at the end.
+
+    Frames that read those tables must have been written or collected by
+    then (a run commits inside the block).
+    """
+    path = f"{tables_root(spark)}/run-{uuid.uuid4().hex}"
+    token = _RUN_FOLDER.set(path)
+    try:
+        yield path
+    finally:
+        _RUN_FOLDER.reset(token)
+        delete_path(spark, path)
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)

@@ -100,20 +100,45 @@ def read_role(spark: SparkSession, path: str, role: str, fmt: str = "parquet") -
     return spark.read.schema(struct(INPUT_SCHEMAS[role])).format(fmt).load(path)
 
 
-def conform(df: DataFrame, ddl: str, *, allow_missing: bool = False) -> DataFrame:
+# Declared keys of the roles that the jobs rely on being unique.
+DECLARED_KEYS = {"master": "entryid", "cards": "cardid", "fee_plans": "FeePlanChangeID",
+                 "states": "id", "card_requests": "CardRequestID"}
+
+
+def conform(df: DataFrame, ddl: str, *, allow_missing: bool = False, on_bad: str = "fail") -> DataFrame:
     """Select and cast ``df`` to a declared schema by column name.
 
-    Missing columns are an error unless ``allow_missing`` (then NULL).
-    The casts are ``try_cast`` so one bad value becomes NULL, not a failed job.
+    Missing columns are an error unless ``allow_missing`` (then NULL). A
+    value that does not fit its type fails the job with the column's name;
+    ``on_bad="null"`` makes it NULL (``misfits`` lists such rows).
     """
-    present = {c.lower(): c for c in df.columns}
+    if on_bad not in ("fail", "null"):
+        raise ValueError(on_bad)
     cols = []
-    for f in struct(ddl).fields:
-        src = present.get(f.name.lower())
+    for f, src in _declared(df, ddl):
         if src is None:
             if not allow_missing:
                 raise ValueError(f"missing column {f.name}")
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.col(src).try_cast(f.dataType).alias(f.name))
+            continue
+        value = F.col(src).try_cast(f.dataType)
+        if on_bad == "fail" and df.schema[src].dataType != f.dataType:
+            bad = F.col(src).isNotNull() & value.isNull()
+            text = F.concat(F.lit(f"{f.name} is no {f.dataType.simpleString()}: "), F.col(src).cast("string"))
+            value = F.when(bad, F.raise_error(text).cast(f.dataType)).otherwise(value)
+        cols.append(value.alias(f.name))
     return df.select(*cols)
+
+
+def misfits(df: DataFrame, ddl: str) -> DataFrame:
+    """Rows with a value that does not fit its declared type, with ``reason``
+    (the names of those columns)."""
+    names = [F.when(F.col(src).isNotNull() & F.col(src).try_cast(f.dataType).isNull(), F.lit(f.name))
+             for f, src in _declared(df, ddl) if src is not None]
+    found = df.withColumn("reason", F.concat_ws(",", *names))
+    return found.where(F.col("reason") != "")
+
+
+def _declared(df: DataFrame, ddl: str):
+    present = {c.lower(): c for c in df.columns}
+    return [(f, present.get(f.name.lower())) for f in struct(ddl).fields]
