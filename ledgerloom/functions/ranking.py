@@ -139,6 +139,7 @@ def rank_in_groups(
     strategy: str = "auto",
     partitions: int | None = None,
     hot_group_rows: int = HOT_GROUP_ROWS,
+    hot: list | None | bool = False,
 ) -> DataFrame:
     """Add ``out`` = row_number / dense_rank within ``keys`` by ``order``.
 
@@ -147,6 +148,11 @@ def rank_in_groups(
     "auto": find the hot keys first; rows of ordinary keys get the plain
     window, rows of hot keys (a broadcast set of bounded size) the range
     plan. With no hot key this is one aggregate plus the plain window.
+
+    ``hot``: what ``hot_keys`` gave on a narrower frame with the same keys
+    (or more rows of them), so that the keys are counted once and without
+    evaluating ``df``. A frame with hot keys is read by both branches: callers
+    whose ``df`` is costly materialize it first.
     """
     keys = list(keys)
     if method not in ("row_number", "dense_rank"):
@@ -158,8 +164,11 @@ def rank_in_groups(
         return _range_rank(df, keys, order, out, method, n)
     if strategy != "auto":
         raise ValueError(strategy)
-    hot = hot_keys(df, keys, hot_group_rows)
+    if hot is False:
+        hot = hot_keys(df, keys, hot_group_rows)
     if hot is None:
+        # too many hot keys to list: as many partitions as hot groups' worth of rows
+        n = max(n, -(-df.count() // hot_group_rows))
         return _range_rank(df, keys, order, out, method, n)
     if not hot:
         return _window_rank(df, keys, order, out, method)
@@ -181,8 +190,10 @@ def rank_in_groups(
 def first_per_group(df: DataFrame, keys: Sequence[str], order: OrderSpec) -> DataFrame:
     """The first row per key by ``order`` (row_number = 1).
 
-    Planned as WindowGroupLimit: each map task keeps one row per key before
-    the shuffle, so a hot key sends at most one row per task.
+    Planned as WindowGroupLimit. Where ``df`` is not already partitioned by
+    the keys, each map task keeps one row per key before the shuffle, so a
+    hot key sends at most one row per task; callers therefore limit before
+    they join on the key.
     """
     w = Window.partitionBy(*keys).orderBy(*sort_columns(order))
     return (df.withColumn("_ll_rn", F.row_number().over(w))

@@ -7,6 +7,11 @@ Input roles (column names are the contract; adapt frames with ``select``):
 
 J01 bridge_expand, J02 category_domain, J03 category_pivot,
 J04 category_flatten, J05 category_flatten_incremental, J06 category_drift.
+
+``category_counts_long`` is the form without any bound: one row per (id,
+Category). A wide table needs its list of columns on the driver, so the wide
+forms take the list (``domain``), or find it and check it against
+``max_categories`` when the caller sets that; nothing is capped by default.
 """
 
 from __future__ import annotations
@@ -14,13 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_MAX_CATEGORIES = 10_000  # same bound as spark.sql.pivotMaxValues
-# Up to this many categories, one count_if per value (one aggregate, every
-# row compared with each value, stays in whole-stage codegen, whose default
-# limit spark.sql.codegen.maxFields is 100). Wider lists count the narrow
-# (id, category) pairs first and pivot those counts.
-WIDE_DOMAIN = 100
-
+from ledgerloom.session import materialize
 
 def quote(name: str) -> str:
     """Backtick-quote a column name so dots, spaces and brackets are literal."""
@@ -53,35 +52,32 @@ def domain_frame(expanded: DataFrame, category: str = "Category") -> DataFrame:
     return expanded.select(c).where(c.isNotNull()).distinct().orderBy(c)
 
 
-def domain_text(expanded: DataFrame, category: str = "Category",
-                max_categories: int = DEFAULT_MAX_CATEGORIES) -> DataFrame:
+def domain_text(expanded: DataFrame, category: str = "Category") -> DataFrame:
     """J02 as text: one row, the sorted values bracket-quoted and comma
     separated (the form of a column list), NULLs dropped.
 
-    At most ``max_categories + 1`` distinct values reach the single final
-    group; more than ``max_categories`` raises, as for ``category_domain``.
+    The text is one value by definition; its size is that of the distinct
+    values, which the aggregate has reduced the rows to before.
     """
     c = F.col(category)
-    distinct = (expanded.where(c.isNotNull()).select(c.alias("_v")).distinct()
-                .limit(max_categories + 1))
+    distinct = expanded.where(c.isNotNull()).select(c.alias("_v")).distinct()
     values = F.array_sort(F.collect_list("_v"))
     quoted = F.transform(values, lambda v: F.concat(F.lit("["), F.replace(v, F.lit("]"),
                                                                           F.lit("]]")), F.lit("]")))
-    too_many = F.size(values) > F.lit(max_categories)
-    text = F.when(too_many, F.raise_error(F.lit(f"more than {max_categories} distinct categories"))
-                  ).otherwise(F.concat_ws(",", quoted))
-    return distinct.agg(text.alias("columns"))
+    return distinct.agg(F.concat_ws(",", quoted).alias("columns"))
 
 
 def category_domain(expanded: DataFrame, category: str = "Category",
-                    max_categories: int = DEFAULT_MAX_CATEGORIES) -> list[str]:
+                    max_categories: int | None = None) -> list[str]:
     """The column list of the pivot, collected once to the driver.
 
-    The number of values is checked against ``max_categories`` so the list
-    that crosses to the driver has a proven bound.
+    It is the list of the columns that the result will have. With
+    ``max_categories`` a longer list raises, and no more than one value over
+    it is collected.
     """
-    rows = domain_frame(expanded, category).limit(max_categories + 1).collect()
-    if len(rows) > max_categories:
+    found = domain_frame(expanded, category)
+    rows = (found if max_categories is None else found.limit(max_categories + 1)).collect()
+    if max_categories is not None and len(rows) > max_categories:
         raise ValueError(f"more than {max_categories} distinct categories")
     values = [r[0] for r in rows]
     lowered = {v.lower() for v in values}
@@ -90,86 +86,99 @@ def category_domain(expanded: DataFrame, category: str = "Category",
     return values
 
 
-def _count_columns(domain, category: str):
-    c = F.col(category)
-    # count_if keeps 0 for an absent value (pivot().count() would give NULL)
-    return [F.count_if(c == F.lit(v)).alias(v) for v in domain]
+def _long(rows: DataFrame, id: str, category: str) -> DataFrame:
+    """(id, category, _ll_n): rows per pair, summed map-side first."""
+    return rows.groupBy(id, category).agg(F.count(F.lit(1)).alias("_ll_n"))
 
 
-def _counts(rows: DataFrame, domain, id: str, category: str) -> DataFrame:
-    """``id`` + one bigint count per domain value (0 when absent)."""
-    if len(domain) <= WIDE_DOMAIN:
-        return rows.groupBy(id).agg(*_count_columns(domain, category))
-    pairs = rows.groupBy(id, category).agg(F.count(F.lit(1)).alias("_ll_n"))
-    wide = pairs.groupBy(id).pivot(category, list(domain)).agg(F.sum("_ll_n"))
-    return wide.select(id, *[F.coalesce(F.col(quote(v)), F.lit(0)).cast("bigint").alias(v)
-                             for v in domain])
+def _wide(long: DataFrame, domain, id: str, category: str) -> DataFrame:
+    """``id`` + one bigint count per domain value (0 when absent), from the
+    counted pairs: one aggregate and one shuffle on ``id`` for a list of any
+    width (a collated category is matched as it was grouped)."""
+    c = F.col(category)
+    return long.groupBy(id).agg(*[
+        F.coalesce(F.sum(F.when(c == F.lit(v), F.col("_ll_n"))), F.lit(0)).cast("bigint").alias(v)
+        for v in domain])
 
 
-def category_pivot(expanded: DataFrame, domain=None, *, id: str = "id",
-                   category: str = "Category") -> DataFrame:
+def category_pivot(expanded: DataFrame, domain=None, *, id: str = "id", category: str = "Category",
+                   max_categories: int | None = None) -> DataFrame:
     """One row per id, one bigint count per category value.
 
-    A single hash aggregate with map-side partial counts, so one shuffle on
-    ``id``; a hot id is pre-aggregated before it is shuffled.
+    Pairs (id, category) are counted map-side, so a hot id is small before it
+    is shuffled. Without ``domain`` the counted pairs are written once: the
+    list and the pivot are both taken from them.
     """
+    long = _long(expanded, id, category)
     if domain is None:
-        domain = category_domain(expanded, category)
+        long = materialize(long, "category_counts")
+        domain = category_domain(long, category, max_categories)
     if not domain:
         return expanded.select(id).where(F.lit(False))
-    return _counts(expanded, domain, id, category)
+    return _wide(long, domain, id, category)
+
+
+def category_counts_long(events: DataFrame, bridge: DataFrame, categories: DataFrame, *,
+                         collation: str | None = None) -> DataFrame:
+    """J03 in long form: (id, Category, n) for events that exist; no bound on
+    the categories, nothing crosses to the driver.
+
+    An event id that repeats counts its bridge rows once per event row, as
+    the join of J01 does.
+    """
+    counted = _long(_category_rows(bridge, categories, collation), "id", "Category")
+    repeats = events.groupBy("id").agg(F.count(F.lit(1)).alias("_ll_e"))
+    return counted.join(repeats, "id").select(
+        "id", "Category", (F.col("_ll_n") * F.col("_ll_e")).alias("n"))
 
 
 def category_counts(events: DataFrame, bridge: DataFrame, categories: DataFrame,
-                    domain=None, *, max_categories: int = DEFAULT_MAX_CATEGORIES,
+                    domain=None, *, max_categories: int | None = None,
                     collation: str | None = None) -> DataFrame:
     """J03 from the source tables: ``id`` + one count per category, for events
     that exist.
 
-    Same rows as ``category_pivot(bridge_expand(...))``, but the bridge rows
-    are counted per id (map-side partial counts) before they meet the
-    events, and the events contribute only their ids to a semi join.
+    Same rows as ``category_pivot(bridge_expand(...))`` (also for event ids
+    that repeat), but the bridge rows are counted per (id, Category) before
+    they meet the events, and the events contribute only their ids.
     """
-    rows = _category_rows(bridge, categories, collation)
-    ids = events.select("id")
+    long = category_counts_long(events, bridge, categories, collation=collation).withColumnRenamed("n", "_ll_n")
     if domain is None:
-        domain = category_domain(rows.join(ids, "id", "left_semi"), "Category", max_categories)
+        long = materialize(long, "category_counts")
+        domain = category_domain(long, "Category", max_categories)
     if not domain:
-        return ids.where(F.lit(False))
-    return _counts(rows, domain, "id", "Category").join(ids, "id", "left_semi")
+        return events.select("id").where(F.lit(False))
+    return _wide(long, domain, "id", "Category")
 
 
 def category_flatten(events: DataFrame, bridge: DataFrame, categories: DataFrame,
-                     domain=None, *, literal: bool = False,
-                     max_categories: int = DEFAULT_MAX_CATEGORIES,
+                     domain=None, *, literal: bool = False, max_categories: int | None = None,
                      collation: str | None = None) -> DataFrame:
     """Event attributes + one count column per category.
 
     Default: one row per event. The counts are aggregated on the narrow
     (id, Category) rows before the wide event rows are joined, so the event
-    table is joined once per event instead of once per bridge row.
+    table is joined once per event instead of once per bridge row. Without
+    ``domain`` the counted pairs of live events are written once and give
+    both the column list and the counts.
     ``literal=True``: the pivot is joined back to the expanded rows, one row
     per (event, bridge row), as the positional insert did.
     ``collation``: see ``_category_rows`` (values equal under it share a column).
     """
     rows = _category_rows(bridge, categories, collation)
+    counted = _long(rows, "id", "Category")
     if domain is None:
-        live = rows.join(events.select("id"), "id", "left_semi")
-        domain = category_domain(live, "Category", max_categories)
+        live = events.select("id").distinct()
+        counted = materialize(counted.join(live, "id", "left_semi"), "category_counts")
+        domain = category_domain(counted, "Category", max_categories)
     event_cols = events.columns
     clash = {c.lower() for c in event_cols} & {v.lower() for v in domain}
     if clash:
         raise ValueError(f"categories named like event columns: {sorted(clash)}")
     if not domain:
         return events.where(F.lit(False))
-    if literal:
-        expanded = events.join(rows, "id")
-        pivot = _counts(rows, domain, "id", "Category")
-        return (expanded.join(pivot, "id")
-                .select(*[F.col(quote(c)) for c in event_cols],
-                        *[F.col(quote(v)) for v in domain]))
-    counts = _counts(rows, domain, "id", "Category")
-    return events.join(counts, "id").select(
+    left = events.join(rows.select("id"), "id") if literal else events
+    return left.join(_wide(counted, domain, "id", "Category"), "id").select(
         *[F.col(quote(c)) for c in event_cols], *[F.col(quote(v)) for v in domain])
 
 
@@ -184,13 +193,21 @@ def category_drift(expanded: DataFrame, target_columns, *,
     c = F.col(category)
     counts = (expanded.where(c.isNotNull()).groupBy(c.alias("Category"))
               .agg(F.count(F.lit(1)).alias("n_rows")))
-    target = spark.createDataFrame([(v,) for v in target_columns], "Category string")
-    new = (counts.join(target, "Category", "left_anti")
-           .withColumn("direction", F.lit("not_in_target")))
-    gone = (target.join(counts, "Category", "left_anti")
-            .select("Category", F.lit(0).cast("bigint").alias("n_rows"),
-                    F.lit("not_in_data").alias("direction")))
-    return new.unionByName(gone)
+    # one side of each pair is missing exactly where the two sets differ
+    target = spark.createDataFrame([(v, True) for v in target_columns], "Category string, in_target boolean")
+    return (counts.join(target, "Category", "full_outer")
+            .where(F.col("n_rows").isNull() | F.col("in_target").isNull())
+            .select("Category", F.coalesce("n_rows", F.lit(0)).alias("n_rows"),
+                    F.when(F.col("in_target").isNull(), F.lit("not_in_target"))
+                    .otherwise(F.lit("not_in_data")).alias("direction")))
+
+
+class NewCategories(ValueError):
+    """Categories that the target lacks; ``drift`` has all of them."""
+
+    def __init__(self, drift: DataFrame, total: int, first: list[str]):
+        super().__init__(f"{total} new categories not in the target, among them: " + ", ".join(first))
+        self.drift, self.total = drift, total
 
 
 def category_flatten_incremental(events: DataFrame, bridge: DataFrame,
@@ -200,17 +217,19 @@ def category_flatten_incremental(events: DataFrame, bridge: DataFrame,
 
     The column list is the target's (its columns that are not event
     columns), so the result can be appended by name. Categories outside it
-    raise by default (``on_new_category='error'``) or are ignored.
+    raise ``NewCategories`` with the full drift by default
+    (``on_new_category='error'``) or are ignored.
     """
     domain = [c for c in target.columns if c not in events.columns]
     fresh = events.join(target.select("id"), "id", "left_anti")
     if on_new_category == "error":
         rows = _category_rows(bridge, categories).join(fresh.select("id"), "id", "left_semi")
-        drift = (category_drift(rows, domain)
-                 .where(F.col("direction") == "not_in_target").limit(20).collect())
-        if drift:
-            raise ValueError("new categories not in the target: "
-                             + ", ".join(r["Category"] for r in drift))
+        drift = category_drift(rows, domain).where(F.col("direction") == "not_in_target")
+        # one row: how many, and the first few names for the message
+        found = drift.agg(F.count(F.lit(1)).alias("n"), F.min("Category").alias("first"),
+                          F.max("Category").alias("last")).first()
+        if found["n"]:
+            raise NewCategories(drift, found["n"], sorted({found["first"], found["last"]}))
     elif on_new_category != "ignore":
         raise ValueError(on_new_category)
     return category_flatten(fresh, bridge, categories, domain)

@@ -9,7 +9,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.exprs import to_utc
-from ledgerloom.functions.ranking import first_per_group
 from ledgerloom.operators import prune
 
 LOOKUP_COLUMNS = ["entryid", "ShortDepositId", "FullDepositID", "EncryptedDepositID", "CreateDate"]
@@ -20,18 +19,15 @@ def best_id_lookup(master: DataFrame, child: DataFrame, usage: DataFrame,
                    tie_keys=("EncryptedDepositID", "createdate")) -> DataFrame:
     """Rows to append to the lookup.
 
-    Multi-id entries: the most used id (ties: highest id, then ``tie_keys``).
-    Single-id entries of the master: their id. Entries already in the
-    lookup are left alone (insert-only). Both parts get the creation time
-    in UTC (the legacy text converted only the first part).
+    Entries of the master: the most used id (ties: highest id, then
+    ``tie_keys``), which is the only one of a single-id entry. Entries
+    already in the lookup are left alone (insert-only). Both parts get the
+    creation time in UTC (the legacy text converted only the first part).
+    The best row is taken before any join on the entry, so that a hot entry
+    sends one row per map task.
     """
-    flagged = prune._flag(child, master, usage, "entryid")
-    multi = F.coalesce(F.col("_multi"), F.lit(False))
-    order = [(prune.USED, True), (prune.ID, True)] + [(c, True) for c in tie_keys]
-    best = first_per_group(flagged.where(multi), [prune.KEY], order)
     in_master = master.select(F.col("entryid").alias(prune.KEY)).distinct()
-    single = flagged.where(~multi).join(in_master, prune.KEY, "left_semi")
-    rows = best.select(*child.columns).unionByName(single.select(*child.columns))
+    rows = prune.best_per_entry(child, usage, tie_keys).join(in_master, prune.KEY, "left_semi")
     if existing_lookup is not None:
         present = existing_lookup.select(F.col("entryid").alias(prune.KEY)).distinct()
         rows = rows.join(present, prune.KEY, "left_anti")

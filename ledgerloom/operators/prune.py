@@ -20,7 +20,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.functions.ranking import HOT_GROUP_ROWS, first_per_group, rank_in_groups
+from ledgerloom.functions.ranking import HOT_GROUP_ROWS, first_per_group, hot_keys, rank_in_groups
+from ledgerloom.session import materialize
 
 KEY = "Entryid"
 ID = "FullDepositID"
@@ -84,7 +85,12 @@ def usage_rank(master: DataFrame, child: DataFrame, usage: DataFrame, *,
     used = usage_count(child, usage)
     multi = multi_key_entries(master, child, key=key)
     rows = used.join(multi, KEY, "left_semi")
-    opts = dict(method="dense_rank", strategy=strategy, hot_group_rows=hot_group_rows)
+    # both ranks share the key: its counts are taken once, on the child's key alone
+    hot = hot_keys(child.select(KEY), [KEY], hot_group_rows) if strategy == "auto" else None
+    if hot:
+        rows = materialize(rows, "used_ids")  # read by the cold and the hot branch of each rank
+    opts = dict(method="dense_rank", strategy=strategy, hot_group_rows=hot_group_rows,
+                **({"hot": hot} if strategy == "auto" else {}))
     rows = rank_in_groups(rows, [KEY], [(USED, True)], "UseRank", **opts)
     return rank_in_groups(rows, [KEY], [(ID, True)], "DDIDRank", **opts)
 
@@ -128,15 +134,27 @@ def prune_less_used(master: DataFrame, child: DataFrame, usage: DataFrame, *,
     return _survivors(flagged, delete, _out_cols(child, False), literal)
 
 
+def best_per_entry(child: DataFrame, usage: DataFrame, tie_keys) -> DataFrame:
+    """Per entry its most used id (ties: highest id, then ``tie_keys``).
+
+    The limit stands before any join on the entry, so that each map task
+    sends one row of a hot entry (partial WindowGroupLimit below the
+    exchange on the entry).
+    """
+    used = child if USED in child.columns else usage_count(child, usage)
+    order = [(USED, True), (ID, True)] + [(c, True) for c in tie_keys]
+    return first_per_group(used, [KEY], order).select(*_out_cols(child, False))
+
+
 def keep_best(master: DataFrame, child: DataFrame, usage: DataFrame, *,
               key: str = "entryid", tie_keys=("EncryptedDepositID", "createdate")) -> DataFrame:
     """One id per multi-id entry: most used, then highest id.
 
-    Rows of entries with a single id (or no master row) are kept as they are.
+    An entry of the master keeps its best row (its only one, when it has a
+    single id); rows of entries without a master row are kept as they are.
     """
-    flagged = _flag(child, master, usage, key)
-    multi = F.coalesce(F.col("_multi"), F.lit(False))
-    order = [(USED, True), (ID, True)] + [(c, True) for c in tie_keys]
-    best = first_per_group(flagged.where(multi), [KEY], order)
-    rest = flagged.where(~multi)
-    return best.select(*child.columns).unionByName(rest.select(*child.columns))
+    cols = _out_cols(child, False)
+    entries = master.select(F.col(key).alias(KEY)).distinct()
+    best = best_per_entry(child, usage, tie_keys).join(entries, KEY, "left_semi")
+    rest = child.select(*cols).join(entries, KEY, "left_anti")
+    return best.select(*cols).unionByName(rest.select(*cols))

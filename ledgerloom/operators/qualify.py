@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import code_maps as cm
 from ledgerloom.functions.exprs import month_end, ntz, person_ok, try_bigint
-from ledgerloom.functions.ranking import HOT_GROUP_ROWS, rank_in_groups
+from ledgerloom.functions.ranking import HOT_GROUP_ROWS, hot_keys, rank_in_groups
+from ledgerloom.session import materialize
 
 
 def qualify_accounts(master: DataFrame, cards: DataFrame, balances: DataFrame,
@@ -65,8 +66,11 @@ def qualify_accounts(master: DataFrame, cards: DataFrame, balances: DataFrame,
         c = master.where(ok).select("entryid").join(paying, "entryid", "left_semi")
         parts.append(c)
     keys = reduce(DataFrame.unionByName, parts).distinct()
-    rows = master.join(keys, "entryid", "left_semi")
-    return rows if unique_key else rows.distinct()
+    if unique_key:
+        return master.join(keys, "entryid", "left_semi")
+    # a key may repeat: rows that fail the person test must not come back
+    # with another row of their key
+    return master.where(ok).join(keys, "entryid", "left_semi").distinct()
 
 
 def append_related(selected: DataFrame, master: DataFrame, *, person: str = "ssn",
@@ -140,11 +144,18 @@ CONTACT_ORDER = [("AccountTypeId", False), ("accountstatus", False),
 
 def contact_rank(accounts: DataFrame, *, person: str = "ssn", order=CONTACT_ORDER,
                  tie_key: str = "entryid", strategy: str = "auto",
-                 hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+                 hot_group_rows: int = HOT_GROUP_ROWS, persons: DataFrame | None = None) -> DataFrame:
     """``ContactRank`` = row number per person; ``tie_key`` makes it total.
 
     Persons can be very uneven (a dummy person key may hold a large share of
     the rows), so hot persons are split by the ``auto`` ranking strategy.
+    ``persons``: a narrow frame with the person of every account (or of more
+    accounts), to count the hot ones on.
     """
-    return rank_in_groups(accounts, [person], list(order) + [(tie_key, False)],
-                          "ContactRank", strategy=strategy, hot_group_rows=hot_group_rows)
+    hot = False
+    if strategy == "auto" and persons is not None:
+        hot = hot_keys(persons.select(person), [person], hot_group_rows)
+        if hot:
+            accounts = materialize(accounts, "accounts_to_rank")
+    return rank_in_groups(accounts, [person], list(order) + [(tie_key, False)], "ContactRank",
+                          strategy=strategy, hot_group_rows=hot_group_rows, hot=hot)

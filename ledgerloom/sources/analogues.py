@@ -46,29 +46,28 @@ def flattened_target(t: Tables, domain: list[str]) -> DataFrame:
 
 # ---- ranked duplicate pruning ----------------------------------------------
 
-DEPOSIT_FROM = "2000-06-01"
+def card_holder_keys(t: Tables) -> DataFrame:
+    """Master card holders, key only: orders."""
+    return t.orders.select(F.col("o_orderkey").alias("entryid"))
 
 
-def card_holder_keys(t: Tables) -> DataFrame:
-    """Master card holders, key only: customers."""
-    return t.customer.select(F.col("c_custkey").alias("entryid"))
+def _deposit_key():
+    return F.col("l_partkey") * 100 + F.col("l_linenumber")
 
 
 def deposit_ids(t: Tables) -> DataFrame:
-    """Deposit ids: recent finished orders; entry = customer, id = order."""
-    o = t.orders
-    return (o.where((F.col("o_orderdate") >= ntz(DEPOSIT_FROM)) & (F.col("o_orderstatus") == "F"))
-            .select(F.col("o_custkey").alias("Entryid"),
-                    F.col("o_orderkey").cast("string").alias("ShortDepositID"),
-                    F.col("o_orderkey").alias("FullDepositID"),
-                    F.col("o_orderkey").alias("EncryptedDepositID"),
-                    F.col("o_orderdate").alias("createdate")))
+    """Deposit ids: all line items; entry = order, id = part and line."""
+    return t.lineitem.select(F.col("l_orderkey").alias("Entryid"),
+                             F.col("l_partkey").cast("string").alias("ShortDepositID"),
+                             _deposit_key().alias("FullDepositID"),
+                             _deposit_key().alias("EncryptedDepositID"),
+                             F.col("l_shipdate").alias("createdate"))
 
 
 def deposit_usage(t: Tables) -> DataFrame:
-    """Direct deposit records: returned line items, account = order."""
+    """Direct deposit records: a returned line item is one use of its part and line."""
     return (t.lineitem.where(F.col("l_returnflag") == "R")
-            .select(F.col("l_orderkey").alias("dfiaccountno")))
+            .select(_deposit_key().alias("dfiaccountno")))
 
 
 # ---- incremental loads -----------------------------------------------------
@@ -111,27 +110,36 @@ EXP_DATE = "2001-06-15"
 
 def customer_master(t: Tables) -> DataFrame:
     """Card holders as customers: person = nation, BUILDING accounts are
-    type 2 (secondary), HOUSEHOLD accounts are closed (status 6)."""
+    type 2 (secondary), HOUSEHOLD accounts are closed (status 6). Dummy
+    persons by the account balance: each of the sentinel values stands for
+    one range of it."""
     c = t.customer
-    seg = F.col("c_mktsegment")
+    seg, bal = F.col("c_mktsegment"), F.col("c_acctbal")
     return c.select(
         "*",
         F.col("c_custkey").alias("entryid"),
-        F.col("c_nationkey").cast("string").alias("ssn"),
-        F.col("c_name").alias("firstname"),
+        F.when(bal.between(-100, 0), "999999999").when(bal.between(-200, -100), "123456789 ")
+         .when(bal.between(-300, -200), "   ").otherwise(F.col("c_nationkey").cast("string")).alias("ssn"),
+        F.when(bal.between(-400, -300), "FIRST NAME").otherwise(F.col("c_name")).alias("firstname"),
         F.when(seg == "BUILDING", 2).otherwise(1).alias("AccountTypeId"),
         F.when(seg == "HOUSEHOLD", 6).otherwise(1).alias("accountstatus"),
         F.col("c_custkey").alias("provideraccountID"))
 
 
-def open_cards(t: Tables) -> DataFrame:
-    """Cards: open orders; expiry = order month."""
-    return (t.orders.where(F.col("o_orderstatus") == "O")
-            .select(F.col("o_orderkey").alias("cardid"),
-                    F.col("o_custkey").alias("cardholderid"),
-                    F.month("o_orderdate").alias("expmonth"),
-                    F.year("o_orderdate").alias("expyear"),
-                    F.col("o_orderkey").alias("externalcardid")))
+def customer_cards(t: Tables) -> DataFrame:
+    """Cards: all orders; expiry = order month."""
+    return t.orders.select(F.col("o_orderkey").alias("cardid"),
+                           F.col("o_custkey").alias("cardholderid"),
+                           F.month("o_orderdate").alias("expmonth"),
+                           F.year("o_orderdate").alias("expyear"),
+                           F.col("o_orderkey").alias("externalcardid"))
+
+
+def goals(t: Tables) -> DataFrame:
+    """Goals: one per supplier; the account of its number pays into the one
+    as many numbers further as its nation's key."""
+    return t.supplier.select(F.col("s_suppkey").alias("EntryID"),
+                             (F.col("s_suppkey") + F.col("s_nationkey")).alias("PayRewardsToEntryID"))
 
 
 def _cents(c):
@@ -146,12 +154,10 @@ def ledger_balances(t: Tables) -> DataFrame:
 
 
 def order_balances(t: Tables) -> DataFrame:
-    """Balance rows: finished orders since DEPOSIT_FROM, amount in cents."""
-    o = t.orders.where((F.col("o_orderdate") >= ntz(DEPOSIT_FROM))
-                       & (F.col("o_orderstatus") == "F"))
-    return o.select(F.col("o_custkey").alias("UserAccountID"),
-                    _cents("o_totalprice").alias("UserAvailableBalance"),
-                    _cents("o_totalprice").alias("UserLedgerBalance"))
+    """Balance rows: all orders, amount in cents; an open order's is zero."""
+    cents = F.when(F.col("o_orderstatus") == "O", F.lit(0).cast("bigint")).otherwise(_cents("o_totalprice"))
+    return t.orders.select(F.col("o_custkey").alias("UserAccountID"),
+                           cents.alias("UserAvailableBalance"), cents.alias("UserLedgerBalance"))
 
 
 def ordering_customers(t: Tables, before: bool) -> DataFrame:
@@ -162,9 +168,9 @@ def ordering_customers(t: Tables, before: bool) -> DataFrame:
 
 
 def existing_lookup(t: Tables) -> DataFrame:
-    """Deposit-id lookup rows already present: the AUTOMOBILE customers."""
-    return (t.customer.where(F.col("c_mktsegment") == "AUTOMOBILE")
-            .select(F.col("c_custkey").alias("entryid")))
+    """Deposit-id lookup rows already present: the urgent orders."""
+    return (t.orders.where(F.col("o_orderpriority") == "1-URGENT")
+            .select(F.col("o_orderkey").alias("entryid")))
 
 
 # ---- conversion (order-level master: one account per order) ----------------
@@ -221,6 +227,17 @@ def accounts_master(t: Tables) -> DataFrame:
         F.substring(prio, 1, 1).cast("int").alias("AccountTypeId"))
 
 
+def persons(t: Tables) -> DataFrame:
+    """The person of every account, without the master's lookups."""
+    return t.orders.select(F.col("o_custkey").cast("string").alias("ssn"))
+
+
+def category_brands(t: Tables) -> DataFrame:
+    """Categories: part type with brand (more than a hundred values)."""
+    return t.part.select(F.col("p_partkey").alias("id"),
+                         F.concat_ws(" ", "p_type", "p_brand").alias("Category"))
+
+
 def _digit(c: str):
     return F.substring(F.col(c), 1, 1).cast("int")
 
@@ -368,7 +385,7 @@ def conversion_inputs(t: Tables) -> dict[str, DataFrame]:
     return {
         "master": accounts_master(t), "cards": cards(t), "balances": account_balances(t),
         "deposit_ids": deposit_ids(t), "deposit_usage": deposit_usage(t),
-        "applications": applications(t), "fee_plans": fee_plans(t), "states": states(t),
+        "goals": goals(t), "applications": applications(t), "fee_plans": fee_plans(t), "states": states(t),
         "pin_sets": pin_sets(t), "status_history": status_history(t),
         "materials": card_materials(t), "plastic_types": plastic_types(t), "pans": pans(t),
         "legacy_mapping": legacy_mapping(t), "card_requests": card_requests(t),
