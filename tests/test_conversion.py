@@ -92,6 +92,18 @@ def test_run_job_from_files_twice(spark, small_dir):
     second, report = conversion.run_job(spark, paths, root, exp_date=A.EXP_DATE,
                                         as_of=A.AS_OF, run_id="20240102T000000")
     assert runs.last_complete_run(spark, root) == second
+    # what the run reports rather than loads is there as tables
+    for name in ("AccountsToClose", "RejectedAccounts", "AccountsNotLoaded", "AccountsDeleteOnly", "CardsDeleteOnly"):
+        assert runs.read_run(spark, root, name, second) is not None, name
+    # the intermediate tables of both runs are gone
+    from ledgerloom import session
+    import glob
+    import os
+    left = glob.glob(session.tables_root(spark).removeprefix("file:") + "/run-*")
+    assert not [f for folder in left for _, _, files in os.walk(folder) for f in files]
+    # writing a finished run again takes its mark back until it is done
+    runs.reopen_run(spark, root, second)
+    assert runs.last_complete_run(spark, root) == first
     for name in runs.RELOADED_TARGETS:
         a = runs.read_run(spark, root, name, first)
         b = runs.read_run(spark, root, name, second)
@@ -104,3 +116,52 @@ def test_first_run_reports_nothing_missing(two_runs):
     first, _ = two_runs
     steps = {r.step: r.rows for r in first.report.collect()}
     assert steps["qualifying_not_in_accounts"] == 0 and steps["delete_only_keys"] == 0
+
+
+def test_changed_card_of_an_account_that_no_longer_qualifies_stays(spark, small_dir):
+    """Second run: every card changes, some accounts stop qualifying (their
+    provider key becomes junk)."""
+    inputs = A.conversion_inputs(Tables(spark, small_dir))
+    first = conversion.run_conversion(inputs, exp_date=A.EXP_DATE, as_of=A.AS_OF, full_reload=True, report=False)
+    before = {r.Id: r for r in first.targets["Cards"].collect()}
+    gone = F.col("entryid") % 7 == 3
+    later = dict(inputs)
+    later["master"] = inputs["master"].withColumn("providerkey", F.when(gone, F.lit("junk")).otherwise(F.col("providerkey")))
+    later["cards"] = (inputs["cards"].withColumn("LastUpdateDate", F.col("LastUpdateDate") + F.expr("INTERVAL 10 YEARS"))
+                      .withColumn("nameoncard", F.lit("NEW NAME")))
+    second = conversion.run_conversion(later, exp_date=A.EXP_DATE, as_of=A.AS_OF, targets=first.targets,
+                                       previous_qualifying=first.qualifying, existing_lookup=first.lookup)
+    after = {r.Id: r for r in second.targets["Cards"].collect()}
+    qualifying = {r.entryid for r in second.qualifying.select("entryid").collect()}
+    lost = {i for i, r in before.items() if r.Account_Id not in qualifying}
+    assert lost and set(after) == set(before) | {i for i in after if after[i].Account_Id in qualifying}
+    assert all(after[i] == before[i] for i in lost)
+    assert all(after[i].NameOnCard == "NEW NAME" for i in set(after) - lost)
+    assert {r.Id for r in second.cards_delete_only_keys.collect()} == lost
+    closed = {r.entryid for r in second.accounts_to_close.collect()}
+    assert closed == {r.entryid for r in first.qualifying.select("entryid").collect()} - qualifying
+    statuses = {r.Id: r.Status for r in second.targets["Accounts"].collect()}
+    assert all(statuses[i] == 40 for i in closed)
+    steps = {r.step: r.rows for r in second.report.collect()}
+    assert steps["rejected"] > 0 and steps["accounts_to_close"] == len(closed)
+
+
+def test_repeated_declared_keys_stop_a_job(spark, tmp_path):
+    from ledgerloom.sources.schemas import INPUT_SCHEMAS
+    paths = {}
+    for role, ddl in INPUT_SCHEMAS.items():
+        paths[role] = f"{tmp_path}/in/{role}"
+        rows = [(7, 1), (7, 2)] if role == "fee_plans" else []
+        spark.createDataFrame(rows, ddl).write.parquet(paths[role])
+    with pytest.raises(ValueError, match="fee_plans.FeePlanChangeID"):
+        conversion.run_job(spark, paths, f"{tmp_path}/out", exp_date=A.EXP_DATE, as_of=A.AS_OF)
+
+
+def test_checkpoint_folder_of_the_session_is_kept(spark):
+    """get_spark never names a checkpoint folder over one that is configured."""
+    from ledgerloom import session
+    assert "spark.checkpoint.dir" not in session.BASE_CONF
+    configured = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    again = session.get_spark()
+    assert again.sparkContext.getConf().get("spark.checkpoint.dir") == configured
+    assert session.checkpoint_root(again).removeprefix("file:").startswith(configured.removeprefix("file:"))

@@ -421,12 +421,11 @@ def test_collation_groups_case_variants(spark):
     assert loads.load_addresses(ch, ranked, states, collation="UTF8_LCASE").first().State == 7
 
 
-def test_domain_text_quotes_and_caps(spark, cat_frames):
+def test_domain_text_quotes_and_explicit_bounds(spark, cat_frames):
     events, bridge, cats = cat_frames
     expanded = flatten.bridge_expand(events, bridge, cats)
     assert flatten.domain_text(expanded).first().columns == "[#tag],[Sales, Q1],[a.b [x]]]"
-    with pytest.raises(Exception, match="more than 2"):
-        flatten.domain_text(expanded, max_categories=2).collect()
+    assert len(flatten.category_domain(expanded)) == 3  # no bound unless the caller sets one
     with pytest.raises(ValueError, match="more than 2"):
         flatten.category_domain(expanded, max_categories=2)
 
@@ -441,23 +440,83 @@ def test_hot_person_ranked_by_split_path(spark):
     assert sorted(a.collect()) == sorted(b.collect())
 
 
-def test_wide_domain_pivots_pair_counts(spark):
-    n = 150   # above WIDE_DOMAIN: pair counts + pivot instead of count_if
+def test_wide_and_long_counts_agree(spark):
+    n = 150
     events = spark.range(40).select(F.col("id"), (F.col("id") % 3).alias("g"))
     bridge = spark.range(400).select((F.col("id") % 40).alias("event_id"),
                                      (F.col("id") % n).alias("category_id"))
     cats = spark.range(n).select(F.col("id"), F.format_string("c.%03d", "id").alias("Category"))
     wide = flatten.category_flatten(events, bridge, cats)
     assert len(wide.columns) == 2 + n
-    from ledgerloom.operators import flatten as fl
-    old = fl.WIDE_DOMAIN
-    try:
-        fl.WIDE_DOMAIN = 10_000
-        narrow = flatten.category_flatten(events, bridge, cats)
-    finally:
-        fl.WIDE_DOMAIN = old
-    assert wide.columns == narrow.columns
-    assert sorted(wide.collect()) == sorted(narrow.collect())
+    cells = {(r["id"], c): r[c] for r in wide.collect() for c in wide.columns[2:] if r[c]}
+    long = flatten.category_counts_long(events, bridge, cats).collect()
+    assert cells == {(r["id"], r["Category"]): r["n"] for r in long}
+
+
+def test_repeated_event_ids_multiply(spark):
+    events = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "id bigint, x string")
+    bridge = spark.createDataFrame([(1, 7), (1, 7), (2, 7), (3, 7)], "event_id bigint, category_id bigint")
+    cats = spark.createDataFrame([(7, "k")], "id bigint, Category string")
+    expanded = flatten.category_pivot(flatten.bridge_expand(events, bridge, cats))
+    counted = flatten.category_counts(events, bridge, cats)
+    assert sorted(map(tuple, counted.collect())) == sorted(map(tuple, expanded.collect())) == [(1, 4), (2, 1)]
+
+
+def test_new_categories_come_with_the_whole_drift(spark):
+    events = spark.range(60).withColumn("x", F.lit(1))
+    bridge = spark.range(60).select(F.col("id").alias("event_id"), F.col("id").alias("category_id"))
+    cats = spark.range(60).select("id", F.format_string("c%02d", "id").alias("Category"))
+    target = spark.createDataFrame([], "id bigint, x int, c00 bigint")
+    with pytest.raises(flatten.NewCategories, match="59 new categories") as e:
+        flatten.category_flatten_incremental(events, bridge, cats, target)
+    assert e.value.total == e.value.drift.count() == 59
+
+
+def test_sentinel_rows_stay_out_when_keys_repeat(spark):
+    m = master(spark, dict(entryid=1, ssn="5", AccountTypeId=1, provideraccountID=9),
+               dict(entryid=1, ssn="999999999", AccountTypeId=1, provideraccountID=9),
+               dict(entryid=2, ssn="6", firstname="FIRST NAME", AccountTypeId=1, provideraccountID=9))
+    cards = spark.createDataFrame([], "cardholderid bigint, expmonth int, expyear int, externalcardid bigint")
+    balances = spark.createDataFrame([(9, 5)], "UserAccountID bigint, UserLedgerBalance bigint")
+    got = qualify.qualify_accounts(m, cards, balances, exp_date="2020-01-01", unique_key=False)
+    assert [(r.entryid, r.ssn) for r in got.collect()] == [(1, "5")]
+
+
+# Written by hand from the code lists: card status with the active flag or the
+# block reason; issue reason by issuance state, else block reason, else state;
+# status reason by card status, for blocked cards by block reason.
+CARD_STATUS = {(0, True): 10, (1, True): 10, (0, False): 30, (1, False): 30, 2: 20, 4: 30, 5: 30, 6: 30, None: 30}
+BLOCKED_STATUS = {2: 40, 7: 50, 8: 40}
+ISSUE_BY_STATE = {1: 1, 3: 2}
+ISSUE_BY_BLOCK = {1: 5, 2: 8, 8: 6, 14: 7}
+ISSUE_OTHERWISE = {0: 2, 2: 2}
+REASON = {0: 10, 1: 10, 2: 20, 4: 34, 5: 20, 6: 20, None: 20}
+BLOCKED_REASON = {2: 90, 4: 34, 7: 100, 8: 30, 9: 43, 14: 80}
+
+
+def test_every_branch_of_the_code_tables(spark):
+    rows = [(s, a, b, i) for s in (None, 0, 1, 2, 3, 4, 5, 6) for a in (True, False)
+            for b in range(16) for i in (None, 0, 1, 2, 3, 4)]
+    frame = spark.createDataFrame(rows, "s int, a boolean, b int, i int")
+    roles = {"card_status": F.col("s"), "active": F.col("a").cast("int"), "block_reason": F.col("b"),
+             "issuance_state": F.col("i")}
+    got = frame.select("s", "a", "b", "i", *[
+        cm.build(rules, default, roles).alias(n) for n, rules, default in (
+            ("status", cm.CARD_STATUS, cm.CARD_STATUS_DEFAULT), ("issue", cm.ISSUE_REASON, cm.ISSUE_REASON_DEFAULT),
+            ("reason", cm.STATUS_REASON, cm.STATUS_REASON_DEFAULT))]).collect()
+    for r in got:
+        status = BLOCKED_STATUS.get(r.b, 30) if r.s == 3 else CARD_STATUS[(r.s, r.a) if r.s in (0, 1) else r.s]
+        issue = ISSUE_BY_STATE.get(r.i) or ISSUE_BY_BLOCK.get(r.b) or ISSUE_OTHERWISE.get(r.i, 6)
+        reason = BLOCKED_REASON.get(r.b, 30) if r.s == 3 else REASON[r.s]
+        assert (r.status, r.issue, r.reason) == (status, issue, reason), r
+    plans = spark.range(12).select("id", cm.build(cm.FEE_PLAN_TYPE, cm.FEE_PLAN_TYPE_DEFAULT, {"fee_plan": F.col("id")}).alias("t"),
+                                   cm.build(cm.DELIVERY_TYPE, cm.DELIVERY_TYPE_DEFAULT, {"delivery": F.col("id")}).alias("d"),
+                                   cm.build(cm.ACCOUNT_STATUS, cm.ACCOUNT_STATUS_DEFAULT, {"account_status": F.col("id")}).alias("s"),
+                                   cm.build(cm.ACCOUNT_STATUS_REASON, cm.ACCOUNT_STATUS_REASON_DEFAULT,
+                                            {"account_status": F.col("id")}).alias("r")).collect()
+    assert [r.t for r in plans] == [1, 1, 2, 4, 1, 1, 2, 3, 1, 2, 1, 1]
+    assert [r.d for r in plans] == ["UNKNOWN", "Standard", "Expedited"] + ["UNKNOWN"] * 9
+    assert [(r.s, r.r) for r in plans] == [(10, 10)] * 6 + [(40, 44)] + [(10, 10)] * 5
 
 
 def test_declared_schemas_conform_and_read(spark):
@@ -505,3 +564,13 @@ def test_mark_inclusive_and_without_zone(spark):
     assert [r.Id for r in inc.changed_since(src, "LastUpdateDate", mark).collect()] == [2]
     both = inc.changed_since(src, "LastUpdateDate", mark, inclusive=True)
     assert sorted(r.Id for r in both.collect()) == [1, 2]
+
+
+def test_values_that_do_not_fit_are_not_hidden(spark):
+    from ledgerloom.sources.schemas import conform, misfits
+    df = spark.createDataFrame([("7", "2020-01-01 00:00:00"), ("x", None), (None, "no time")], "cardid string, asofdate string")
+    ddl = "cardid bigint, asofdate timestamp_ntz"
+    with pytest.raises(Exception, match="is no (bigint|timestamp_ntz)"):
+        conform(df, ddl).collect()
+    assert [r.cardid for r in conform(df, ddl, on_bad="null").collect()] == [7, None, None]
+    assert sorted(r.reason for r in misfits(df, ddl).collect()) == ["asofdate", "cardid"]
