@@ -57,7 +57,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written as WARC bundles and read back from them."""
     path = scratch(spark, "warc")
     warc.write(read(spark, sf_dir, "pages"), path)
-    return warc.read_records(spark, path).select(
+    return warc.read_records(spark, path, with_payload=False).select(
         F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("long").alias("refers_to"))
 

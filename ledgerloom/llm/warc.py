@@ -133,7 +133,8 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     first = (narrow.groupBy("digest").agg(F.max("id").alias("first"), F.min("id").alias("least"))
              .where("first > least").select("digest", "first"))
     revisits = narrow.join(first, "digest").where("id < first").select("id", F.col("first").alias("refers_to")).distinct()
-    return (pages.withColumns({"digest": digest, "payload_bytes": size}).join(revisits, "id", "left")
+    # the narrow side is hashed: the pages themselves are not sorted
+    return (pages.withColumns({"digest": digest, "payload_bytes": size}).join(revisits.hint("shuffle_hash"), "id", "left")
             .withColumn("refers_to", F.when(F.col("payload_bytes") >= LEAST_REVISIT_BYTES, F.col("refers_to"))))
 
 
@@ -183,11 +184,12 @@ def write(pages: DataFrame, path: str, level: int = 3, id_column: str = "page_id
      .option("compression", "none").option("maxRecordsPerFile", 1).mode("errorifexists").text(path))
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
     """Every record of the bundles below ``path`` with its place.
 
     Returns id, url, record_type, refers_to, payload_digest and payload_bytes
-    as the record states them, payload (binary), sha1 (of the payload read),
+    as the record states them, payload (binary; null without
+    ``with_payload``), sha1 (of the payload read),
     bundle (file), frame, frame_offset, frame_bytes and offset (inside the
     decompressed frame).
     """
@@ -207,7 +209,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
                         rows.append((head["X-Page-ID"] or None, head["WARC-Target-URI"], head["WARC-Type"],
                                      refers[len("<urn:page:"):-1] if refers else None,
                                      head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"]),
-                                     body, hashlib.sha1(body).hexdigest(), file, k, offset, packed, at))
+                                     body if with_payload else None, hashlib.sha1(body).hexdigest(), file, k, offset,
+                                     packed, at))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
 
