@@ -27,7 +27,7 @@ from ledgerloom.llm.common import materialize, pick, text_slices
 #: Texts (about) that fit the trigram model, taken by a hash.
 SAMPLE_ROWS = 20_000
 #: Hash buckets of the trigrams, and the most languages of a model.
-BUCKETS, MOST_LANGUAGES = 1 << 15, 64
+BUCKETS, MOST_LANGUAGES = 1 << 17, 64
 #: Trigrams of one text depend on each other: they count as so many at most.
 EFFECTIVE_GRAMS = 40.0
 #: Weight of the level above, in texts, in each level's counts.
@@ -53,7 +53,7 @@ def trigrams(text: str) -> np.ndarray:
     if len(data) < 3:
         return np.zeros(0, dtype=np.uint32)
     code = (data[:-2] << np.uint32(16)) | (data[1:-1] << np.uint32(8)) | data[2:]
-    return (code * np.uint32(2654435761)) >> np.uint32(17)
+    return (code * np.uint32(2654435761)) >> np.uint32(15)
 
 
 def plain(text: str, markup: bool) -> str:
@@ -84,7 +84,7 @@ class Trigrams:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        smooth = counts + 0.05
+        smooth = counts + 0.5
         self.table = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
 
     def evidence(self, text: str) -> tuple[list[float], float]:
