@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import held_out_bucket, name, pick, text_slices
+from ledgerloom.llm.common import held_out_bucket, materialize, name, pick, text_slices
 
 #: Labelled rows (about) that train the models, taken by a hash.
 TRAINING_ROWS = 20_000
@@ -205,7 +205,8 @@ def fit(rows: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS)
         return Classifier(Lexicon(KNOWN, ()), _without_labels(Lexicon(KNOWN, ())))
     share = min(1.0, training_rows / n)
     taken = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    sample = rows.where(~F.col("held_out")).join(taken, "id").select("text", "toxic")
+    # about training_rows ids, whatever the table's size: the texts stay in place
+    sample = materialize(rows.where(~F.col("held_out")).join(F.broadcast(taken), "id").select("text", "toxic"), "labelled_texts")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: tuple[Counter, Counter] = (Counter(), Counter())

@@ -44,3 +44,15 @@ def test_odd_vectors(spark):
 def test_fewer_candidates_than_k_and_none(spark):
     assert run(spark, [(0, [1.0])]) == [] and run(spark, []) == []
     assert run(spark, [(0, [1.0]), (1, [1.0])]) == [(0, 1, 1, 4096)]
+
+
+def test_oracle_sql(spark):
+    import duckdb
+
+    from ledgerloom.llm import queries
+    sf = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{sf}/embeddings.parquet')")
+    want = con.execute("select query_id, rank, vec_id, score from (" + queries.ORACLE_SQL["op10_topk"] + ")").fetchall()
+    got = queries.op10_topk(spark, sf).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and want
