@@ -16,6 +16,7 @@ import hashlib
 import heapq
 import json
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,8 +29,8 @@ from ledgerloom.llm.common import pick, text_slices
 
 # Fixed value: the word pattern of byte-level BPE vocabularies of this kind.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries that a dictionary of words or chunks may hold before it starts anew.
-CACHE_ENTRIES = 300_000
+#: Entries that the dictionaries of words and of chunks may hold.
+CACHE_WORDS, CACHE_CHUNKS = 600_000, 150_000
 #: Longer chunks are encoded without being remembered.
 CACHE_CHARS = 64
 _TWO_SPACES = re.compile(r"\s\s")
@@ -47,16 +48,23 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Remember(dict):
-    """A bounded dictionary that computes what it lacks."""
+    """A bounded dictionary that computes what it lacks.
 
-    def __init__(self, compute):
+    Once half of the entries are new, the others are forgotten unless they
+    were asked for meanwhile: frequent keys stay.
+    """
+
+    def __init__(self, compute, entries: int):
         super().__init__()
-        self.compute = compute
+        self.compute, self.entries, self.older = compute, entries, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= CACHE_CHARS:
-            if len(self) >= CACHE_ENTRIES:
+            if len(self) >= self.entries // 2:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
@@ -73,10 +81,15 @@ class Vocabulary:
         self.split_special = regex.compile(
             "(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")"
         ) if self.special else None
-        self.merges: dict[tuple[int, int], tuple[int, int]] = {}
+        # rank of a pair by its left and right half; halves and result by rank
+        self.pairs: list[tuple[int, int]] = []
+        self.merged: list[int] = []
+        self.rank: list[dict[int, int]] = [{} for _ in range(1 + max(self.vocab.values()))]
         for rank, pair in enumerate(data["model"]["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            self.merges.setdefault((self.vocab[a], self.vocab[b]), (rank, self.vocab[a + b]))
+            self.pairs.append((self.vocab[a], self.vocab[b]))
+            self.merged.append(self.vocab[a + b])
+            self.rank[self.vocab[a]].setdefault(self.vocab[b], rank)
         self.byte_id = [0] * 256
         for char, byte in self.alphabet.items():
             self.byte_id[byte] = self.vocab[char]
@@ -89,29 +102,34 @@ class Vocabulary:
         return token.encode()
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of one word by the queue of merge ranks."""
-        symbol = [self.byte_id[b] for b in word]
-        n = len(symbol)
-        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        merges, queue = self.merges, []
+        """Ids of one word by the queue of merge ranks (equal ranks go from
+        left to right)."""
+        symbol = list(map(self.byte_id.__getitem__, word))
+        n, ranks = len(symbol), self.rank
+        queue = []
         for i in range(n - 1):
-            if found := merges.get((symbol[i], symbol[i + 1])):
-                queue.append((found[0], i, symbol[i], symbol[i + 1], found[1]))
+            if (right := symbol[i + 1]) in (known := ranks[symbol[i]]):
+                queue.append((known[right], i))
+        if not queue:
+            return symbol
+        pairs, merged, pop, push = self.pairs, self.merged, heapq.heappop, heapq.heappush
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
         heapq.heapify(queue)
         while queue:
-            _, i, left, right, new = heapq.heappop(queue)
-            j = after[i]
-            if symbol[i] != left or j < 0 or symbol[j] != right:
+            rank, i = pop(queue)
+            left, right = pairs[rank]
+            if symbol[i] != left or (j := after[i]) < 0 or symbol[j] != right:
                 continue  # stale
-            symbol[i], symbol[j] = new, -1
-            k = after[i] = after[j]
+            symbol[i] = new = merged[rank]
+            symbol[j] = -1
+            after[i] = k = after[j]
             if k >= 0:
                 before[k] = i
-                if found := merges.get((new, symbol[k])):
-                    heapq.heappush(queue, (found[0], i, new, symbol[k], found[1]))
+                if (right := symbol[k]) in (known := ranks[new]):
+                    push(queue, (known[right], i))
             h = before[i]
-            if h >= 0 and (found := merges.get((symbol[h], new))):
-                heapq.heappush(queue, (found[0], h, symbol[h], new, found[1]))
+            if h >= 0 and new in (known := ranks[symbol[h]]):
+                push(queue, (known[new], h))
         return [s for s in symbol if s >= 0]
 
 
@@ -125,10 +143,10 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary, chunk_ids=None):
         self.vocabulary = vocabulary
         find = regex.compile(WORDS).findall
-        words = Remember(lambda w: np.array(vocabulary.merge(w.encode()), dtype="<u4").tobytes())
+        words = Remember(lambda w: struct.pack(f"<{len(ids := vocabulary.merge(w.encode()))}I", *ids), CACHE_WORDS)
         self.plain = chunk_ids or (lambda text: b"".join(map(words.__getitem__, find(text))))
-        self.first = Remember(self.plain)
-        self.spaced = Remember(lambda chunk: self.plain(" " + chunk))
+        self.first = Remember(self.plain, CACHE_CHUNKS)
+        self.spaced = Remember(lambda chunk: self.plain(" " + chunk), CACHE_CHUNKS * (1 if chunk_ids is None else 2))
 
     def ordinary(self, text: str) -> bytes:
         """No word of the pattern spans a single space that follows and
@@ -213,7 +231,9 @@ def decode(df: DataFrame, tokenizer_path: str, ids_column: str = "ids", output:
         for batch in batches:
             for row in range(0, batch.num_rows, 256):
                 part = batch.slice(row, 256)
-                text = [encoder.decode(x or []) for x in part.column(at).to_pylist()]
+                lists = part.column(at)
+                ends, ids = lists.offsets.to_numpy(), lists.values.to_numpy()
+                text = [encoder.decode(ids[a:b].tolist()) for a, b in zip(ends[:-1], ends[1:])]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(text, pa.string())],
                                                  names=[*columns, output])
 
