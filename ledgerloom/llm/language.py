@@ -9,7 +9,8 @@ Method: the posterior of a text's language combines
   taking the level above as its prior.
 
 The counts are grouped aggregations over all texts. Only the trigram model is
-fitted on a sample of the texts that declare a language.
+fitted on a sample of the texts that declare a language, taken language by
+language, so that a rare one has as many texts as it can give.
 """
 
 from __future__ import annotations
@@ -24,10 +25,14 @@ from pyspark.sql import functions as F
 
 from ledgerloom.llm.common import materialize, pick, text_slices
 
-#: Texts (about) that fit the trigram model, taken by a hash.
+#: Texts (about) of each language that fit its trigram model, taken by a hash.
 SAMPLE_ROWS = 20_000
-#: Hash buckets of the trigrams, and the most languages of a model.
-BUCKETS, MOST_LANGUAGES = 1 << 17, 64
+#: Texts that must declare a language (a single declaration is a slip), in a table of any size.
+LEAST_TEXTS = 2
+#: Hash buckets of the trigrams.
+BUCKETS = 1 << 17
+#: Numbers that working arrays hold (about).
+HELD = 1 << 21
 #: Trigrams of one text depend on each other: they count as so many at most.
 EFFECTIVE_GRAMS = 40.0
 #: Weight of the level above, in texts, in each level's counts.
@@ -80,73 +85,109 @@ def suffix_of(host: Column) -> Column:
 
 
 class Trigrams:
-    """Log likelihoods of trigrams by language."""
+    """Log likelihoods of trigrams by language, from the counts ``n`` of
+    (language's position, bucket); a trigram that a language lacks counts 0.5."""
 
-    def __init__(self, languages: list[str], counts: np.ndarray):
+    def __init__(self, languages: list[str], language: np.ndarray, bucket: np.ndarray, n: np.ndarray):
         self.languages = languages
-        smooth = counts + 0.5
-        self.table = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+        order = np.argsort(bucket, kind="stable")
+        # the entries of bucket b are those from starts[b] to starts[b + 1]
+        self.starts = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=BUCKETS))])
+        self.sizes = np.diff(self.starts)
+        self.language = language[order].astype(np.int32)
+        self.above = np.log(2.0 * n[order] + 1.0).astype(np.float32)  # over a missing trigram
+        self.missing = np.log(0.5 / (np.bincount(language, weights=n, minlength=len(languages)) + 0.5 * BUCKETS))
 
     def evidence(self, text: str) -> tuple[list[float], float]:
         """Tempered log likelihood of each language, and the best one's gain
         over chance per trigram (0.0 where a text has no letters)."""
         grams = trigrams(text)
-        letters = len(grams)
-        if not letters or not self.languages:
-            return [0.0] * len(self.languages), 0.0
-        mean = np.zeros(len(self.languages))
-        for at in range(0, letters, 1 << 18):
-            mean += self.table[:, grams[at:at + (1 << 18)]].sum(axis=1, dtype=np.float64)
-        mean /= letters
+        letters, k = len(grams), len(self.languages)
+        if not letters or not k:
+            return [0.0] * k, 0.0
+        found, times = np.unique(grams, return_counts=True)
+        found = found.astype(np.int64)
+        total = np.zeros(k)
+        step = max(1, HELD // k)
+        for at in range(0, len(found), step):
+            first, size = self.starts[found[at:at + step]], self.sizes[found[at:at + step]]
+            entry = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            total += np.bincount(self.language[entry], weights=self.above[entry] * np.repeat(times[at:at + step], size), minlength=k)
+        mean = self.missing + total / letters
         return (mean * min(letters, EFFECTIVE_GRAMS)).tolist(), float(mean.max() + np.log(BUCKETS))
 
 
 def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trigrams:
-    """The trigram model from about ``sample_rows`` of the rows (key, text,
-    markup, declared) that declare a language."""
+    """The trigram model of every language that ``LEAST_TEXTS`` of the rows
+    (key, text, markup, declared) declare, from about ``sample_rows`` texts of
+    each. Tags have two or three letters, which bounds their number."""
     known = rows.where("declared is not null and text is not null")
-    found = known.groupBy("declared").count().orderBy(F.desc("count"), "declared").limit(MOST_LANGUAGES).collect()
-    n = sum(r["count"] for r in found)
-    # a declaration that almost no text has is a slip, not a language
-    languages = sorted(r["declared"] for r in found if r["count"] >= max(2, 0.0005 * n))
+    found = materialize(known.groupBy("declared").count().where(F.col("count") >= LEAST_TEXTS), "languages")
+    languages = sorted(r["declared"] for r in found.collect())
     if not languages:
-        return Trigrams([], np.zeros((0, BUCKETS)))
-    share = min(1.0, sample_rows / n)
-    sample = known.where(F.col("declared").isin(languages)).where(
-        F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(share * 1_000_000))
+        none = np.zeros(0, dtype=np.int64)
+        return Trigrams([], none, none, none)
+    taken = found.select("declared", (F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("count")) * 1_000_000).alias("below"))
+    sample = known.join(F.broadcast(taken), "declared").where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < F.col("below"))
+    place = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((len(languages), BUCKETS), dtype=np.int64)
+        held: list[np.ndarray] = []
+        size = 0
+
+        def out() -> pa.RecordBatch:
+            pairs, n = np.unique(np.concatenate([np.zeros(0, dtype=np.int64), *held]), return_counts=True)
+            held.clear()
+            return pa.RecordBatch.from_arrays(
+                [pa.array((pairs // BUCKETS).astype(np.int32)), pa.array((pairs % BUCKETS).astype(np.int32)), pa.array(n.astype(np.int64))],
+                names=["language", "bucket", "n"])
+
         for batch in batches:
             for text, markup, lang in zip(*(batch.column(c).to_pylist() for c in ("text", "markup", "declared"))):
-                counts[languages.index(lang)] += np.bincount(trigrams(plain(text, markup)), minlength=BUCKETS)
-        row, bucket = np.nonzero(counts)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(row.astype(np.int32)), pa.array(bucket.astype(np.int32)), pa.array(counts[row, bucket])],
-            names=["language", "bucket", "n"])
+                held.append(trigrams(plain(text, markup)).astype(np.int64) + place[lang] * BUCKETS)
+                size += len(held[-1])
+                if size > HELD:
+                    yield out()
+                    size = 0
+        yield out()
 
     summed = (sample.select("text", "markup", "declared").mapInArrow(count, "language int, bucket int, n bigint")
-              .groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas())  # at most languages x BUCKETS
-    table = np.zeros((len(languages), BUCKETS))
-    table[summed["language"], summed["bucket"]] = summed["n"]
-    return Trigrams(languages, table)
+              .groupBy("language", "bucket").agg(F.sum("n").alias("n")).toPandas())  # trigrams that occur, by language
+    return Trigrams(languages, *(summed[c].to_numpy() for c in ("language", "bucket", "n")))
+
+
+def _softmax(logs: np.ndarray) -> np.ndarray:
+    powers = np.exp(logs - logs.max(axis=1, keepdims=True))
+    return powers / powers.sum(axis=1, keepdims=True)
+
+
+def _lists(rows: np.ndarray) -> pa.Array:
+    return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1], pa.array(rows.ravel(), pa.float64()))
+
+
+def _rows(batch: pa.RecordBatch, column: str, k: int) -> np.ndarray:
+    return batch.column(column).flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
 
 
-def _softmax(logs: Column) -> Column:
-    top = F.array_max(logs)
-    powers = F.transform(logs, lambda x: F.exp(x - top))
-    total = F.aggregate(powers, F.lit(0.0), lambda a, x: a + x)
-    return F.transform(powers, lambda x: x / total)
+def _short(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """The batches in runs of rows that have about ``HELD`` numbers, k each."""
+    step = max(1, HELD // max(k, 1))
+    for batch in batches:
+        for at in range(0, batch.num_rows, step):
+            yield batch.slice(at, step)
 
 
-def _sums(column: str, k: int) -> Column:
-    return F.array(*[F.sum(F.col(column)[i]) for i in range(k)])
+def _sums(rows: DataFrame, *keys: str) -> DataFrame:
+    """The arrays ``own`` summed by ``keys``, entry by entry, as c, and their sum, as texts."""
+    each = rows.select(*keys, F.posexplode("own").alias("at", "x")).groupBy(*keys, "at").agg(F.sum("x").alias("x"))
+    whole = each.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("c"), F.sum("x").alias("texts"))  # as long as own
+    return whole.withColumn("c", F.transform("c", lambda e: e["x"]))
 
 
-def _smooth(counts: Column, above: Column) -> Column:
-    """Counts of a level with the level above (shares) as so many texts."""
-    total = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) + PRIOR_TEXTS
-    return F.transform(F.arrays_zip(counts.alias("c"), above.alias("s")), lambda x: (x["c"] + PRIOR_TEXTS * x["s"]) / total)
+def _smooth(above: Column) -> Column:
+    """The sums of a level with the level above (shares) as so many texts."""
+    return F.transform(F.arrays_zip(F.col("c"), above.alias("s")),
+                       lambda x: (x["c"] + PRIOR_TEXTS * x["s"]) / (F.col("texts") + PRIOR_TEXTS))
 
 
 def identify(df: DataFrame, text_column: str, declared: Column, address: Column, markup: Column | bool = False,
@@ -169,57 +210,59 @@ def identify(df: DataFrame, text_column: str, declared: Column, address: Column,
     base = base.withColumn("key", F.struct("text", "host"))
     model = fit(base, sample_rows)
     languages, k = model.languages, len(model.languages)
-    shared = df.sparkSession.sparkContext.broadcast(model)  # at most MOST_LANGUAGES tables of BUCKETS floats
+    shared = df.sparkSession.sparkContext.broadcast(model)  # as large as its trigrams
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = shared.value
         for whole in batches:
-            for batch in text_slices(whole, "text"):
+            for batch in _short(text_slices(whole, "text"), k):
                 found = [table.evidence(plain(t or "", m)) for t, m in
                          zip(batch.column("text").to_pylist(), batch.column("markup").to_pylist())]
                 rest = [c for c in batch.schema.names if c not in ("text", "markup")]
-                yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in rest), pa.array([f[0] for f in found], pa.list_(pa.float64())),
-                     pa.array([f[1] for f in found], pa.float64())], names=[*rest, "logs", "gain"])
+                logs, gain = np.array([f[0] for f in found]).reshape(len(found), k), np.array([f[1] for f in found])
+                # texts without letters are no evidence for their host's language
+                own = np.where(gain[:, None] != 0, _softmax(logs), 0.0) if k else logs
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), _lists(logs), pa.array(gain), _lists(own)],
+                                                 names=[*rest, "logs", "gain", "own"])
 
     rows = base.drop("key")
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("text", "markup"))
-    seen = rows.mapInArrow(read, f"{schema}, logs array<double>, gain double")
+    seen = rows.mapInArrow(read, f"{schema}, logs array<double>, gain double, own array<double>")
     if not k:
         return seen.select(*[F.col(h).alias(c) for h, c in zip(held, keep)], "declared", "host",
                            F.lit(None).cast("string").alias("lang"), F.lit(0.0).alias("confidence"), "gain",
                            F.lit(False).alias("accepted"))
-    seen = materialize(
-        seen.withColumn("suffix", suffix_of(F.col("host")))
-        # texts without letters are no evidence for their host's language
-        .withColumn("own", F.when(F.col("gain") != 0, _softmax(F.col("logs")))
-                    .otherwise(F.array(*[F.lit(0.0)] * k))), "language_evidence")
+    seen = materialize(seen.withColumn("suffix", suffix_of(F.col("host"))), "language_evidence")
 
     # Grouped counts (soft: shares of each language), summed before the shuffle.
-    total = seen.agg(_sums("own", k).alias("c")).first()["c"]
-    total = [(x or 0.0) + 1.0 for x in total] if total else [1.0] * k
+    total = _sums(seen).first()
+    total = [x + 1.0 for x in total["c"]] if total and total["c"] else [1.0] * k
     top = F.array(*[F.lit(x / sum(total)) for x in total])
-    by_suffix = materialize(seen.where("suffix is not null").groupBy("suffix").agg(_sums("own", k).alias("c"))
-                            .select("suffix", _smooth(F.col("c"), top).alias("suffix_prior")), "suffix_priors")
+    by_suffix = materialize(_sums(seen.where("suffix is not null"), "suffix").select("suffix", _smooth(top).alias("suffix_prior")), "suffix_priors")
     by_host = materialize(
-        seen.where("host is not null").groupBy("host", "suffix").agg(_sums("own", k).alias("c"))
+        _sums(seen.where("host is not null"), "host", "suffix")
         .join(by_suffix, "suffix", "left")
-        .select("host", _smooth(F.col("c"), F.coalesce("suffix_prior", top)).alias("host_prior")), "host_priors")
+        .select("host", _smooth(F.coalesce("suffix_prior", top)).alias("host_prior")), "host_priors")
     # P(declaration | language), up to a factor that all languages share: the
     # language's share among the texts that declare it, over its share in all.
     by_tag = materialize(
-        seen.where("declared is not null").groupBy("declared").agg(_sums("own", k).alias("c"))
-        .select("declared", F.transform(F.arrays_zip(_smooth(F.col("c"), top).alias("s"), top.alias("t")),
+        _sums(seen.where("declared is not null"), "declared")
+        .select("declared", F.transform(F.arrays_zip(_smooth(top).alias("s"), top.alias("t")),
                                         lambda x: F.log(x["s"] / x["t"])).alias("says")), "declarations")
 
-    nothing = F.array(*[F.lit(0.0)] * k)
-    fused = (seen.join(by_host, "host", "left").join(by_tag, "declared", "left")
-             .withColumn("posterior", _softmax(F.transform(
-                 F.arrays_zip(F.col("logs").alias("a"), F.coalesce("host_prior", top).alias("b"),
-                              F.coalesce("says", nothing).alias("c")),
-                 lambda x: x["a"] + F.log(x["b"]) + x["c"])))
-             .withColumn("confidence", F.array_max("posterior"))
-             .withColumn("lang", F.get(F.array(*[F.lit(x) for x in languages]),
-                                       (F.array_position("posterior", F.col("confidence")) - 1).cast("int"))))
+    def fuse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = np.array(languages, dtype=object)
+        for batch in _short(batches, k):
+            posterior = _softmax(_rows(batch, "logs", k) + np.log(_rows(batch, "prior", k)) + _rows(batch, "says", k))
+            best = posterior.argmax(axis=1)
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in passed), pa.array(names[best], pa.string()), pa.array(posterior.max(axis=1))],
+                names=[*passed, "lang", "confidence"])
+
+    passed = [*held, "declared", "host", "gain"]
+    joined = seen.join(by_host, "host", "left").join(by_tag, "declared", "left").select(
+        *passed, "logs", F.coalesce("host_prior", top).alias("prior"), F.coalesce("says", F.array_repeat(F.lit(0.0), k)).alias("says"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.schema.fields if f.name in passed)
+    fused = joined.mapInArrow(fuse, f"{schema}, lang string, confidence double")
     return fused.select(*[F.col(h).alias(c) for h, c in zip(held, keep)], "declared", "host", "lang", "confidence", "gain",
                         ((F.col("confidence") >= LEAST_CONFIDENCE) & (F.col("gain") >= LEAST_GAIN)).alias("accepted"))

@@ -80,3 +80,25 @@ def test_tables(spark):
 def test_repeated_rows_count_each(spark):
     assert len(identify(spark, [("en", "the same text", "a")] * 5)) == 5
     assert documents(spark, []).count() == 0
+
+
+def test_every_declared_language_is_known_in_a_table_of_any_size(spark):
+    # 70 languages of three texts each, with letters of their own, beside one that fills the table
+    tags = [f"{a}{b}" for a in "qxyz" for b in "abcdefghijklmnopqr"][:70]
+    words = {t: [chr(0x4E00 + 40 * i + k) + chr(0x4E00 + 40 * i + (k * 7 + 3) % 40) for k in range(40)] for i, t in enumerate(tags)}
+    rare = [(t, " ".join(words[t][(j * 3 + k) % 40] for k in range(30)), f"{t}.site") for t in tags for j in range(3)]
+    rows = [*rare, *((None, " ".join(words[t][5:25]), None) for t in tags), *(texts(1)[0] for _ in range(10_000))]
+    got = identify(spark, rows)
+    assert [lang(got[i]) for i in range(210)] == [(t, True) for t, *_ in rare]
+    assert [lang(got[210 + i]) for i in range(70)] == [(t, True) for t in tags]
+    assert all(lang(got[i]) == ("en", True) for i in range(280, len(rows)))
+
+
+def test_a_rare_language_is_fitted_on_all_its_texts(spark):
+    common, rare = texts(60), [("fr", t, a) for l, t, a in texts(30) if l == "fr"]
+    rows = [r for r in common if r[0] != "fr"] * 5 + rare
+    frame = spark.createDataFrame([(t, l) for l, t, _ in rows], "text string, declared string").withColumns(
+        {"key": F.struct("text"), "markup": F.lit(False)})
+    whole, part = language.fit(frame), language.fit(frame, 30)
+    of = lambda m: m.missing[m.languages.index("fr")]
+    assert of(part) == of(whole) and part.missing[0] > whole.missing[0]
