@@ -25,8 +25,8 @@ from ledgerloom.llm.common import materialize, name
 
 #: Findings (about) of the table that take part in training, by a hash.
 TRAINING_FINDINGS = 20_000
-#: Documents (about) that the dictionary is counted on, and its words.
-DICTIONARY_ROWS, DICTIONARY_WORDS = 2_000, 2_000
+#: Documents that hold a word of the dictionary, in a table of any size.
+LEAST_DOCUMENTS = 2
 TREES, DEPTH = 30, 7
 #: Chance from which a finding is a secret.
 LEAST_CHANCE = 0.5
@@ -57,12 +57,9 @@ def _flag(condition: Column) -> Column:
     return F.coalesce(condition, F.lit(False)).cast("double")
 
 
-def feature_columns(dictionary: list[str]) -> dict[str, Column]:
-    """Features of a finding (candidate, before, after, path)."""
+def feature_columns() -> dict[str, Column]:
+    """Features of a finding (candidate, before, after, path, covered)."""
     c, before, after = F.col("candidate"), F.col("before"), F.col("after")
-    words = F.regexp_extract_all(F.lower(c), F.lit(r"([a-z]{3,})"), F.lit(1))
-    listed = F.array(*[F.lit(w) for w in dictionary]).cast("array<string>")
-    covered = F.aggregate(F.filter(words, lambda w: F.array_contains(listed, w)), F.lit(0), lambda a, w: a + F.length(w))
     # the word that names the value: the last ones before it
     near = F.regexp_extract(before, r"([A-Za-z][A-Za-z0-9_-]*)[^A-Za-z0-9]*$", 1)
     return {
@@ -78,7 +75,7 @@ def feature_columns(dictionary: list[str]) -> dict[str, Column]:
         "variety": F.size(F.array_distinct(F.split(F.substring(c, 1, 400), ""))) / F.least(F.greatest(F.length(c), F.lit(1)), F.lit(400)),
         "hex": _flag(c.rlike("^([0-9a-f]+|[0-9A-F]+)$")),
         "only_digits": _flag(c.rlike("^[0-9.+-]+$")),
-        "dictionary": covered / F.greatest(F.length(c), F.lit(1)),
+        "dictionary": F.col("covered") / F.greatest(F.length(c), F.lit(1)),
         "provider": _flag(c.rlike(PROVIDER)),
         "placeholder": _flag(c.rlike(PLACEHOLDER)),
         "address": _flag(c.rlike(r"^([a-z0-9-]+\.)+[a-z]{2,}$|^\d{1,3}(\.\d{1,3}){3}$|^(https?|www)")),
@@ -111,18 +108,24 @@ def findings(df: DataFrame, text_column: str, path_column: str | None, keep: tup
     return rows.withColumn("start", start).select(*[name(k) for k in keep], "at", "start", "candidate", "before", "after", "path")
 
 
-def dictionary(df: DataFrame, text_column: str) -> list[str]:
-    """The commonest words of four letters and more on a sample of texts."""
-    text = name(text_column).cast("string")
-    rows = df.select(text.alias("t")).where("t is not null")
-    n = rows.count()
-    if not n:
-        return []
-    share = min(1.0, DICTIONARY_ROWS / n)
-    words = (rows.where(F.pmod(F.xxhash64("t"), F.lit(1_000_000)) < int(share * 1_000_000))
-             .select(F.explode(F.array_distinct(F.regexp_extract_all(F.lower("t"), F.lit(r"([a-z]{4,20})"), F.lit(1)))).alias("w")))
-    top = words.groupBy("w").count().where("count > 1").orderBy(F.desc("count"), "w").limit(DICTIONARY_WORDS)
-    return [r["w"] for r in top.collect()]
+def dictionary(df: DataFrame, text_column: str) -> DataFrame:
+    """The words (column w) of four letters and more, outside of runs with a
+    digit (what candidates consist of), in ``LEAST_DOCUMENTS`` of all texts."""
+    text = F.lower(name(text_column).cast("string"))
+    rest = F.regexp_replace(text, r"(?<![a-z0-9_+/~.\-])[a-z_+/~.\-]*+[0-9][a-z0-9_+/~.\-]*+", " ")
+    words = df.select(F.explode(F.array_distinct(F.regexp_extract_all(rest, F.lit(r"([a-z]{4,})"), F.lit(1)))).alias("w"))
+    return materialize(words.groupBy("w").count().where(F.col("count") >= LEAST_DOCUMENTS).select("w"), "dictionary")
+
+
+def with_coverage(rows: DataFrame, words: DataFrame) -> DataFrame:
+    """``rows`` (candidate) with covered: the letters of each candidate's words
+    that are in the dictionary ``words``."""
+    numbered = materialize(rows.withColumn("number_", F.monotonically_increasing_id()), "numbered")
+    parts = numbered.select("number_", F.explode(F.regexp_extract_all(F.lower("candidate"), F.lit(r"([a-z]{4,})"), F.lit(1))).alias("w"))
+    # the words that candidates have meet the dictionary first: few rows, no hot key
+    met = materialize(parts.select("w").distinct().join(words, "w", "left_semi"), "words_met")
+    covered = parts.join(met, "w").groupBy("number_").agg(F.sum(F.length("w")).alias("covered"))
+    return numbered.join(covered, "number_", "left").withColumn("covered", F.coalesce("covered", F.lit(0))).drop("number_")
 
 
 def labelled(rows: DataFrame) -> DataFrame:
@@ -174,15 +177,15 @@ def worked_examples(spark: SparkSession) -> DataFrame:
         F.when(F.col("p.names"), F.col("yes")).otherwise(F.col("no")).cast("double").alias("label"))
 
 
-def fit(spark: SparkSession, rows: DataFrame, columns: dict[str, Column]) -> PipelineModel:
-    """The forest from the worked examples and a sample of the table's own
-    labelled findings (``rows`` with features)."""
+def fit(spark: SparkSession, rows: DataFrame, columns: dict[str, Column], words: DataFrame) -> PipelineModel:
+    """The forest from the worked examples (with the dictionary ``words``) and
+    a sample of the table's own labelled findings (``rows`` with features)."""
     own = labelled(rows)
     n = own.count()
     share = min(1.0, TRAINING_FINDINGS / max(n, 1))
     sample = own.where(F.pmod(F.xxhash64("candidate", "before"), F.lit(1_000_000)) < int(share * 1_000_000))
     inputs = list(columns)
-    examples = materialize(worked_examples(spark), "examples").withColumns(columns)
+    examples = materialize(with_coverage(worked_examples(spark), words), "examples").withColumns(columns)
     data = materialize(sample.select(*inputs, "label").unionByName(examples.select(*inputs, "label")), "labelled_findings")
     forest = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=TREES, maxDepth=DEPTH,
                                     featureSubsetStrategy="sqrt", seed=7)
@@ -197,16 +200,17 @@ def score(df: DataFrame, text_column: str = "text", path_column: str | None = "s
     chance and is_secret (chance >= 0.5). Null and empty texts have no
     candidates; a null path says nothing; rows that repeat give their findings
     again; tables without rows give no rows. Extra columns of the input are
-    not read. ``sample_of``: where the dictionary is counted (default ``df``).
+    not read. ``sample_of``: the texts whose words, all of them, are the
+    dictionary (default ``df``).
     """
     spark = df.sparkSession
     held = [f"keep_{i}" for i in range(len(keep))]
     words = dictionary(df if sample_of is None else sample_of, text_column)
-    columns = feature_columns(words)
+    columns = feature_columns()
     own = df.select(*[name(c).alias(h) for c, h in zip(keep, held)], name(text_column).alias("text"),
                     (name(path_column) if path_column else F.lit(None).cast("string")).alias("source"))
-    rows = materialize(findings(own, "text", "source", tuple(held)).withColumns(columns), "findings")
-    model = fit(spark, rows, columns)
+    rows = materialize(with_coverage(findings(own, "text", "source", tuple(held)), words).withColumns(columns), "findings")
+    model = fit(spark, rows, columns, words)
     scored = model.transform(rows).withColumn("chance", vector_to_array("probability")[1])
     return scored.select(*[F.col(h).alias(c) for h, c in zip(held, keep)], "at", "start", "candidate", "before", "after", "path",
                          "chance", (F.col("chance") >= LEAST_CHANCE).alias("is_secret"))

@@ -70,3 +70,16 @@ def test_table_against_the_planted_form(spark):
     found = secret_scan.score(docs)
     assert sorted((r["doc_id"], r["start"]) for r in found.where("is_secret").collect()) == want
     assert "Python" not in found._jdf.queryExecution().toString()
+
+
+def test_dictionary_has_the_words_of_all_documents(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    words = ["".join(letters[i // 26**k % 26] for k in range(3)) + "word" for i in range(6_000)]
+    rows = [(i, f"{words[i]} {words[i]} and {words[(i + 1) % 6_000]}, {HEX}") for i in range(6_000)]
+    rows += [(6_000, "a half-open 0dead-beef"), (6_001, None), (6_002, "0dead-beef, half-open or once")]  # parts of runs are no words
+    docs = documents(spark, rows)
+    assert sorted(r["w"] for r in secret_scan.dictionary(docs, "text").collect()) == sorted([*words, "half", "open"])
+    found = spark.createDataFrame([("zzz1-aaaword-baaword",), ("baaword-baaword-1",), ("1234-nonesuch",), ("123456789012",)], "candidate string")
+    covered = secret_scan.with_coverage(found, secret_scan.dictionary(docs, "text"))
+    assert {r["candidate"]: r["covered"] for r in covered.collect()} == {
+        "zzz1-aaaword-baaword": 14, "baaword-baaword-1": 14, "1234-nonesuch": 0, "123456789012": 0}
