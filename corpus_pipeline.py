@@ -22,24 +22,34 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, read(spark, sf_dir, "labels"))
 
 
+def with_keys(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row, written once, and the key's name: ids
+    may be null or repeat."""
+    key = "row"
+    while key in docs.columns:
+        key += "_"
+    return materialize(docs.withColumn(key, F.monotonically_increasing_id()), label), key
+
+
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an identified language go; the others carry the
-    identified one. Rows that repeat an id share the surest verdict."""
+    identified one. Every row has its own verdict."""
     ship(spark)
-    found = language.identify(docs, "text", F.col("lang"), F.col("source"), keep=("doc_id",)).where("accepted")
-    verdicts = found.groupBy(F.col("doc_id").alias("judged")).agg(F.max_by("lang", F.struct("confidence", "lang")).alias("identified"))
-    joined = docs.join(verdicts, docs["doc_id"].eqNullSafe(verdicts["judged"]))
-    return joined.select(*[F.col("identified").alias(c) if c == "lang" else docs[c] for c in docs.columns])
+    keyed, key = with_keys(docs, "documents_to_identify")
+    found = language.identify(keyed, "text", F.col("lang"), F.col("source"), keep=(key,)).where("accepted")
+    joined = keyed.join(found.select(F.col(key).alias("judged"), F.col("lang").alias("identified")), F.col(key) == F.col("judged"))
+    return joined.select(*[F.col("identified").alias(c) if c == "lang" else keyed[c] for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: the smallest id's.
-    Rows that repeat an id are copies; rows without an id stay."""
+    """One row of each group of near copies stays: the one of the smallest id
+    (any id before none). Ids that are null or repeat make no copies."""
     ship(spark)
-    groups = simhash.near_duplicates(docs, shingle=4, radius=4)
-    copies = groups.where("doc_id != component_id").select("doc_id").distinct()
-    first = docs.where("doc_id is not null").join(copies, "doc_id", "left_anti").dropDuplicates(["doc_id"])
-    return first.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    keyed, key = with_keys(docs, "documents_to_compare")
+    groups = simhash.near_duplicates(keyed, shingle=4, radius=4, id_column=key).select(key, "component_id")
+    ids = keyed.select(F.col(key).alias("own"), F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", key).alias("place"))
+    first = groups.join(ids, F.col(key) == F.col("own")).groupBy("component_id").agg(F.min("place").alias("place"))
+    return keyed.join(first.select(F.col(f"place.{key}").alias(key)), key, "left_semi").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

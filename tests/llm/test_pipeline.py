@@ -76,3 +76,26 @@ def test_odd_documents_pass_every_stage(spark):
         docs = stage(spark, docs, SF).cache()
         assert stage(spark, frame.where("false"), SF).count() == 0, name
     assert docs.count() > 0
+
+
+PROSE = {"en": "the cat sat with that thing and they went there together for this weather because nothing else was open",
+         "de": "der hund und die katze sind nicht schlecht aber auch zwischen durch gegen viele andere tiere im garten"}
+
+
+def test_each_row_has_its_own_verdict(spark):
+    rows = [(None, PROSE["en"], "en", None), (None, PROSE["de"], "de", None), (None, "", "en", None), (None, "123 !!", "en", None),
+            (7, PROSE["de"], "de", None), (7, PROSE["en"], "en", None), (7, None, "en", None)]
+    frame = documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    kept = corpus_pipeline.drop_unknown_language(spark, frame, SF).collect()
+    assert sorted((str(r["doc_id"]), r["lang"], r["text"]) for r in kept) == sorted(
+        (str(i), lang, PROSE[lang]) for i in (None, 7) for lang in ("en", "de"))
+
+
+def test_copies_are_told_by_text_not_by_id(spark):
+    other = "completely different words stand in this line so that it is no copy of anything else here"
+    rows = [(None, PROSE["en"]), (None, PROSE["en"]), (None, other), (None, other), (5, PROSE["en"]), (7, PROSE["de"]),
+            (7, PROSE["en"]), (3, PROSE["de"].upper()), (7, "a third text of the same id that nobody else has written at all")]
+    frame = documents(spark, rows).select("doc_id", "text", "lang", "source", "n_chars")
+    kept = corpus_pipeline.drop_near_copies(spark, frame, SF).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == sorted(
+        [("None", other), ("5", PROSE["en"]), ("3", PROSE["de"].upper()), ("7", rows[-1][1])])
