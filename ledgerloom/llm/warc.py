@@ -125,17 +125,18 @@ def with_revisits(pages: DataFrame) -> DataFrame:
     equal payloads that are long enough, all but the largest id refer to it.
 
     Only digests and ids meet in the grouping; the pages are then joined by
-    their own id. Rows with a null id are never referred to and never revisit.
+    their own id and digest, so that rows which repeat an id with other
+    payloads are judged by their own. Rows with a null id are never referred
+    to and never revisit.
     """
     digest, size = F.sha1(payload(F.col("html"))), F.octet_length(payload(F.col("html"))).cast("long")
     narrow = (pages.select("id", digest.alias("digest"), size.alias("payload_bytes"))
               .where((F.col("payload_bytes") >= LEAST_REVISIT_BYTES) & F.col("id").isNotNull()))
     first = (narrow.groupBy("digest").agg(F.max("id").alias("first"), F.min("id").alias("least"))
              .where("first > least").select("digest", "first"))
-    revisits = narrow.join(first, "digest").where("id < first").select("id", F.col("first").alias("refers_to")).distinct()
+    revisits = narrow.join(first, "digest").where("id < first").select("id", "digest", F.col("first").alias("refers_to")).distinct()
     # the narrow side is hashed: the pages themselves are not sorted
-    return (pages.withColumns({"digest": digest, "payload_bytes": size}).join(revisits.hint("shuffle_hash"), "id", "left")
-            .withColumn("refers_to", F.when(F.col("payload_bytes") >= LEAST_REVISIT_BYTES, F.col("refers_to"))))
+    return pages.withColumns({"digest": digest, "payload_bytes": size}).join(revisits.hint("shuffle_hash"), ["id", "digest"], "left")
 
 
 def write(pages: DataFrame, path: str, level: int = 3, id_column: str = "page_id", url_column: str = "url",

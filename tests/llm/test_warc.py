@@ -66,3 +66,15 @@ def test_empty_table(spark):
     path = scratch(spark, "warc")
     warc.write(pages(spark, []), path)
     assert warc.read_records(spark, path).collect() == []
+
+
+def test_an_id_with_two_payloads_keeps_both(spark):
+    other, copied = "<p>other</p>" * 200, "<p>copied</p>" * 200
+    rows = [(1, "u", BIG), (1, "v", other), (9, "w", BIG), (2, "u", BIG), (2, "v", copied), (8, "w", copied), (3, "u", BIG), (3, "u", BIG)]
+    path = scratch(spark, "warc")
+    warc.write(pages(spark, rows), path)
+    got = warc.read_records(spark, path).collect()
+    sha = lambda html: hashlib.sha1(html.encode()).hexdigest()
+    assert sorted((r["id"], r["payload_digest"], r["refers_to"] or "", bytes(r["payload"]).decode()) for r in got) == sorted([
+        ("1", sha(BIG), "9", ""), ("1", sha(other), "", other), ("9", sha(BIG), "", BIG), ("2", sha(BIG), "9", ""),
+        ("2", sha(copied), "8", ""), ("8", sha(copied), "", copied), ("3", sha(BIG), "9", ""), ("3", sha(BIG), "9", "")])
