@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.01"
 def test_registered():
     names = entry.queries()
     assert set(queries.QUERIES) | {"pipeline"} <= set(names)
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE_SQL) <= set(entry.oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["toxicity", "language ID", "SimHash near-dedup", "secret scans", "packing"]
 
