@@ -363,8 +363,10 @@ def trie(df: DataFrame, group: int = 20, heads: int = 4, id_column: str = "conv_
     # the root
     turnless = turns.select("conv_id").distinct().join(info.select("conv_id"), "conv_id", "left_anti")
     top = info.agg(F.count_if(F.col("shared") == 0).alias("n_children"), F.sum("leaf").alias("leaves"), F.sum("shared_words").alias("saved"))
-    root_ends = list_digests(turnless.select(F.lit(bytes(16)).alias("digest"), "conv_id")).agg(F.max("ends_sha256").alias("ends"))
-    roots = top.join(root_ends).select(
+    no_ends = top.withColumn("ends", F.lit(None).cast("string"))
+    root_ends = list_digests(turnless.select(F.lit(bytes(16)).alias("digest"), "conv_id")).select(
+        *[F.lit(None).cast("long").alias(c) for c in top.columns], F.col("ends_sha256").alias("ends"))
+    roots = no_ends.unionByName(root_ends).agg(*[F.max(c).alias(c) for c in no_ends.columns]).select(
         F.lit(root).cast("long").alias("conv_id"), F.lit(0).cast("long").alias("depth"), F.lit(None).cast("long").alias("parent_conv_id"),
         F.lit(everyone["n"]).cast("long").alias("n_convs"), "n_children",
         F.greatest(F.coalesce("leaves", F.lit(0)), F.lit(1)).cast("long").alias("n_leaves"), F.coalesce("saved", F.lit(0)).cast("long").alias("saved_tokens"),
