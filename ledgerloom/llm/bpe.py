@@ -134,19 +134,15 @@ class Vocabulary:
 
 
 class Encoder:
-    """Whole texts to ids (little-endian unsigned 32-bit, as bytes).
+    """Whole texts to ids (little-endian unsigned 32-bit, as bytes)."""
 
-    ``word_ids``: maps the text of one chunk to its ids; by default the words
-    of the chunk by ``Vocabulary.merge``.
-    """
-
-    def __init__(self, vocabulary: Vocabulary, chunk_ids=None):
+    def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         find = regex.compile(WORDS).findall
         words = Remember(lambda w: struct.pack(f"<{len(ids := vocabulary.merge(w.encode()))}I", *ids), CACHE_WORDS)
-        self.plain = chunk_ids or (lambda text: b"".join(map(words.__getitem__, find(text))))
+        self.plain = lambda text: b"".join(map(words.__getitem__, find(text)))
         self.first = Remember(self.plain, CACHE_CHUNKS)
-        self.spaced = Remember(lambda chunk: self.plain(" " + chunk), CACHE_CHUNKS * (1 if chunk_ids is None else 2))
+        self.spaced = Remember(lambda chunk: self.plain(" " + chunk), CACHE_CHUNKS)
 
     def ordinary(self, text: str) -> bytes:
         """No word of the pattern spans a single space that follows and
@@ -173,15 +169,14 @@ class Encoder:
         return b"".join(map(self.vocabulary.strings.__getitem__, ids)).decode("utf-8", "replace")
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
+_ENCODERS: dict[bytes, Encoder] = {}
 
 
-def worker_encoder(spec: str, kind=None) -> Encoder:
-    """One encoder for each vocabulary and kind in a Python worker."""
-    key = (hashlib.sha1(spec.encode()).digest(), kind)
+def worker_encoder(spec: str) -> Encoder:
+    """One encoder for each vocabulary in a Python worker."""
+    key = hashlib.sha1(spec.encode()).digest()
     if key not in _ENCODERS:
-        vocabulary = Vocabulary(spec)
-        _ENCODERS[key] = Encoder(vocabulary, kind(vocabulary) if kind else None)
+        _ENCODERS[key] = Encoder(Vocabulary(spec))
     return _ENCODERS[key]
 
 

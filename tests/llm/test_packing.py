@@ -87,3 +87,9 @@ def test_linear_program_reaches_a_known_optimum():
     demand = {6: 10, 4: 20, 5: 20, 3: 20}
     _, _, used = cutting_stock.solve(demand, 10, gap=1e-9)
     assert np.isclose(used.sum(), (60 + 80 + 100 + 60) / 10)
+
+
+def test_long_runs_of_white_space(spark):
+    texts = {0: "word" + " " * 3_000_000 + "word", 1: "\n" * 1_200_000, 2: "a" + "\n \t" * 400_000 + "b", 3: " " * 1000 + "x" + " " * 1001,
+             4: "é" + "\u3000" * 5000 + " y", 5: " \x1c" * 4000 + "z", 6: "<|endoftext|>" + " " * 2000 + "<|endoftext|>x"}
+    check(packing.pack(documents(spark, list(texts.items())), TOKENIZER).collect(), texts)
