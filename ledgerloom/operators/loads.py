@@ -27,6 +27,16 @@ def _mark(mark) -> F.Column:
     return ntz(cm.EMPTY_MARK if mark is None else mark)
 
 
+def _since(rows: DataFrame, column: str, mark, key: str, late: DataFrame | None) -> DataFrame:
+    """Rows newer than the mark, and those whose ``key`` is in ``late`` (one
+    column of keys, each once) however old they are."""
+    newer = F.col(column) > _mark(mark)
+    if late is None:
+        return rows.where(newer)
+    flagged = late.select(F.col(late.columns[0]).alias("_late")).distinct()
+    return rows.join(flagged, F.col(key) == F.col("_late"), "left").where(newer | F.col("_late").isNotNull()).drop("_late")
+
+
 def _rank1(ranked: DataFrame) -> DataFrame:
     return ranked.where(F.col("ContactRank") == 1)
 
@@ -61,13 +71,14 @@ def load_cardholders(ranked: DataFrame, applications: DataFrame,
 
 
 def load_accounts(ranked: DataFrame, fee_plans: DataFrame, lookup: DataFrame,
-                  applications: DataFrame, *, mark=None) -> DataFrame:
-    """Accounts changed after ``mark`` in the new schema.
+                  applications: DataFrame, *, mark=None, late: DataFrame | None = None) -> DataFrame:
+    """Accounts changed after ``mark`` in the new schema, and the ``late``
+    ones (ids that the target lacks).
 
     The newest application id per client is a max, so it is one partial
     aggregate; fee plan and deposit id are many-to-one lookups.
     """
-    rows = ranked.where(F.col("LastUpdateDate") > _mark(mark))
+    rows = _since(ranked, "LastUpdateDate", mark, "entryid", late)
     plans = fee_plans.select(F.col("FeePlanChangeID").alias("_fpc"), F.col("FeePlanID"))
     deposit = lookup.select(F.col("entryid").alias("_dd"), F.col("FullDepositID").alias("_full"))
     apps = (applications.groupBy(F.col("clientkey").alias("_app_client"))
@@ -98,8 +109,8 @@ BALANCE_COLUMNS = ["Id", "Created", "Modified", "AvailableBalance", "LedgerBalan
 
 def load_balances(accounts: DataFrame, ranked: DataFrame, balances: DataFrame,
                   existing: DataFrame | None = None, *, mark=None, as_of,
-                  literal: bool = False) -> DataFrame:
-    """Balance rows to load.
+                  literal: bool = False, late: DataFrame | None = None) -> DataFrame:
+    """Balance rows to load (of ``late`` accounts whatever their time).
 
     Real balances newer than ``mark`` (cents -> decimal(18,2)), plus one
     0.00 row stamped ``as_of`` for each loaded account without any balance
@@ -115,7 +126,7 @@ def load_balances(accounts: DataFrame, ranked: DataFrame, balances: DataFrame,
     if literal and mark is None:
         real = acct.join(bal, "provideraccountID").where(F.lit(False))
     else:
-        real = acct.join(bal, "provideraccountID").where(F.col("TransactionTime") > _mark(mark))
+        real = _since(acct.join(bal, "provideraccountID"), "TransactionTime", mark, "Id", late)
     real = real.select(
         "Id", to_utc("CreateDate").alias("Created"), to_utc("LastUpdateDate").alias("Modified"),
         cents_to_units("UserAvailableBalance").alias("AvailableBalance"),
@@ -145,15 +156,19 @@ def load_account_cardholders(accounts: DataFrame, qualifying: DataFrame,
             .select(F.col("entryid").alias("Account_id"), "Cardholder_id").distinct())
 
 
-def _contact_rows(cardholders: DataFrame, ranked: DataFrame, mark) -> DataFrame:
+def _contact_rows(cardholders: DataFrame, ranked: DataFrame, mark, late: DataFrame | None = None) -> DataFrame:
+    """Card holders with their rank-1 account, where that changed after
+    ``mark`` or the card holder's id is in ``late``."""
     ch = cardholders.select(F.col("Id").alias("CardHolder_Id"), F.col("Ssn_Number").alias("ssn"))
-    rows = _rank1(ranked).where(F.col("LastUpdateDate") > _mark(mark))
-    return ch.join(rows, "ssn")
+    if late is None:  # the mark before the join
+        return ch.join(_since(_rank1(ranked), "LastUpdateDate", mark, "entryid", None), "ssn")
+    return _since(ch.join(_rank1(ranked), "ssn"), "LastUpdateDate", mark, "CardHolder_Id", late)
 
 
-def changed_cardholders(cardholders: DataFrame, ranked: DataFrame, *, mark=None) -> DataFrame:
+def changed_cardholders(cardholders: DataFrame, ranked: DataFrame, *, mark=None,
+                        late: DataFrame | None = None) -> DataFrame:
     """Card holder ids whose contact rows are replaced in this run."""
-    return _contact_rows(cardholders, ranked, mark).select("CardHolder_Id").distinct()
+    return _contact_rows(cardholders, ranked, mark, late).select("CardHolder_Id").distinct()
 
 
 def _with_state(rows: DataFrame, states: DataFrame, collation: str | None) -> DataFrame:
@@ -166,9 +181,9 @@ def _with_state(rows: DataFrame, states: DataFrame, collation: str | None) -> Da
 
 
 def load_addresses(cardholders: DataFrame, ranked: DataFrame, states: DataFrame, *,
-                   mark=None, collation: str | None = None) -> DataFrame:
+                   mark=None, collation: str | None = None, late: DataFrame | None = None) -> DataFrame:
     """One address per changed card holder (its rank-1 account)."""
-    rows = _with_state(_contact_rows(cardholders, ranked, mark), states, collation)
+    rows = _with_state(_contact_rows(cardholders, ranked, mark, late), states, collation)
     return rows.select(
         to_utc("CreateDate").alias("Created"), to_utc("LastUpdateDate").alias("Modified"),
         F.lit(1).alias("Type"),
@@ -179,22 +194,22 @@ def load_addresses(cardholders: DataFrame, ranked: DataFrame, states: DataFrame,
         F.lit(0).alias("Country"), F.lit(1).alias("Program_Id"), "CardHolder_Id")
 
 
-def load_emails(cardholders: DataFrame, ranked: DataFrame, *, mark=None) -> DataFrame:
+def load_emails(cardholders: DataFrame, ranked: DataFrame, *, mark=None, late: DataFrame | None = None) -> DataFrame:
     """Non-blank e-mail addresses (120 characters)."""
-    rows = _contact_rows(cardholders, ranked, mark).where(nonblank("email"))
+    rows = _contact_rows(cardholders, ranked, mark, late).where(nonblank("email"))
     return rows.select(to_utc("CreateDate").alias("Created"),
                        to_utc("LastUpdateDate").alias("Modified"),
                        left_n("email", 120).alias("Address"), F.lit(1).alias("Type"),
                        "CardHolder_Id")
 
 
-def load_phones(cardholders: DataFrame, ranked: DataFrame, *, mark=None) -> DataFrame:
+def load_phones(cardholders: DataFrame, ranked: DataFrame, *, mark=None, late: DataFrame | None = None) -> DataFrame:
     """Telephone (type 1) and cell (type 2) as rows, from one scan.
 
     The two-branch UNION ALL becomes an unpivot of the two columns, so the
     account rows are read and joined once.
     """
-    rows = _contact_rows(cardholders, ranked, mark)
+    rows = _contact_rows(cardholders, ranked, mark, late)
     pairs = F.explode(F.array(
         F.struct(F.lit(1).alias("Type"), F.col("telephone").alias("_digits")),
         F.struct(F.lit(2).alias("Type"), F.col("celltel").alias("_digits"))))
@@ -208,8 +223,9 @@ def load_phones(cardholders: DataFrame, ranked: DataFrame, *, mark=None) -> Data
 
 def load_cards(ranked: DataFrame, mapping: DataFrame, cards: DataFrame, materials: DataFrame,
                plastic_types: DataFrame, fee_plans: DataFrame, pin_sets: DataFrame,
-               status_history: DataFrame, *, mark=None) -> DataFrame:
-    """Cards of converted accounts changed after ``mark``.
+               status_history: DataFrame, *, mark=None, late: DataFrame | None = None) -> DataFrame:
+    """Cards of converted accounts changed after ``mark``, and the ``late``
+    ones (card ids that the target lacks).
 
     Pin flag = any pin-set row for the card (a distinct key set); block
     reason = the newest status-history row (top-1 per card). Fee plan and
@@ -217,7 +233,7 @@ def load_cards(ranked: DataFrame, mapping: DataFrame, cards: DataFrame, material
     """
     acc = ranked.select("entryid", "ActiveCardID", "LastFeePlanChangeID")
     m = mapping.select(F.col("Account_ID").alias("entryid"), "Cardholder_ID")
-    c = cards.where(F.col("LastUpdateDate") > _mark(mark))
+    c = _since(cards, "LastUpdateDate", mark, "cardid", late)
     mats = materials.select("MaterialID", "PlasticTypeID")
     pts = plastic_types.select("PlasticTypeID")
     plans = fee_plans.select(F.col("FeePlanChangeID").alias("LastFeePlanChangeID"))

@@ -15,14 +15,16 @@ Inputs (role name -> DataFrame with the legacy columns):
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property, partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.operators import exclude, incremental as inc, loads, lookup as lk, qualify
 from ledgerloom.plans.runs import empty_targets
-from ledgerloom.session import intermediate_tables, materialize
+from ledgerloom.session import intermediate_tables, materialize, path_exists
 
 
 @dataclass
@@ -42,185 +44,347 @@ class RunResult:
     steps: list = field(default_factory=list)
 
 
-def _cut(df: DataFrame, label: str) -> DataFrame:
-    return materialize(df, label)
+class Steps:
+    """The run's step tables: each is written once, when it is first asked
+    for, and read back by whatever needs it.
 
+    With a ``folder`` the tables are the run's step manifest: a step whose
+    write committed there (``_SUCCESS``) is read instead of computed, so a
+    retry of a broken run goes on where it stopped.
+    """
 
-def _replace(target: DataFrame, rows: DataFrame, key: str, doomed: DataFrame) -> DataFrame:
-    kept = target.join(doomed.select(key).distinct(), key, "left_anti")
-    return inc.append(kept, rows)
-
+    def __init__(self, spark: SparkSession, folder: str | None = None):
+        self.spark, self.folder, self.made = spark, folder, {}
+
+    def __call__(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
+        if name not in self.made:
+            if self.folder is None:
+                self.made[name] = materialize(build(), name)
+            else:
+                path = f"{self.folder}/{name}"
+                if not path_exists(self.spark, f"{path}/_SUCCESS"):
+                    build().write.mode("overwrite").parquet(path)
+                self.made[name] = self.spark.read.parquet(path)
+        return self.made[name]
+
+
+#: Reported steps, in the order of the run.
+STEPS = ("qualifying", "rejected", "accounts_to_close", "ranked", "lookup_added", "cardholders_added", "accounts_loaded",
+         "qualifying_not_in_accounts", "delete_only_keys", "balances_loaded", "account_cardholders_added", "addresses_loaded",
+         "emails_loaded", "phones_loaded", "cards_loaded", "cards_delete_only_keys", "card_numbers", "card_requests_added",
+         "accounts_without_pan", "cardholders_without_pan")
+
+
+class Conversion:
+    """One run of the conversion; every step is computed on demand, once.
+
+    Asking for one target runs the steps that it depends on and no others.
+    ``late="load"``: accounts, balances, cards and contacts of keys that are
+    not in their target yet are loaded even if their rows are older than the
+    mark (an account may begin to qualify through another one of its person).
+    ``late="report"`` keeps to the mark, as the legacy text does, and lists
+    such accounts under ``qualifying_not_in_accounts``.
+    """
 
-def run_conversion(inputs: dict[str, DataFrame], *, exp_date: str, as_of: str,
-                   targets: dict[str, DataFrame] | None = None,
-                   previous_qualifying: DataFrame | None = None,
-                   existing_lookup: DataFrame | None = None,
-                   full_reload: bool = False, report: bool = True) -> RunResult:
-    """J36 (with J35 ``full_reload``): returns the new state of every target."""
-    i = inputs
-    spark = i["master"].sparkSession
-    tg = empty_targets(spark)
-    if targets and not full_reload:
-        tg.update(targets)
-    steps: list[tuple[str, DataFrame]] = []
-
-    def step(name: str, df: DataFrame) -> DataFrame:
-        """A step's rows, written once: the targets and the report read them."""
-        rows = _cut(df, name)
-        steps.append((name, rows))
-        return rows
+    def __init__(self, inputs: dict[str, DataFrame], *, exp_date: str, as_of: str,
+                 targets: dict[str, DataFrame] | None = None, previous_qualifying: DataFrame | None = None,
+                 existing_lookup: DataFrame | None = None, full_reload: bool = False, late: str = "load",
+                 steps: Steps | None = None):
+        if late not in ("load", "report"):
+            raise ValueError(late)
+        self.i, self.exp_date, self.as_of, self.late = inputs, exp_date, as_of, late
+        spark = inputs["master"].sparkSession
+        self.before = empty_targets(spark)
+        if targets and not full_reload:
+            self.before.update(targets)
+        self.previous_qualifying, self.existing_lookup = previous_qualifying, existing_lookup
+        self.step = steps or Steps(spark)
+
+    def _late(self, keys: DataFrame, target: str, column: str) -> DataFrame | None:
+        """Keys (one column) that ``target`` lacks; None where the mark alone decides."""
+        if self.late == "report":
+            return None
+        present = self.before[target].select(F.col(column).alias(keys.columns[0])).distinct()
+        return keys.join(present, keys.columns[0], "left_anti")
 
     # qualification (J13-J15), cleaning (J17), closing dropped accounts
-    q = qualify.qualify_accounts(i["master"], i["cards"], i["balances"], i.get("goals"),
-                                 exp_date=exp_date)
-    q = qualify.append_related(q, i["master"])
-    q = _cut(qualify.drop_closed_zero(q, i["balances"]), "qualified")
-    kept, rejected = qualify.junk_filter(q)
-    kept, rejected = step("qualifying", kept), step("rejected", rejected)
-    previous = kept.where(F.lit(False)) if previous_qualifying is None else previous_qualifying
-    dropped = step("accounts_to_close", qualify.snapshot_diff(previous, kept))
-    if previous_qualifying is not None:
-        tg["Accounts"] = qualify.mark_closed(tg["Accounts"], dropped)
+
+    def qualified(self) -> DataFrame:
+        def build():
+            q = qualify.qualify_accounts(self.i["master"], self.i["cards"], self.i["balances"], self.i.get("goals"),
+                                         exp_date=self.exp_date)
+            return qualify.drop_closed_zero(qualify.append_related(q, self.i["master"]), self.i["balances"])
+        return self.step("qualified", build)
+
+    def qualifying(self) -> DataFrame:
+        return self.step("qualifying", lambda: qualify.junk_filter(self.qualified())[0])
+
+    def rejected(self) -> DataFrame:
+        return self.step("rejected", lambda: qualify.junk_filter(self.qualified())[1])
+
+    def accounts_to_close(self) -> DataFrame:
+        kept = self.qualifying()
+        previous = kept.where(F.lit(False)) if self.previous_qualifying is None else self.previous_qualifying
+        return self.step("accounts_to_close", lambda: qualify.snapshot_diff(previous, kept))
 
     # ranking (J18) and the deposit-id lookup
-    ranked = step("ranked", qualify.contact_rank(kept))
-    new_ids = step("lookup_added", lk.best_id_lookup(
-        i["master"], i["deposit_ids"], i["deposit_usage"], existing_lookup))
-    lookup = _cut(new_ids if existing_lookup is None
-                  else existing_lookup.select(*lk.LOOKUP_COLUMNS).unionByName(new_ids), "lookup")
+
+    def ranked(self) -> DataFrame:
+        return self.step("ranked", lambda: qualify.contact_rank(self.qualifying()))
+
+    def lookup_added(self) -> DataFrame:
+        return self.step("lookup_added", lambda: lk.best_id_lookup(
+            self.i["master"], self.i["deposit_ids"], self.i["deposit_usage"], self.existing_lookup))
+
+    def lookup(self) -> DataFrame:
+        new = self.lookup_added()
+        return new if self.existing_lookup is None else self.existing_lookup.select(*lk.LOOKUP_COLUMNS).unionByName(new)
 
     # card holders
-    ch_rows = step("cardholders_added", loads.load_cardholders(
-        ranked, i["applications"], tg["Cardholders"]))
-    tg["Cardholders"] = _cut(inc.append(tg["Cardholders"], ch_rows), "cardholders")
+
+    def cardholders_added(self) -> DataFrame:
+        return self.step("cardholders_added", lambda: loads.load_cardholders(
+            self.ranked(), self.i["applications"], self.before["Cardholders"]))
+
+    def cardholders(self) -> DataFrame:
+        return self.step("cardholders", lambda: inc.append(self.before["Cardholders"], self.cardholders_added()))
 
     # accounts (J21, J22, J25): one key set for delete and insert
-    mark = inc.high_water_mark(tg["Accounts"], "Modified")
-    acc_rows = step("accounts_loaded", loads.load_accounts(
-        ranked, i["fee_plans"], lookup, i["applications"], mark=mark))
-    changed = inc.changed_since(i["master"], "LastUpdateDate", mark).select(
-        F.col("entryid").alias("Id"))
-    accounts, delete_only = inc.replace_changed(tg["Accounts"], acc_rows, key="Id",
-                                                changed_keys=changed)
-    tg["Accounts"] = _cut(accounts, "accounts")
-    # an account that newly qualifies without being changed itself is not
-    # loaded by the mark; report it rather than silently skip it
-    not_loaded = step("qualifying_not_in_accounts", ranked.select(F.col("entryid").alias("Id"))
-                      .join(tg["Accounts"].select("Id"), "Id", "left_anti"))
-    delete_only = step("delete_only_keys", delete_only)
+
+    @cached_property
+    def mark(self):
+        return inc.high_water_mark(self.before["Accounts"], "Modified")
+
+    def accounts_loaded(self) -> DataFrame:
+        late = self._late(self.ranked().select(F.col("entryid").alias("Id")), "Accounts", "Id")
+        return self.step("accounts_loaded", lambda: loads.load_accounts(
+            self.ranked(), self.i["fee_plans"], self.lookup(), self.i["applications"], mark=self.mark, late=late))
+
+    def _accounts_merge(self) -> tuple[DataFrame, DataFrame]:
+        before = self.before["Accounts"]
+        if self.previous_qualifying is not None:
+            before = qualify.mark_closed(before, self.accounts_to_close())
+        changed = inc.changed_since(self.i["master"], "LastUpdateDate", self.mark).select(F.col("entryid").alias("Id"))
+        return inc.replace_changed(before, self.accounts_loaded(), key="Id", changed_keys=changed)
+
+    def accounts(self) -> DataFrame:
+        return self.step("accounts", lambda: self._accounts_merge()[0])
+
+    def delete_only_keys(self) -> DataFrame:
+        return self.step("delete_only_keys", lambda: self._accounts_merge()[1])
+
+    def qualifying_not_in_accounts(self) -> DataFrame:
+        return self.step("qualifying_not_in_accounts", lambda: self.ranked().select(F.col("entryid").alias("Id")).join(
+            self.accounts().select("Id"), "Id", "left_anti"))
 
     # balances (J26): replace accounts whose balance moved past the mark
-    bmark = inc.high_water_mark(tg["AccountBalances"], "EffectiveDate")
-    bal_rows = step("balances_loaded", loads.load_balances(
-        tg["Accounts"], ranked, i["balances"], tg["AccountBalances"], mark=bmark, as_of=as_of))
-    # zero rows only go to accounts without any balance row, so deleting
-    # every loaded id removes exactly the balances being refreshed
-    tg["AccountBalances"] = _replace(tg["AccountBalances"], bal_rows, "Id", bal_rows)
+
+    def balances_loaded(self) -> DataFrame:
+        before = self.before["AccountBalances"]
+        mark = inc.high_water_mark(before, "EffectiveDate")
+        late = self._late(self.accounts().select("Id"), "AccountBalances", "Id")
+        return self.step("balances_loaded", lambda: loads.load_balances(
+            self.accounts(), self.ranked(), self.i["balances"], before, mark=mark, as_of=self.as_of, late=late))
+
+    def account_balances(self) -> DataFrame:
+        # zero rows only go to accounts without any balance row, so deleting
+        # every loaded id removes exactly the balances being refreshed
+        rows = self.balances_loaded()
+        return _replace(self.before["AccountBalances"], rows, "Id", rows)
 
     # account -> card holder mapping
-    map_rows = step("account_cardholders_added", loads.load_account_cardholders(
-        tg["Accounts"], kept, tg["Cardholders"], tg["AccountCardholders"]))
-    tg["AccountCardholders"] = inc.append(tg["AccountCardholders"], map_rows)
+
+    def account_cardholders_added(self) -> DataFrame:
+        return self.step("account_cardholders_added", lambda: loads.load_account_cardholders(
+            self.accounts(), self.qualifying(), self.cardholders(), self.before["AccountCardholders"]))
+
+    def account_cardholders(self) -> DataFrame:
+        return inc.append(self.before["AccountCardholders"], self.account_cardholders_added())
 
     # contact rows of changed card holders are replaced
-    changed_ch = loads.changed_cardholders(tg["Cardholders"], ranked, mark=mark)
-    for name, rows in (("Addresses", loads.load_addresses(tg["Cardholders"], ranked, i["states"],
-                                                          mark=mark)),
-                       ("Emails", loads.load_emails(tg["Cardholders"], ranked, mark=mark)),
-                       ("Phones", loads.load_phones(tg["Cardholders"], ranked, mark=mark))):
-        rows = step(f"{name.lower()}_loaded", rows)
-        tg[name] = _replace(tg[name], rows, "CardHolder_Id", changed_ch)
+
+    def _new_cardholders(self) -> DataFrame | None:
+        return None if self.late == "report" else self.cardholders_added().select(F.col("Id").alias("CardHolder_Id"))
+
+    def addresses_loaded(self) -> DataFrame:
+        return self.step("addresses_loaded", lambda: loads.load_addresses(
+            self.cardholders(), self.ranked(), self.i["states"], mark=self.mark, late=self._new_cardholders()))
+
+    def emails_loaded(self) -> DataFrame:
+        return self.step("emails_loaded", lambda: loads.load_emails(
+            self.cardholders(), self.ranked(), mark=self.mark, late=self._new_cardholders()))
+
+    def phones_loaded(self) -> DataFrame:
+        return self.step("phones_loaded", lambda: loads.load_phones(
+            self.cardholders(), self.ranked(), mark=self.mark, late=self._new_cardholders()))
+
+    def _contacts(self, target: str, rows: DataFrame) -> DataFrame:
+        changed = self.step("changed_cardholders", lambda: loads.changed_cardholders(
+            self.cardholders(), self.ranked(), mark=self.mark, late=self._new_cardholders()))
+        return _replace(self.before[target], rows, "CardHolder_Id", changed)
 
     # cards (J30, J22): one key set for delete and insert, as for accounts; a
     # changed card whose account no longer qualifies stays and is reported
-    cmark = inc.high_water_mark(tg["Cards"], "Modified")
-    card_rows = step("cards_loaded", loads.load_cards(
-        ranked, i["legacy_mapping"], i["cards"], i["materials"], i["plastic_types"], i["fee_plans"],
-        i["pin_sets"], i["status_history"], mark=cmark))
-    changed_cards = inc.changed_since(i["cards"], "LastUpdateDate", cmark).select(
-        F.col("cardid").alias("Id"))
-    tg["Cards"], cards_only = inc.replace_changed(tg["Cards"], card_rows, key="Id",
-                                                  changed_keys=changed_cards)
-    cards_only = step("cards_delete_only_keys", cards_only)
-
-    # card numbers (J31): full reload
-    tg["CardNumbers"] = step("card_numbers", loads.load_card_numbers(
-        i["legacy_mapping"], i["cards"], i["pans"]))
-
-    # card requests (J32): absent ones (already converted or in this target)
-    done = i["request_histories"].select("id").unionByName(
-        tg["CardCreationHistories"].select(F.col("Id").alias("id")))
-    req_rows = step("card_requests_added", loads.load_card_requests(
-        i["card_requests"], done, i["master"], i["legacy_mapping"], i["states"]))
-    tg["CardCreationHistories"] = inc.append(tg["CardCreationHistories"], req_rows)
+
+    @cached_property
+    def cards_mark(self):
+        return inc.high_water_mark(self.before["Cards"], "Modified")
+
+    def cards_loaded(self) -> DataFrame:
+        i = self.i
+        late = self._late(i["cards"].select(F.col("cardid").alias("Id")), "Cards", "Id")
+        return self.step("cards_loaded", lambda: loads.load_cards(
+            self.ranked(), i["legacy_mapping"], i["cards"], i["materials"], i["plastic_types"], i["fee_plans"],
+            i["pin_sets"], i["status_history"], mark=self.cards_mark, late=late))
+
+    def _cards_merge(self) -> tuple[DataFrame, DataFrame]:
+        changed = inc.changed_since(self.i["cards"], "LastUpdateDate", self.cards_mark).select(F.col("cardid").alias("Id"))
+        return inc.replace_changed(self.before["Cards"], self.cards_loaded(), key="Id", changed_keys=changed)
+
+    def cards_delete_only_keys(self) -> DataFrame:
+        return self.step("cards_delete_only_keys", lambda: self._cards_merge()[1])
+
+    # card numbers (J31): full reload; card requests (J32): absent ones
+
+    def card_numbers(self) -> DataFrame:
+        return self.step("card_numbers", lambda: loads.load_card_numbers(
+            self.i["legacy_mapping"], self.i["cards"], self.i["pans"]))
+
+    def card_requests_added(self) -> DataFrame:
+        def build():
+            # already converted, or in this target
+            done = self.i["request_histories"].select("id").unionByName(
+                self.before["CardCreationHistories"].select(F.col("Id").alias("id")))
+            return loads.load_card_requests(self.i["card_requests"], done, self.i["master"], self.i["legacy_mapping"],
+                                            self.i["states"])
+        return self.step("card_requests_added", build)
 
     # exclusions
-    awp, chwp = exclude.exclusions(ranked, i["cards"], i["pans"], tg["Cardholders"])
-    awp, chwp = step("accounts_without_pan", awp), step("cardholders_without_pan", chwp)
 
-    report_df = _report(spark, steps) if report else None
-    return RunResult(tg, kept, ranked, lookup, awp, chwp, delete_only, rejected, dropped, cards_only,
-                     not_loaded, report_df, steps)
+    @cached_property
+    def _exclusions(self) -> tuple[DataFrame, DataFrame]:
+        return exclude.exclusions(self.ranked(), self.i["cards"], self.i["pans"], self.cardholders())
 
+    def accounts_without_pan(self) -> DataFrame:
+        return self.step("accounts_without_pan", lambda: self._exclusions[0])
 
-def _report(spark, steps) -> DataFrame:
-    """Rows of each step; the steps are written tables, so this only counts."""
-    counts = [(name, df.count()) for name, df in steps]
-    return spark.createDataFrame(counts, "step string, rows bigint")
+    def cardholders_without_pan(self) -> DataFrame:
+        return self.step("cardholders_without_pan", lambda: self._exclusions[1])
 
+    # what the run leaves
 
-def run_job(spark, input_paths: dict[str, str], root: str, *, exp_date: str, as_of: str,
-            run_id: str | None = None, full_reload: bool = False,
-            fmt: str = "parquet") -> tuple[str, DataFrame]:
-    """The conversion as a job: inputs from paths, state from run directories.
-
-    Inputs are read with their declared schemas. The current target state is
-    the last complete run under ``root`` (none on a full reload; the deposit
-    lookup and the qualifying snapshot are kept across reloads, as the legacy
-    procedure did). Every target, the qualifying snapshot, the lookup and
-    the exclusion lists, the accounts to close, rejected rows and the keys
-    that were reported rather than loaded are written as run ``run_id``; the
-    run report (rows of every output and of every step) is written last and
-    marks the run complete. Writing a finished run again takes its mark back
-    first. Keys that must be unique are checked before anything is written.
+    def target(self, name: str) -> DataFrame:
+        """The new state of one target."""
+        return {
+            "Cardholders": self.cardholders, "Accounts": self.accounts, "AccountBalances": self.account_balances,
+            "AccountCardholders": self.account_cardholders,
+            "Addresses": lambda: self._contacts("Addresses", self.addresses_loaded()),
+            "Emails": lambda: self._contacts("Emails", self.emails_loaded()),
+            "Phones": lambda: self._contacts("Phones", self.phones_loaded()),
+            "Cards": lambda: self._cards_merge()[0], "CardNumbers": self.card_numbers,
+            "CardCreationHistories": lambda: inc.append(self.before["CardCreationHistories"], self.card_requests_added()),
+        }[name]()
+
+    def rows_of(self, step: str) -> DataFrame:
+        return getattr(self, step)()
+
+    def report(self) -> DataFrame:
+        """Rows of each step; the steps are written tables, so this only counts."""
+        counts = [(name, self.rows_of(name).count()) for name in STEPS]
+        return self.step.spark.createDataFrame(counts, "step string, rows bigint")
+
+
+TARGETS = ("Cardholders", "Accounts", "AccountBalances", "AccountCardholders", "Addresses", "Emails", "Phones", "Cards",
+           "CardNumbers", "CardCreationHistories")
+
+
+def _replace(target: DataFrame, rows: DataFrame, key: str, doomed: DataFrame) -> DataFrame:
+    kept = target.join(doomed.select(key).distinct(), key, "left_anti")
+    return inc.append(kept, rows)
+
+
+def run_conversion(inputs: dict[str, DataFrame], *, report: bool = True, **options) -> RunResult:
+    """J36 (with J35 ``full_reload``): returns the new state of every target.
+    ``options``: those of ``Conversion``."""
+    run = Conversion(inputs, **options)
+    rows = {name: run.rows_of(name) for name in STEPS}
+    return RunResult({name: run.target(name) for name in TARGETS}, rows["qualifying"], rows["ranked"], run.lookup(),
+                     rows["accounts_without_pan"], rows["cardholders_without_pan"], rows["delete_only_keys"], rows["rejected"],
+                     rows["accounts_to_close"], rows["cards_delete_only_keys"], rows["qualifying_not_in_accounts"],
+                     run.report() if report else None, list(rows.items()))
+
+
+#: Tables that a run commits beside the targets, and the step each is.
+REPORTED = {"QualifyingAccounts": "qualifying", "AccountsWithoutPAN": "accounts_without_pan",
+            "CardholdersWithoutPAN": "cardholders_without_pan", "AccountsToClose": "accounts_to_close",
+            "RejectedAccounts": "rejected", "AccountsNotLoaded": "qualifying_not_in_accounts",
+            "AccountsDeleteOnly": "delete_only_keys", "CardsDeleteOnly": "cards_delete_only_keys"}
+
+
+def commit_run(spark: SparkSession, inputs: dict[str, DataFrame], root: str, *, exp_date: str, as_of: str,
+               run_id: str | None = None, full_reload: bool = False, late: str = "load", inputs_id: str = "",
+               only: tuple[str, ...] | None = None) -> tuple[str, DataFrame]:
+    """A run over ``inputs`` whose state comes from and goes to run directories.
+
+    The current target state is the last complete run under ``root`` (none on
+    a full reload; the deposit lookup and the qualifying snapshot are kept
+    across reloads, as the legacy procedure did). Every target, the qualifying
+    snapshot, the lookup, the exclusion lists, the accounts to close, rejected
+    rows and the keys that were reported rather than loaded are written as run
+    ``run_id``; the report (rows of every output and of every step) is written
+    last and marks the run complete. Writing a finished run again takes its
+    mark back first.
+
+    Steps are kept under ``root`` until then: a retry of a run that broke off,
+    with the same parameters and ``inputs_id``, reads those that committed.
+    ``only``: commit these outputs alone (no report of the steps); for readers
+    of few targets.
     """
-    from ledgerloom.operators.checks import check_unique
     from ledgerloom.plans import runs
-    from ledgerloom.sources.schemas import DECLARED_KEYS, read_role
 
     run_id = run_id or runs.new_run_id()
     runs.reopen_run(spark, root, run_id)
-    inputs = {role: read_role(spark, path, role, fmt) for role, path in input_paths.items()}
-    for role, key in DECLARED_KEYS.items():
-        repeated = check_unique(inputs[role], key).count()
-        if repeated:  # the qualification and the merges rest on these keys
-            raise ValueError(f"{repeated} values of {role}.{key} repeat")
     prev = runs.last_complete_run(spark, root, before=run_id)
+    folder = runs.open_steps(spark, root, run_id, dict(
+        exp_date=exp_date, as_of=as_of, full_reload=full_reload, late=late, previous=prev, inputs=inputs_id))
     targets, prev_q, prev_lookup = None, None, None
     if prev is not None:
         prev_q = runs.read_run(spark, root, "QualifyingAccounts", prev)
         prev_lookup = runs.read_run(spark, root, "DDID_Lookup", prev)
         if not full_reload:
-            targets = {name: runs.read_run(spark, root, name, prev)
-                       for name in runs.RELOADED_TARGETS}
+            targets = {name: runs.read_run(spark, root, name, prev) for name in runs.RELOADED_TARGETS}
             targets = {k: v for k, v in targets.items() if v is not None}
     with intermediate_tables(spark):  # deleted once the run has committed
-        result = run_conversion(inputs, exp_date=exp_date, as_of=as_of, targets=targets,
-                                previous_qualifying=prev_q, existing_lookup=prev_lookup,
-                                full_reload=full_reload, report=False)
-        outputs = dict(result.targets)
-        outputs.update(QualifyingAccounts=result.qualifying, DDID_Lookup=result.lookup,
-                       AccountsWithoutPAN=result.accounts_without_pan,
-                       CardholdersWithoutPAN=result.cardholders_without_pan,
-                       AccountsToClose=result.accounts_to_close, RejectedAccounts=result.rejected,
-                       AccountsNotLoaded=result.not_loaded, AccountsDeleteOnly=result.delete_only_keys,
-                       CardsDeleteOnly=result.cards_delete_only_keys)
+        run = Conversion(inputs, exp_date=exp_date, as_of=as_of, targets=targets, previous_qualifying=prev_q,
+                         existing_lookup=prev_lookup, full_reload=full_reload, late=late, steps=Steps(spark, folder))
+        outputs: dict[str, Callable[[], DataFrame]] = {name: partial(run.target, name) for name in TARGETS}
+        outputs |= {name: partial(run.rows_of, step) for name, step in REPORTED.items()}
+        outputs["DDID_Lookup"] = run.lookup
         counts = []
-        for name, df in outputs.items():
-            runs.write_run(df, root, name, run_id)
+        for name in only or outputs:
+            runs.write_run(outputs[name](), root, name, run_id)
             # counted from the written files, not by re-running the step
             counts.append((name, runs.read_run(spark, root, name, run_id).count()))
-        report = spark.createDataFrame(counts, "step string, rows bigint").unionByName(
-            _report(spark, result.steps))
+        report = spark.createDataFrame(counts, "step string, rows bigint")
+        if only is None:
+            report = report.unionByName(run.report())
         runs.write_run(report, root, runs.REPORT_TABLE, run_id)
+    runs.close_steps(spark, root, run_id)
     return run_id, report
+
+
+def run_job(spark, input_paths: dict[str, str], root: str, *, exp_date: str, as_of: str,
+            run_id: str | None = None, full_reload: bool = False, late: str = "load",
+            fmt: str = "parquet") -> tuple[str, DataFrame]:
+    """``commit_run`` over inputs from paths, read with their declared schemas.
+    Keys that must be unique are checked before anything is written."""
+    from ledgerloom.operators.checks import check_unique
+    from ledgerloom.sources.schemas import DECLARED_KEYS, read_role
+
+    inputs = {role: read_role(spark, path, role, fmt) for role, path in input_paths.items()}
+    for role, key in DECLARED_KEYS.items():
+        repeated = check_unique(inputs[role], key).count()
+        if repeated:  # the qualification and the merges rest on these keys
+            raise ValueError(f"{repeated} values of {role}.{key} repeat")
+    return commit_run(spark, inputs, root, exp_date=exp_date, as_of=as_of, run_id=run_id, full_reload=full_reload, late=late,
+                      inputs_id=" ".join(f"{k}={v}" for k, v in sorted(input_paths.items())))

@@ -12,10 +12,11 @@ complete run from one interrupted by a failure.
 from __future__ import annotations
 
 import datetime as dt
+import json
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.session import checkpoint_root, delete_path
+from ledgerloom.session import checkpoint_root, delete_path, path_exists
 from ledgerloom.sources.schemas import TARGET_SCHEMAS
 
 
@@ -103,3 +104,25 @@ def read_run(spark: SparkSession, root: str, table: str, run_id: str) -> DataFra
     if run_id not in complete_runs(spark, root, table):
         return None
     return spark.read.parquet(run_path(root, table, run_id))
+
+
+STEPS_TABLE = "_steps"
+
+
+def open_steps(spark: SparkSession, root: str, run_id: str, parameters: dict) -> str:
+    """The folder of a run's steps.
+
+    What an earlier attempt left there stays if it had the same parameters and
+    goes if not. The parameters are written first, as the head of the manifest.
+    """
+    folder, text = run_path(root, STEPS_TABLE, run_id), json.dumps(parameters, sort_keys=True)
+    head = f"{folder}/parameters"
+    if path_exists(spark, f"{head}/_SUCCESS") and spark.read.parquet(head).first()["parameters"] == text:
+        return folder
+    delete_path(spark, folder)
+    spark.createDataFrame([(text,)], "parameters string").write.parquet(head)
+    return folder
+
+
+def close_steps(spark: SparkSession, root: str, run_id: str) -> None:
+    delete_path(spark, run_path(root, STEPS_TABLE, run_id))

@@ -123,3 +123,8 @@ def intermediate_tables(spark: SparkSession):
 def delete_path(spark: SparkSession, path: str) -> None:
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(jpath)

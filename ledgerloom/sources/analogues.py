@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions.exprs import ntz
-from ledgerloom.sources.tables import Tables
+from ledgerloom.sources.tables import Tables, read_table
 
 # ---- category flattening -------------------------------------------------
 
@@ -391,3 +391,42 @@ def conversion_inputs(t: Tables) -> dict[str, DataFrame]:
         "legacy_mapping": legacy_mapping(t), "card_requests": card_requests(t),
         "request_histories": request_histories(t),
     }
+
+
+# ---- two snapshots of the sources, for a run that follows another -----------
+
+#: The later run's expiry date, and when its changed orders were changed.
+SECOND_EXP_DATE, CHANGED_AT = "2002-06-15", "2001-02-15"
+#: The first run's time lies before every change, as its zero balances bear it.
+FIRST_AS_OF = CHANGED_FROM + " 00:00:00"
+#: Orders up to this price were changed between the two runs.
+CHANGED_UP_TO = 100_000
+
+
+class FirstSnapshot(Tables):
+    """The tables before ``CHANGED_FROM``."""
+
+    @property
+    def orders(self) -> DataFrame:
+        return read_table(self.spark, self.sf_dir, "orders").where(F.col("o_orderdate") < ntz(CHANGED_FROM))
+
+    @property
+    def lineitem(self) -> DataFrame:
+        return read_table(self.spark, self.sf_dir, "lineitem").where(F.col("l_shipdate") < ntz(CHANGED_FROM))
+
+
+class SecondSnapshot(Tables):
+    """All rows; cheap orders of the first snapshot were dated anew and their
+    price doubled, and urgent finished ones among them lost their priority (so
+    that their accounts no longer qualify)."""
+
+    @property
+    def orders(self) -> DataFrame:
+        o = read_table(self.spark, self.sf_dir, "orders")
+        changed = (F.col("o_orderdate") < ntz(CHANGED_FROM)) & (F.col("o_totalprice") <= CHANGED_UP_TO)
+        lost = changed & (F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "F")
+        return o.select(*[
+            F.when(lost, "5-LOW").otherwise(F.col(c)).alias(c) if c == "o_orderpriority" else
+            F.when(changed, F.col(c) * 2).otherwise(F.col(c)).alias(c) if c == "o_totalprice" else
+            F.when(changed, ntz(CHANGED_AT)).otherwise(F.col(c)).alias(c) if c == "o_orderdate" else F.col(c)
+            for c in o.columns])
