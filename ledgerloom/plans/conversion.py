@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from ledgerloom.operators import exclude, incremental as inc, loads, lookup as lk, qualify
 from ledgerloom.plans.runs import empty_targets
 from ledgerloom.session import intermediate_tables, materialize, path_exists
+from ledgerloom.sources.schemas import TARGET_SCHEMAS
 
 
 @dataclass
@@ -285,6 +286,24 @@ class Conversion:
             "CardCreationHistories": lambda: inc.append(self.before["CardCreationHistories"], self.card_requests_added()),
         }[name]()
 
+    def delta(self, name: str) -> tuple[DataFrame, DataFrame | None]:
+        """The rows that the run adds to a target, and the keys (by the name of
+        the target's key) whose rows it takes out first."""
+        if name == "Accounts":
+            # reloaded accounts, and the closed ones with their new status
+            keys = self.accounts_loaded().select("Id").unionByName(
+                self.accounts_to_close().select(F.col("entryid").alias("Id"))).distinct()
+            return self.accounts().join(keys, "Id", "left_semi"), keys
+        if name in ("Addresses", "Emails", "Phones"):
+            rows = self.rows_of(f"{name.lower()}_loaded")
+            self.target(name)
+            return rows, self.step.made["changed_cardholders"]
+        if name in ("AccountBalances", "Cards"):
+            rows = self.rows_of("balances_loaded" if name == "AccountBalances" else "cards_loaded")
+            return rows, rows.select("Id")
+        return {"Cardholders": self.cardholders_added, "AccountCardholders": self.account_cardholders_added,
+                "CardCreationHistories": self.card_requests_added}[name](), None
+
     def rows_of(self, step: str) -> DataFrame:
         return getattr(self, step)()
 
@@ -296,6 +315,9 @@ class Conversion:
 
 TARGETS = ("Cardholders", "Accounts", "AccountBalances", "AccountCardholders", "Addresses", "Emails", "Phones", "Cards",
            "CardNumbers", "CardCreationHistories")
+#: Where a target's rows go when it is kept in buckets.
+BUCKET_KEYS = {name: "Id" for name in TARGETS} | {
+    "AccountCardholders": "Account_id", "Addresses": "CardHolder_Id", "Emails": "CardHolder_Id", "Phones": "CardHolder_Id"}
 
 
 def _replace(target: DataFrame, rows: DataFrame, key: str, doomed: DataFrame) -> DataFrame:
@@ -323,7 +345,7 @@ REPORTED = {"QualifyingAccounts": "qualifying", "AccountsWithoutPAN": "accounts_
 
 def commit_run(spark: SparkSession, inputs: dict[str, DataFrame], root: str, *, exp_date: str, as_of: str,
                run_id: str | None = None, full_reload: bool = False, late: str = "load", inputs_id: str = "",
-               only: tuple[str, ...] | None = None) -> tuple[str, DataFrame]:
+               only: tuple[str, ...] | None = None, buckets: int | None = None) -> tuple[str, DataFrame]:
     """A run over ``inputs`` whose state comes from and goes to run directories.
 
     The current target state is the last complete run under ``root`` (none on
@@ -338,21 +360,29 @@ def commit_run(spark: SparkSession, inputs: dict[str, DataFrame], root: str, *,
     Steps are kept under ``root`` until then: a retry of a run that broke off,
     with the same parameters and ``inputs_id``, reads those that committed.
     ``only``: commit these outputs alone (no report of the steps); for readers
-    of few targets.
+    of few targets. ``buckets``: keep the targets in that many hashed buckets
+    (``plans.buckets``; the same number in all runs), of which a run writes
+    only those that it changes.
     """
     from ledgerloom.plans import runs
+    from ledgerloom.plans.buckets import BucketedTable
 
     run_id = run_id or runs.new_run_id()
     runs.reopen_run(spark, root, run_id)
     prev = runs.last_complete_run(spark, root, before=run_id)
     folder = runs.open_steps(spark, root, run_id, dict(
         exp_date=exp_date, as_of=as_of, full_reload=full_reload, late=late, previous=prev, inputs=inputs_id))
+    tables = {name: BucketedTable(spark, root, name, TARGET_SCHEMAS[name], key, buckets)
+              for name, key in BUCKET_KEYS.items()} if buckets else {}
     targets, prev_q, prev_lookup = None, None, None
     if prev is not None:
         prev_q = runs.read_run(spark, root, "QualifyingAccounts", prev)
         prev_lookup = runs.read_run(spark, root, "DDID_Lookup", prev)
         if not full_reload:
-            targets = {name: runs.read_run(spark, root, name, prev) for name in runs.RELOADED_TARGETS}
+            if buckets is None:
+                targets = {name: runs.read_run(spark, root, name, prev) for name in runs.RELOADED_TARGETS}
+            else:
+                targets = {name: t.read(prev) if t.has(prev) else None for name, t in tables.items()}
             targets = {k: v for k, v in targets.items() if v is not None}
     with intermediate_tables(spark):  # deleted once the run has committed
         run = Conversion(inputs, exp_date=exp_date, as_of=as_of, targets=targets, previous_qualifying=prev_q,
@@ -362,6 +392,14 @@ def commit_run(spark: SparkSession, inputs: dict[str, DataFrame], root: str, *,
         outputs["DDID_Lookup"] = run.lookup
         counts = []
         for name in only or outputs:
+            if name in tables:
+                table = tables[name]
+                if targets is None or name not in targets or name == "CardNumbers":  # loaded whole
+                    table.write(outputs[name](), run_id)
+                else:
+                    table.merge(prev, run_id, *run.delta(name))
+                counts.append((name, table.read(run_id).count()))
+                continue
             runs.write_run(outputs[name](), root, name, run_id)
             # counted from the written files, not by re-running the step
             counts.append((name, runs.read_run(spark, root, name, run_id).count()))
@@ -375,7 +413,7 @@ def commit_run(spark: SparkSession, inputs: dict[str, DataFrame], root: str, *,
 
 def run_job(spark, input_paths: dict[str, str], root: str, *, exp_date: str, as_of: str,
             run_id: str | None = None, full_reload: bool = False, late: str = "load",
-            fmt: str = "parquet") -> tuple[str, DataFrame]:
+            buckets: int | None = None, fmt: str = "parquet") -> tuple[str, DataFrame]:
     """``commit_run`` over inputs from paths, read with their declared schemas.
     Keys that must be unique are checked before anything is written."""
     from ledgerloom.operators.checks import check_unique
@@ -386,5 +424,5 @@ def run_job(spark, input_paths: dict[str, str], root: str, *, exp_date: str, as_
         repeated = check_unique(inputs[role], key).count()
         if repeated:  # the qualification and the merges rest on these keys
             raise ValueError(f"{repeated} values of {role}.{key} repeat")
-    return commit_run(spark, inputs, root, exp_date=exp_date, as_of=as_of, run_id=run_id, full_reload=full_reload, late=late,
+    return commit_run(spark, inputs, root, exp_date=exp_date, as_of=as_of, run_id=run_id, full_reload=full_reload, late=late, buckets=buckets,
                       inputs_id=" ".join(f"{k}={v}" for k, v in sorted(input_paths.items())))

@@ -16,7 +16,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerloom.plans import conversion, registry as R, runs
+from ledgerloom.plans.buckets import BucketedTable
 from ledgerloom.sources import analogues as A
+from ledgerloom.sources.schemas import TARGET_SCHEMAS
 
 FIRST, SECOND = "20010101T000000", "20010901T000000"
 #: What the second run reads of the first for each output.
@@ -33,14 +35,16 @@ _STATE = {
 }
 
 
-def second_run(spark: SparkSession, sf_dir: str, output: str, late: str = "load") -> DataFrame:
-    """One output of the second run, read from its committed directory."""
+def second_run(spark: SparkSession, sf_dir: str, output: str, late: str = "load", buckets: int | None = None) -> DataFrame:
+    """One output of the second run, read from its committed directory (or buckets)."""
     root = f"{runs.default_root(spark)}/{uuid.uuid4().hex}"
     if _STATE[output]:
         conversion.commit_run(spark, A.conversion_inputs(A.FirstSnapshot(spark, sf_dir)), root, exp_date=A.EXP_DATE,
-                              as_of=A.FIRST_AS_OF, run_id=FIRST, late=late, only=_STATE[output])
+                              as_of=A.FIRST_AS_OF, run_id=FIRST, late=late, only=_STATE[output], buckets=buckets)
     conversion.commit_run(spark, A.conversion_inputs(A.SecondSnapshot(spark, sf_dir)), root, exp_date=A.SECOND_EXP_DATE,
-                          as_of=A.AS_OF, run_id=SECOND, late=late, only=(output,))
+                          as_of=A.AS_OF, run_id=SECOND, late=late, only=(output,), buckets=buckets)
+    if buckets:
+        return BucketedTable(spark, root, output, TARGET_SCHEMAS[output], conversion.BUCKET_KEYS[output], buckets).read(SECOND)
     return runs.read_run(spark, root, output, SECOND)
 
 
@@ -216,3 +220,63 @@ def not_loaded_literal(spark, sf_dir):
 
 R.register("j36_second_run", " UNION ALL ".join(
     f"SELECT '{step}' AS step, CAST(count(*) AS BIGINT) AS rows FROM ({sql})" for step, sql in _STEPS_SQL.items()))(second_report)
+
+
+# ---- what changed between the snapshots, and the rules for that alone -------
+
+from ledgerloom.operators import feed, requalify as rq  # noqa: E402
+
+_CARD_COLUMNS = ["cardholderid", "expmonth", "expyear", "externalcardid", "LastUpdateDate", "CreateDate", "created", "IssueDate",
+                 "nameoncard", "cardstatus", "IssuanceState", "MaterialID"]
+_CARD_ROWS = "SELECT * FROM ccards"
+
+
+@R.register("j16_change_feed", "WITH old_cards AS (" + _first("WITH " + R._LOAD_SQL + _CARD_ROWS) + "),\n" + _AFTER + R._LOAD_SQL
+            + f""", both_ AS (
+  SELECT n.cardid AS new_id, o.cardid AS old_id, o.* EXCLUDE (cardid),
+         {", ".join(f'n."{c}" AS "n_{c}"' for c in _CARD_COLUMNS)}
+  FROM old_cards o FULL JOIN ccards n ON n.cardid = o.cardid),
+named AS (
+  SELECT *, concat_ws(',', {", ".join(f"CASE WHEN \"{c}\" IS DISTINCT FROM \"n_{c}\" THEN '{c}' END" for c in _CARD_COLUMNS)}) AS names
+  FROM both_)
+SELECT coalesce(new_id, old_id) AS cardid,
+       CASE WHEN old_id IS NULL THEN 'inserted' WHEN new_id IS NULL THEN 'removed' ELSE 'changed' END AS change,
+       CASE WHEN old_id IS NULL OR new_id IS NULL THEN '' ELSE names END AS changed_columns
+FROM named WHERE old_id IS NULL OR new_id IS NULL OR names <> ''
+""")
+def change_feed(spark, sf_dir):
+    """Cards inserted and changed between the snapshots, with the changed columns."""
+    return feed.change_feed(A.cards(A.FirstSnapshot(spark, sf_dir)), A.cards(A.SecondSnapshot(spark, sf_dir)), "cardid")
+
+
+@R.register("j13_requalify", "WITH " + _AFTER + R._RUN_SQL.replace(f"TIMESTAMP '{A.EXP_DATE}'", f"TIMESTAMP '{A.SECOND_EXP_DATE}'")
+            + "SELECT * FROM qual")
+def requalify(spark, sf_dir):
+    """Qualifying accounts of the second snapshot (J13-J15), from the first one's and the changes."""
+    before = A.conversion_inputs(A.FirstSnapshot(spark, sf_dir))
+    after = A.conversion_inputs(A.SecondSnapshot(spark, sf_dir))
+    state = R.materialize(rq.qualification(before["master"], before["cards"], before["balances"], before["goals"],
+                                           exp_date=A.EXP_DATE), "qualification")
+    state = rq.requalify(state, after["master"], after["cards"], after["balances"], after["goals"],
+                         changed=rq.source_changes(before, after), exp_date=A.SECOND_EXP_DATE, previous_exp_date=A.EXP_DATE)
+    return rq.qualifying(state)
+
+
+# ---- targets in buckets -----------------------------------------------------
+
+@R.register("j36_second_accounts_bucketed", SECOND_SQL["Accounts"])
+def accounts_bucketed(spark, sf_dir):
+    """The accounts after both runs, kept in buckets: reloaded and closed accounts' buckets are written again."""
+    return second_run(spark, sf_dir, "Accounts", buckets=16)
+
+
+@R.register("j22_replace_changed_bucketed", R.ORACLE_SQL["j22_replace_changed"])
+def bucketed(spark, sf_dir):
+    """J22 on a table in hashed buckets: the touched ones alone are written."""
+    t = R.Tables(spark, sf_dir)
+    rows, target = A.reloaded_accounts(t), A.existing_accounts(t)
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in target.schema.fields)
+    table = BucketedTable(spark, f"{runs.default_root(spark)}/{uuid.uuid4().hex}", "Accounts", schema, "Id", 32)
+    table.write(target, FIRST)
+    table.merge(FIRST, SECOND, rows, rows.select("Id"))
+    return table.read(SECOND)
