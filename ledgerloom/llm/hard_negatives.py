@@ -22,11 +22,12 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import materialize, name, scratch
+from ledgerloom.llm.best import Best, in_blocks
+from ledgerloom.llm.common import materialize, name
 
 #: Components (anchors x dimensions) of a block that is broadcast, 8 bytes each.
 BLOCK_COMPONENTS = 1 << 21
@@ -104,33 +105,6 @@ def matrix(column: pa.Array, scale: int, dims: int) -> np.ndarray:
     return out
 
 
-class Best:
-    """The best ``k`` of each slot seen so far: higher scores, then smaller ids."""
-
-    def __init__(self, k: int):
-        self.k = k
-        self.slot, self.id = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.score = np.zeros(0, np.int64)
-        self.floor: dict[int, int] = {}
-
-    def add(self, slot: np.ndarray, score: np.ndarray, ident: np.ndarray) -> None:
-        if not len(slot):
-            return
-        slot, score, ident = np.concatenate([self.slot, slot]), np.concatenate([self.score, score]), np.concatenate([self.id, ident])
-        order = np.lexsort((ident, -score, slot))
-        slot, score, ident = slot[order], score[order], ident[order]
-        first = np.flatnonzero(np.r_[True, slot[1:] != slot[:-1]])
-        place = np.arange(len(slot)) - np.repeat(first, np.diff(np.r_[first, len(slot)]))
-        keep = place < self.k
-        self.slot, self.score, self.id = slot[keep], score[keep], ident[keep]
-        full = place == self.k - 1
-        self.floor = dict(zip(slot[full].tolist(), score[full].tolist()))
-
-    def least(self, slots: range) -> np.ndarray:
-        """The score that a new row of each slot has to reach."""
-        return np.array([self.floor.get(s, -(2**63)) for s in slots], dtype=np.int64)
-
-
 def clipped(scores: np.ndarray) -> np.ndarray:
     """Scores as int64; what 64 bits cannot hold stops at their ends."""
     return scores if scores.dtype != object else np.clip(scores, -(2**63) + 1, 2**63 - 1).astype(np.int64)
@@ -202,16 +176,6 @@ def _best_rows(partial: DataFrame, k: int, *keys: str) -> DataFrame:
     return partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
-def _blocks(spark: SparkSession, stored: str, blocks: int, most: int, schema) -> Iterator[pa.Table]:
-    """The stored anchors, at most ``most`` at a time."""
-    for b in range(blocks):
-        # a hash bucket of about ``most`` rows
-        whole = spark.read.schema(schema).parquet(stored).where(F.col("block") == b).toArrow()
-        whole = whole.sort_by([("label", "ascending"), ("key", "ascending")])  # few labels in each part of a block
-        for at in range(0, whole.num_rows, most):
-            yield whole.slice(at, most)
-
-
 def mine(df: DataFrame, is_anchor: Column, label: Column, positives: int = 5, negatives: int = 5, low: int = 80, high: int = 100,
          scale: int = 256, id_column: str = "vec_id", vector_column: str = "embedding",
          block_components: int = BLOCK_COMPONENTS) -> DataFrame:
@@ -246,13 +210,10 @@ def mine(df: DataFrame, is_anchor: Column, label: Column, positives: int = 5, ne
     moduli = primes(dims * largest * largest, dims)
     per_block = max(1, block_components // dims)
     blocks = -(-known["anchors"] // per_block)
-    stored = scratch(spark, "anchors")
-    rows.where(is_anchor).withColumn("block", F.pmod(F.xxhash64("key"), F.lit(max(1, blocks)))).repartition("block").write.partitionBy(
-        "block").parquet(stored)
     # few enough tasks that their answers, which are handed on once for each, stay few
     candidates = rows.coalesce(2 * spark.sparkContext.defaultParallelism)
     answer, found = "slot long, id long, score long", None
-    for table in _blocks(spark, stored, blocks, per_block, rows.withColumn("block", F.lit(0).cast("long")).schema):
+    for table in in_blocks(rows.where(is_anchor), blocks, per_block, ["label", "key"]):
         held = {"vectors": matrix(table.column("v").combine_chunks(), scale, dims), "label": table.column("label").to_numpy(),
                 "key": table.column("key").to_numpy()}
         ids = table.column("id").to_numpy()

@@ -106,18 +106,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 #: Integer scores, so DuckDB's answer must equal Spark's in every row.
 _TOPK_SQL = """
 with v as (
-  select vec_id, max(list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint))) as w
+  select row_number() over () as row, vec_id, list_transform(embedding, lambda x: cast(floor(64 * cast(x as double)) as bigint)) as w
   from embeddings
   where vec_id is not null and embedding is not null
-    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
-  group by vec_id),
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
 scored as (
-  select q.vec_id as query_id, c.vec_id,
+  select q.row, q.vec_id as query_id, c.vec_id,
          cast(list_sum(list_transform(range(1, len(q.w) + 1), lambda i: q.w[i] * c.w[i])) as bigint) as score
-  from v q join v c on q.vec_id <> c.vec_id
+  from v q join v c on q.row <> c.row
   where q.vec_id % 20 = 0),
 ranked as (
-  select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank from scored)
+  select *, cast(row_number() over (partition by row order by score desc, vec_id) as int) as rank from scored)
 select query_id, rank, vec_id, score from ranked where rank <= 20
 """
 

@@ -4,11 +4,13 @@ Method: a block of vectors becomes postings: for each component (term) the
 rows where it is not zero and their weights. A query is a sparse row; for each
 of its terms the term's postings, weighted, are added into the query's dense
 score array over the block. Partition selection keeps the block's k best, and
-the blocks' answers are merged.
+the answers of the blocks are merged.
 
-Queries and candidates are dealt into blocks of bounded size; a task holds one
-candidate block and reads the query blocks one after another, so that no task
-grows with the data.
+Queries are read in blocks of a bounded number of components, one block after
+another; each is broadcast, and every task runs it against its own candidates,
+block by block, merging as it goes. A task hands on its answers once, so they
+grow with queries x tasks, and no candidate is moved at all. The answers of
+each block of queries are a written table.
 """
 
 from __future__ import annotations
@@ -16,18 +18,18 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import name
+from ledgerloom.llm.best import Best, in_blocks
+from ledgerloom.llm.common import materialize, name
 
-#: A candidate block has a share of the rows, within these bounds: small ones
-#: give more tasks, large ones copy the queries to fewer blocks.
-BLOCK_SHARE, LEAST_ROWS, MOST_ROWS = 48, 2_048, 32_768
-#: Rows of a query block.
-QUERY_ROWS = 16_384
+#: Components (queries x dimensions) of a block of queries, 8 bytes each.
+QUERY_COMPONENTS = 1 << 21
+#: Candidates of a block.
+BLOCK_ROWS = 8_192
 #: Score arrays that are filled at the same time.
 QUERIES_AT_ONCE = 16
 
@@ -50,16 +52,17 @@ def postings(block: np.ndarray) -> list[tuple[np.ndarray | slice, np.ndarray]]:
     return out
 
 
-def best(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, ids: np.ndarray,
+def best(queries: np.ndarray, query_keys: np.ndarray, block: np.ndarray, ids: np.ndarray, keys: np.ndarray,
          k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Each query's k best rows of the block: (query id, ids, scores).
-    ``ids`` ascend, so that equal scores go to the smaller id."""
+    """Each query's k best rows of the block: (query's place, ids, scores).
+    ``ids`` ascend, so that equal scores go to the smaller id; a query's own
+    row is the one of its key."""
     terms = min(queries.shape[1], block.shape[1])
     largest = float(np.abs(queries).max(initial=0)) * float(np.abs(block).max(initial=0)) * max(terms, 1)
     kind = np.int32 if largest < 2**31 else np.int64
     listed = postings(block[:, :terms].astype(kind))
     weights = queries[:, :terms].astype(kind)
-    n = len(ids)
+    n, own = len(ids), dict(zip(keys.tolist(), range(len(keys))))
     position = np.arange(n, dtype=np.int64)
     for at in range(0, len(queries), QUERIES_AT_ONCE):
         some = weights[at:at + QUERIES_AT_ONCE]
@@ -72,9 +75,7 @@ def best(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, ids: np.
                 else:
                     scores[q, rows] += values * some[q, term]
         for q, row in enumerate(scores):
-            own = query_ids[at + q]
-            found = np.searchsorted(ids, own)
-            skip = found if found < n and ids[found] == own else -1
+            skip = own.get(int(query_keys[at + q]), -1)
             wanted = min(k + (skip >= 0), n)
             # the wanted-th score bounds the answer; among equals the order decides
             bound = np.partition(row, n - wanted)[n - wanted]
@@ -82,63 +83,66 @@ def best(queries: np.ndarray, query_ids: np.ndarray, block: np.ndarray, ids: np.
             keep = keep[keep != skip]
             keep = keep[np.lexsort((keep, -row[keep].astype(np.int64)))][:k]
             if len(keep):
-                yield int(own), ids[keep], row[keep].astype(np.int64)
+                yield at + q, ids[keep], row[keep].astype(np.int64)
 
 
-def _matrix(rows: pd.Series) -> np.ndarray:
-    if not len(rows):
-        return np.zeros((0, 0), dtype=np.int64)
-    width = max(map(len, rows))
-    out = np.zeros((len(rows), width), dtype=np.int64)
-    for i, r in enumerate(rows):
-        out[i, :len(r)] = r
+def _matrix(column: pa.Array, dims: int) -> np.ndarray:
+    lengths = column.value_lengths().to_numpy(zero_copy_only=False)
+    out = np.zeros((len(column), dims), dtype=np.int64)
+    out[np.arange(dims) < lengths[:, None]] = column.flatten().to_numpy(zero_copy_only=False)
     return out
 
 
+def _search(sent, k: int, block_rows: int):
+    """A task's k best of its candidates for each query (slot) of the block."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries, query_keys = sent.value
+        found = Best(k)
+        for whole in batches:
+            for at in range(0, whole.num_rows, block_rows):
+                part = whole.slice(at, block_rows)
+                ids, keys = (part.column(c).to_numpy(zero_copy_only=False) for c in ("id", "key"))
+                order = np.argsort(ids, kind="stable")
+                block = _matrix(part.column("v"), queries.shape[1])[order]
+                answers = list(best(queries, query_keys, block, ids[order], keys[order], k))
+                if answers:
+                    found.add(np.repeat([a[0] for a in answers], [len(a[1]) for a in answers]),
+                              np.concatenate([a[2] for a in answers]), np.concatenate([a[1] for a in answers]))
+        yield pa.RecordBatch.from_arrays([pa.array(found.slot), pa.array(found.id), pa.array(found.score)], names=["slot", "id", "score"])
+    return run
+
+
 def top_k(df: DataFrame, is_query: Column, k: int = 20, id_column: str = "vec_id",
           vector_column: str = "embedding", scale: int = 64,
-          block_rows: int | None = None, query_rows: int = QUERY_ROWS) -> DataFrame:
+          block_rows: int = BLOCK_ROWS, query_components: int = QUERY_COMPONENTS) -> DataFrame:
     """The k rows with the highest integer inner product for each query row.
 
     ``is_query``: condition on the id column, here called ``id``. Returns
     query_id, rank (from 1), ``id_column``, score; ties go to the smaller id,
     and a query with fewer candidates returns all. Rows with a null id, a null
-    vector or a null or non-finite component take no part; repeated rows of an
-    id count once (the largest vector); shorter vectors count as padded with
+    vector or a null or non-finite component take no part; a repeated id is a
+    row of its own each time (as a query it gives its answer each time, in
+    which its other rows may stand); shorter vectors count as padded with
     zeros. Components are taken to fit 31 bits after scaling. Empty tables
     give no rows.
     """
+    spark = df.sparkSession
     kind = df.schema[id_column].dataType.simpleString()
-    all_rows = (df.select(name(id_column).cast("long").alias("id"), quantise(name(vector_column), scale).alias("v"))
-                .where("id is not null and v is not null")
-                .groupBy("id").agg(F.max("v").alias("v")))
-    total = all_rows.agg(F.count("*").alias("n"), F.count_if(is_query).alias("q")).first()
-    block_rows = block_rows or min(MOST_ROWS, max(LEAST_ROWS, total["n"] // BLOCK_SHARE))
-    blocks = max(1, -(-total["n"] // block_rows))
-    query_blocks = max(1, -(-total["q"] // query_rows))
-
-    dealt = F.xxhash64("id")
-    rows = all_rows.select(
-        F.pmod(dealt, F.lit(blocks)).cast("int").alias("block"),
-        F.explode(F.sequence(F.lit(0), F.lit(query_blocks - 1))).alias("part"),
-        F.lit(False).alias("query"), "id", "v")
-    asked = all_rows.where(is_query).select(
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"),
-        F.pmod(dealt, F.lit(query_blocks)).cast("int").alias("part"),
-        F.lit(True).alias("query"), "id", "v")
-
-    def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        inside, q = pdf[~pdf["query"]].sort_values("id"), pdf[pdf["query"]]
-        found = [(qid, ids, scores) for qid, ids, scores in best(
-            _matrix(q["v"]), q["id"].to_numpy(), _matrix(inside["v"]), inside["id"].to_numpy(), k)] if len(
-            inside) and len(q) else []
-        return pd.DataFrame({
-            "query_id": np.repeat([x[0] for x in found], [len(x[1]) for x in found]).astype(np.int64),
-            "id": np.concatenate([x[1] for x in found]) if found else np.zeros(0, np.int64),
-            "score": np.concatenate([x[2] for x in found]) if found else np.zeros(0, np.int64)})
-
-    partial = (rows.unionByName(asked).groupBy("block", "part")
-               .applyInPandas(search, "query_id long, id long, score long"))
-    order = W.partitionBy("query_id").orderBy(F.desc("score"), F.asc("id"))
-    return (partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
-            .select("query_id", "rank", F.col("id").cast(kind).alias(id_column), "score"))
+    rows = materialize(df.select(name(id_column).cast("long").alias("id"), quantise(name(vector_column), scale).alias("v"))
+                       .where("id is not null and v is not null").withColumn("key", F.monotonically_increasing_id()), "vectors")
+    known = rows.agg(F.count_if(is_query).alias("queries"), F.max(F.size("v")).alias("dims")).first()
+    dims = max(1, known["dims"] or 0)
+    per_block = max(1, query_components // dims)
+    # few enough tasks that their answers, which are handed on once for each, stay few
+    candidates = rows.coalesce(2 * spark.sparkContext.defaultParallelism)
+    order = W.partitionBy("slot").orderBy(F.desc("score"), F.asc("id"))
+    found = None
+    for table in in_blocks(rows.where(is_query), -(-known["queries"] // per_block), per_block, ["key"]):
+        sent = spark.sparkContext.broadcast((_matrix(table.column("v").combine_chunks(), dims), table.column("key").to_numpy()))
+        slots = spark.createDataFrame(pa.table({"slot": np.arange(table.num_rows), "query_id": table.column("id").to_numpy()}))
+        partial = candidates.mapInArrow(_search(sent, k, block_rows), "slot long, id long, score long")
+        ranked = partial.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+        part = materialize(ranked.join(slots, "slot").select(
+            F.col("query_id").cast(kind).alias("query_id"), "rank", F.col("id").cast(kind).alias(id_column), "score"), "top_k")
+        found = part if found is None else found.unionByName(part)
+    return found if found is not None else spark.createDataFrame([], f"query_id {kind}, rank int, `{id_column}` {kind}, score long")

@@ -10,15 +10,13 @@ from ledgerloom.llm import topk
 
 
 def brute(rows, k, step=20):
-    kept = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            w = [math.floor(64 * float(np.float32(x))) for x in v]
-            kept[i] = max(w, kept.get(i, w))
+    kept = [(i, [math.floor(64 * float(np.float32(x))) for x in v]) for i, v in rows
+            if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
     out = []
-    for q in (i for i in kept if i % step == 0):
-        scored = sorted((-sum(a * b for a, b in zip(kept[q], kept[c])), c) for c in kept if c != q)
-        out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored[:k])]
+    for n, (q, w) in enumerate(kept):
+        if q % step == 0:
+            scored = sorted((-sum(a * b for a, b in zip(w, x)), c) for m, (c, x) in enumerate(kept) if m != n)
+            out += [(q, r + 1, c, -s) for r, (s, c) in enumerate(scored[:k])]
     return sorted(out)
 
 
@@ -27,7 +25,7 @@ def run(spark, rows, k=20, **more):
     return sorted(map(tuple, topk.top_k(frame, F.col("id") % 20 == 0, k=k, **more).collect()))
 
 
-@pytest.mark.parametrize("sizes", [{}, {"block_rows": 40, "query_rows": 3}])
+@pytest.mark.parametrize("sizes", [{}, {"block_rows": 40, "query_components": 36}])
 def test_against_brute_force(spark, sizes):
     rng = np.random.default_rng(2)
     rows = [(i, (rng.normal(size=12) * (rng.random(12) < 0.4)).astype(np.float32).tolist()) for i in range(220)]
@@ -41,6 +39,12 @@ def test_odd_vectors(spark):
     assert run(spark, rows) == brute(rows, 20)
 
 
+def test_rows_of_one_id_are_candidates_of_their_own(spark):
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [0.75, 0.0]), (1, [0.5, 0.0]), (20, [1.0, 0.0]), (20, [0.25, 0.0])]
+    got = run(spark, rows)
+    assert got == brute(rows, 20) and [r[1:] for r in got if r[0] == 0][:3] == [(1, 20, 4096), (2, 1, 3072), (3, 1, 2048)]
+
+
 def test_fewer_candidates_than_k_and_none(spark):
     assert run(spark, [(0, [1.0])]) == [] and run(spark, []) == []
     assert run(spark, [(0, [1.0]), (1, [1.0])]) == [(0, 1, 1, 4096)]
