@@ -18,7 +18,7 @@ from ledgerloom.session import checkpoint_root, materialize
 
 _SHIPPED: dict[str, str] = {}
 
-__all__ = ["materialize", "name", "pick", "read", "scratch", "ship", "text_slices", "strings", "held_out_bucket"]
+__all__ = ["materialize", "name", "pick", "read", "sampled", "scratch", "ship", "text_slices", "strings", "held_out_bucket"]
 
 
 def ship(spark: SparkSession) -> None:
@@ -84,6 +84,13 @@ def strings(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
+def sampled(share: float, *columns: str) -> Column:
+    """Rows whose hash of ``columns`` lies in the lowest ``share`` of all 64-bit values."""
+    if share >= 1:
+        return F.lit(True)
+    return F.xxhash64(*columns) < F.lit(-(1 << 63) + int(share * (1 << 64)))
+
+
 def held_out_bucket(id_column: Column, folds: int = 5) -> Column:
     """crc32 of the id as text, modulo ``folds`` (a null id counts as the empty text)."""
     return F.pmod(F.crc32(F.encode(F.coalesce(id_column.cast("string"), F.lit("")), "UTF-8")), F.lit(folds))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import pick, text_slices
+from ledgerloom.llm.common import pick, sampled, text_slices
 from ledgerloom.llm.dom import WORD, Node, blocks, parse
 
 #: Pages (about) of the table that are labelled by their markup for training.
@@ -195,10 +195,10 @@ def skeletons() -> Iterator[str]:
 
 
 def train(labelled: list[tuple[list[Node], list[int]]], turns: int = 400, decay: float = 1e-3,
-          joint_pages: int = 320, joint_turns: int = 60) -> Model:
+          joint_turns: int = 60) -> Model:
     """Own potentials by logistic regression, parent-child ones by counting;
-    then the own ones again on the first ``joint_pages`` pages, by the
-    likelihood of the whole tree (its gradient: labels less marginals)."""
+    then the own ones again on all pages, by the likelihood of the whole tree
+    (its gradient: labels less marginals)."""
     counts: dict[tuple[tuple[int, ...], int], int] = {}
     pairs = np.ones((2, 2))
     for nodes, labels in labelled:
@@ -225,7 +225,7 @@ def train(labelled: list[tuple[list[Node], list[int]]], turns: int = 400, decay:
     # a label must stay movable by a node's own evidence
     child = np.clip(child, [[0.02], [0.05]], [[0.98], [0.95]])
     model = Model(w.tolist(), child.tolist())
-    some = [(nodes, labels, [features(nodes, k) for k in range(len(nodes))]) for nodes, labels in labelled[:joint_pages]]
+    some = [(nodes, labels, [features(nodes, k) for k in range(len(nodes))]) for nodes, labels in labelled]
     speed = np.full(len(FEATURES), 1e-8)
     for turn in range(joint_turns):
         slope = np.zeros(len(FEATURES))
@@ -247,8 +247,8 @@ def fit(pages: DataFrame, labelled_pages: int = LABELLED_PAGES) -> Model:
     n = pages.count()
     if n and labelled_pages:
         share = min(1.0, labelled_pages / n)
-        some = pages.where(F.pmod(F.xxhash64("id", "url"), F.lit(1_000_000)) < int(share * 1_000_000))
-        for batch in some.select(F.substring("html", 1, 1 << 20).alias("html")).toLocalIterator():
+        some = pages.where(sampled(share, "id", "url"))
+        for batch in some.select("html").toLocalIterator():
             nodes = parse(batch["html"] or "")
             if labels := markup_labels(nodes):
                 labelled.append((nodes, labels))
@@ -264,8 +264,8 @@ def extract(df: DataFrame, id_column: str = "page_id", url_column: str = "url",
     one line end; white space inside a block is one space; character
     references are decoded. A null or empty page, or one without content, has
     the empty text; null ids and urls stay null. Any length of page is read
-    whole (training reads the first million characters of its sample). Tables
-    without rows give no rows.
+    whole, in time that grows with its length. Tables without rows give no
+    rows.
     """
     rows = pick(df, id=id_column, url=url_column, html=html_column)
     model = df.sparkSession.sparkContext.broadcast(fit(rows, labelled_pages))

@@ -9,20 +9,22 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from dataclasses import dataclass, field
 from functools import lru_cache
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|</([a-zA-Z][^\s/>]*)[^>]*>?"
-    r"|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<", re.S)
+    r"|<([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<", re.S)
+START = re.compile(r"<[a-zA-Z][^\s/>]*")
+MARK = re.compile(r"[>\"']")
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 WORD = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is not text of the page.
 SILENT = frozenset(
-    "head script style template noscript svg math iframe object select option datalist textarea button canvas audio "
-    "video map".split())
+    "head script style template iframe select option datalist textarea canvas audio video".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -56,10 +58,42 @@ def attributes(source: str) -> dict[str, str]:
     return out
 
 
+class TagEnds:
+    """Where start tags end, without reading the rest of the page for each.
+
+    A tag ends at the first > outside of quotes. Reading on from any > or
+    quote, outside of quotes, always comes to the same end, so the ends are
+    worked out once, from the last such character backwards.
+    """
+
+    def __init__(self, page: str):
+        self.marks = [m.start() for m in MARK.finditer(page)]
+        self.end: list[int | None] = [None] * (len(self.marks) + 1)
+        following = {'"': len(self.marks), "'": len(self.marks)}
+        for k in range(len(self.marks) - 1, -1, -1):
+            char = page[self.marks[k]]
+            if char == ">":
+                self.end[k] = self.marks[k]
+            else:
+                partner = following[char]
+                self.end[k] = self.end[partner + 1] if partner < len(self.marks) else None
+                following[char] = k
+
+    def after(self, at: int) -> int | None:
+        return self.end[bisect_left(self.marks, at)]
+
+
 def parse(page: str) -> list[Node]:
-    """Nodes in page order, parents first; node 0 is the page."""
+    """Nodes in page order, parents first; node 0 is the page.
+
+    Takes time in proportion to the page, broken markup or not: open elements
+    are found by their places, and once a start tag has turned out to have no
+    end, the ends of all tags are known (``TagEnds``) before one is read.
+    """
     nodes = [Node(-1, "#page", {})]
     stack: list[tuple[str, int]] = [("#page", 0)]  # open elements and the node that stands for each
+    places: dict[str, list[int]] = {}  # of the open elements of each kind
+    blocks_open: list[int] = []
     run, links, silent = 0, 0, 0
     texts: dict[tuple[int, int], Node] = {}
 
@@ -86,20 +120,30 @@ def parse(page: str) -> list[Node]:
         nonlocal run, links, silent
         while len(stack) > depth:
             tag, _ = stack.pop()
-            run += tag in BLOCK
+            places[tag].pop()
+            if tag in BLOCK:
+                blocks_open.pop()
+                run += 1
             links -= tag == "a"
             silent -= tag in SILENT
 
     def close_last(tags: set[str] | frozenset[str], border: frozenset[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k][0] in tags:
-                close(k)
-                return
-            if stack[k][0] in border:
-                return
+        k = max((places[t][-1] for t in tags if places.get(t)), default=0)
+        if k and k > max((places[t][-1] for t in border if places.get(t)), default=0):
+            close(k)
 
     at, end = 0, len(page)
+    ends: TagEnds | None = None
+    start: re.Match | None = None
     while at < end:
+        if ends is not None:
+            if start is not None and start.start() < at:
+                start = START.search(page, at)
+            if start is not None and ends.after(start.end()) is None and TOKEN.search(page, at, start.start()) is None:
+                # a tag without an end is text
+                put(html.unescape(page[at:start.start() + 1]))
+                at = start.start() + 1
+                continue
         m = TOKEN.search(page, at)
         if m is None:
             put(html.unescape(page[at:]))
@@ -129,6 +173,9 @@ def parse(page: str) -> list[Node]:
                 if not silent and tag not in SILENT:
                     nodes.append(Node(owner, tag, known))
                     owner = len(nodes) - 1
+            places.setdefault(tag, []).append(len(stack))
+            if tag in BLOCK:
+                blocks_open.append(len(stack))
             stack.append((tag, owner))
             links += tag == "a"
             silent += tag in SILENT
@@ -140,17 +187,16 @@ def parse(page: str) -> list[Node]:
                 close(len(stack) - 1)
         elif m.group(1):
             tag = m.group(1).lower()
-            if tag in VOID or tag == "p" and not any(t == "p" for t, _ in stack):
+            if tag in VOID or not places.get(tag):
                 run += tag == "p"
                 continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if stack[k][0] in BLOCK and tag not in BLOCK:
-                    break  # a stray end of an inline element
+            k = places[tag][-1]
+            if tag in BLOCK or not blocks_open or blocks_open[-1] < k:
+                close(k)  # else a stray end of an inline element
         elif m.group() == "<":
             put("<")
+            if ends is None and START.match(page, m.start()):
+                ends, start = TagEnds(page), START.search(page, at)
     return nodes
 
 

@@ -3,6 +3,8 @@
 import itertools
 
 import numpy as np
+import time
+
 import pytest
 
 from ledgerloom.llm import content
@@ -82,3 +84,26 @@ def test_odd_rows(spark):
     got = sorted(map(tuple, content.extract(frame).collect()), key=str)
     assert got == sorted([(1, None, ""), (2, "u", ""), (None, "u", "Some text of it."), (3, "u", ""), (3, "u", "")], key=str)
     assert content.extract(frame.where("false")).collect() == []
+
+
+BROKEN = {"open tags": "<a " * 60_000, "open quotes": '<a "' * 60_000, "stray ends": "<span>" * 20_000 + "</p>" * 20_000,
+          "a long name": "<" + "a" * 300_000, "quotes, then an end": '<a "' * 60_000 + ">", "ends after an open tag": "<a " + "</b>" * 60_000,
+          "ends of another block": "<b><div>" + "<span>" * 20_000 + "</b>" * 30_000, "deep": "<div>" * 30_000 + "x"}
+
+
+@pytest.mark.parametrize("kind", BROKEN)
+def test_broken_markup_takes_time_in_proportion(kind):
+    began = time.process_time()
+    parse(BROKEN[kind])
+    assert time.process_time() - began < 3
+
+
+def test_a_tag_without_an_end_is_text():
+    whole = lambda page: blocks(parse(page), lambda k: True)
+    assert whole('<div class="x">1 < 2 <a "b <p>three</p> <i>four <em') == ['1 < 2 <a "b', "three", "four <em"]
+    assert whole("<p>one</p><a <b <c") == ["one", "<a <b <c"]
+
+
+def test_rendered_text_of_formulas_and_scriptless_parts_stays():
+    page = "<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn></math> b</p><noscript><p>c</p></noscript><svg><text>d</text></svg><script>e</script>"
+    assert " ".join(blocks(parse(page), lambda k: True)) == "a x=1 b c d"
