@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import materialize, pick
+from ledgerloom.llm.common import materialize, pick, sampled
 from ledgerloom.llm.components import Forest, components
 
 #: Rows (about) of the sample that fits the codebooks and the stopping rule.
@@ -198,8 +198,7 @@ def near_duplicates(df: DataFrame, threshold: float = 0.93, recall: float = TARG
         width, n = sizes[0]["width"], sizes[0]["n"]
         largest = classes.where(F.col("width") == width).groupBy("label").count().agg(F.max("count")).first()[0]
         share = min(1.0, sample_rows / n)
-        sample = classes.where(F.col("width") == width).where(
-            F.pmod(F.xxhash64("v"), F.lit(1_000_000)) < int(share * 1_000_000)).select("v").toPandas()["v"]
+        sample = classes.where(F.col("width") == width).where(sampled(share, "v")).select("v").toPandas()["v"]
         codes = min(MOST_CODES, max(1, round((largest / CELL_ROWS) ** 0.5)))
         index = Index(_matrix(sample), codes, threshold, recall) if len(sample) else None
     shared = spark.sparkContext.broadcast((width, index))

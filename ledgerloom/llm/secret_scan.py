@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import materialize, name
+from ledgerloom.llm.common import materialize, name, sampled
 
 #: Findings (about) of the table that take part in training, by a hash.
 TRAINING_FINDINGS = 20_000
@@ -34,9 +34,9 @@ MASK = "[SECRET]"
 
 _RUN = r"[A-Za-z0-9_+/~.\-]"
 CANDIDATE = (
-    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[\s\S]{0,20000}?-----END [A-Z ]{0,30}PRIVATE KEY-----"
-    rf"|(?<!{_RUN})(?=[A-Za-z_+/~.\-]{{0,60}}[0-9]){_RUN}{{11,}}[A-Za-z0-9]={{0,2}}"
-    r"|(?<=[=:] ?[\"'])[^\s\"']{8,200}(?=[\"'])"
+    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----[^-]*+(?:-{1,4}+[^-]++){0,1000}+-----END [A-Z ]{0,30}PRIVATE KEY-----"
+    rf"|(?<!{_RUN})(?=[A-Za-z_+/~.\-]*+[0-9]){_RUN}{{11,}}[A-Za-z0-9]={{0,2}}"
+    r"|(?<=[=:] ?[\"'])[^\s\"']{8,}+(?=[\"'])"
 )
 SECRET_WORDS = (r"(?i)(token|secret|passw(or)?d|passwd|pwd|api[_-]?key|access[_-]?key|auth|bearer|credential|private[_-]?key"
                 r"|client[_-]?secret|signing[_-]?key|encryption[_-]?key)")
@@ -72,7 +72,7 @@ def feature_columns() -> dict[str, Column]:
         "case_change": _share("(?<=[a-z])(?=[A-Z])|(?<=[A-Z])(?=[a-z])"),
         "vowel_change": _share("(?i)(?<=[aeiou])(?=[bcdfghjklmnpqrstvwxyz])|(?<=[bcdfghjklmnpqrstvwxyz])(?=[aeiou])"),
         "repeats": _share(r"(.)\1"),
-        "variety": F.size(F.array_distinct(F.split(F.substring(c, 1, 400), ""))) / F.least(F.greatest(F.length(c), F.lit(1)), F.lit(400)),
+        "variety": F.size(F.array_distinct(F.split(c, ""))) / F.greatest(F.length(c), F.lit(1)),
         "hex": _flag(c.rlike("^([0-9a-f]+|[0-9A-F]+)$")),
         "only_digits": _flag(c.rlike("^[0-9.+-]+$")),
         "dictionary": F.col("covered") / F.greatest(F.length(c), F.lit(1)),
@@ -183,7 +183,7 @@ def fit(spark: SparkSession, rows: DataFrame, columns: dict[str, Column], words:
     own = labelled(rows)
     n = own.count()
     share = min(1.0, TRAINING_FINDINGS / max(n, 1))
-    sample = own.where(F.pmod(F.xxhash64("candidate", "before"), F.lit(1_000_000)) < int(share * 1_000_000))
+    sample = own.where(sampled(share, "candidate", "before"))
     inputs = list(columns)
     examples = materialize(with_coverage(worked_examples(spark), words), "examples").withColumns(columns)
     data = materialize(sample.select(*inputs, "label").unionByName(examples.select(*inputs, "label")), "labelled_findings")

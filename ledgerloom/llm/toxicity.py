@@ -25,12 +25,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.common import held_out_bucket, materialize, name, pick, text_slices
+from ledgerloom.llm.common import held_out_bucket, materialize, name, pick, sampled, text_slices
 
 #: Labelled rows (about) that train the models, taken by a hash.
 TRAINING_ROWS = 20_000
-#: Entries that the training rows may add to the lexicon.
-LEARNED_ENTRIES = 60
 #: Beginnings of words that may become entries.
 PREFIXES = (4, 5, 6)
 #: An entry's labels must differ from the others' by this likelihood ratio
@@ -97,7 +95,7 @@ def terms(text: str) -> set[str]:
 def g2(n1: np.ndarray, n0: np.ndarray, toxic: int, clean: int) -> np.ndarray:
     """Likelihood ratio statistic of a term's texts against all texts."""
     n, base = n1 + n0, toxic / (toxic + clean)
-    part = lambda o, e: np.where(o > 0, o * np.log(np.maximum(o, 1) / e), 0.0)
+    part = lambda o, e: np.where(o > 0, o * np.log(np.maximum(o, 1) / np.maximum(e, 1e-12)), 0.0)
     return 2 * (part(n1, n * base) + part(n0, n * (1 - base)))
 
 
@@ -119,8 +117,6 @@ def learn_lexicon(counts, toxic: int, clean: int) -> Lexicon:
         if term.endswith("-") and any(w.startswith(stem) for w in [*known, *(c for c in chosen if not c.endswith("-"))]):
             continue
         chosen.append(term)
-        if len(chosen) == LEARNED_ENTRIES:
-            break
     return Lexicon((*known, *(c for c in chosen if not c.endswith("-"))), tuple(c[:-1] for c in chosen if c.endswith("-")))
 
 
@@ -204,7 +200,7 @@ def fit(rows: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS)
     if not n:
         return Classifier(Lexicon(KNOWN, ()), _without_labels(Lexicon(KNOWN, ())))
     share = min(1.0, training_rows / n)
-    taken = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    taken = known.where(sampled(share, "id"))
     # about training_rows ids, whatever the table's size: the texts stay in place
     sample = materialize(rows.where(~F.col("held_out")).join(F.broadcast(taken), "id").select("text", "toxic"), "labelled_texts")
 

@@ -83,3 +83,13 @@ def test_dictionary_has_the_words_of_all_documents(spark):
     covered = secret_scan.with_coverage(found, secret_scan.dictionary(docs, "text"))
     assert {r["candidate"]: r["covered"] for r in covered.collect()} == {
         "zzz1-aaaword-baaword": 14, "baaword-baaword-1": 14, "1234-nonesuch": 0, "123456789012": 0}
+
+
+def test_no_upper_bounds_on_candidates(spark):
+    key = "-----BEGIN RSA PRIVATE KEY-----\nProc-Type: 4,ENCRYPTED\n" + "MIIabc123/+\n" * 5000 + "-----END RSA PRIVATE KEY-----"
+    run = "a" * 90 + "9" + "Zq7" * 20
+    quoted = "p!" * 300
+    text = f'start {key} middle {run} and password="{quoted}" end'
+    unclosed = "-----BEGIN RSA PRIVATE KEY-----" * 20_000
+    got = secret_scan.findings(documents(spark, [(1, text), (2, unclosed)]), "text", None, ("doc_id",)).collect()
+    assert [g["candidate"] for g in sorted((g for g in got if g["doc_id"] == 1), key=lambda g: g["at"])] == [key, run, quoted]
