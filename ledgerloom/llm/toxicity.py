@@ -29,6 +29,10 @@ from ledgerloom.llm.common import held_out_bucket, materialize, name, pick, samp
 
 #: Labelled rows (about) that train the models, taken by a hash.
 TRAINING_ROWS = 20_000
+#: Entries that the training rows may add to the lexicon, the most telling
+#: first: beyond these come words of single groups of copies, and the driver's
+#: matrices of votes grow with each.
+LEARNED_ENTRIES = 60
 #: Beginnings of words that may become entries.
 PREFIXES = (4, 5, 6)
 #: An entry's labels must differ from the others' by this likelihood ratio
@@ -117,6 +121,8 @@ def learn_lexicon(counts, toxic: int, clean: int) -> Lexicon:
         if term.endswith("-") and any(w.startswith(stem) for w in [*known, *(c for c in chosen if not c.endswith("-"))]):
             continue
         chosen.append(term)
+        if len(chosen) == LEARNED_ENTRIES:
+            break
     return Lexicon((*known, *(c for c in chosen if not c.endswith("-"))), tuple(c[:-1] for c in chosen if c.endswith("-")))
 
 
