@@ -29,6 +29,17 @@ def to_local(c, zone: str = cm.LEGACY_ZONE) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), col(c))
 
 
+def to_utc_later(c, zone: str = cm.LEGACY_ZONE) -> Column:
+    """The last UTC time that legacy wall-clock ``c`` may stand for.
+
+    Inside the autumn overlap that is the second (standard) reading, an hour
+    after ``to_utc``; elsewhere both are the same. Zones that turn back by an
+    hour.
+    """
+    second = to_utc(c, zone) + F.expr("INTERVAL 1 HOUR")
+    return F.when(to_local(second, zone) == col(c), second).otherwise(to_utc(c, zone))
+
+
 def month_end(year, month) -> Column:
     """Last day of (year, month) as DATE; NULL for impossible parts.
 

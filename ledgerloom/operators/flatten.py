@@ -19,8 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.functions.joins import hottest_keys, salted_join
 from ledgerloom.session import materialize
 
+
 def quote(name: str) -> str:
     """Backtick-quote a column name so dots, spaces and brackets are literal."""
     return "`" + name.replace("`", "``") + "`"
@@ -41,9 +43,23 @@ def _category_rows(bridge: DataFrame, categories: DataFrame,
 
 
 def bridge_expand(events: DataFrame, bridge: DataFrame, categories: DataFrame, *,
-                  collation: str | None = None) -> DataFrame:
-    """One row per (event, bridge row); events without categories drop out."""
-    return events.join(_category_rows(bridge, categories, collation), "id")
+                  collation: str | None = None, hot_rows: int | None = None) -> DataFrame:
+    """One row per (event, bridge row); events without categories drop out.
+
+    ``hot_rows``: categories and events of more bridge rows than that are
+    salted in both joins (``functions.joins``), for clusters where skew
+    settings are off.
+    """
+    if hot_rows is None:
+        return events.join(_category_rows(bridge, categories, collation), "id")
+    cat = F.col("Category") if collation is None else F.collate("Category", collation)
+    cats = categories.select(F.col("id").alias("category_id"), cat.alias("Category"))
+    rows = salted_join(bridge.select("event_id", "category_id"), cats, "category_id", hot_rows=hot_rows)
+    rows = rows.select(F.col("event_id").alias("id"), "Category")
+    # the bridge's own event ids bound those of its rows with a category
+    hot = hottest_keys(bridge, "event_id", hot_rows)
+    return salted_join(rows, events, "id", hot_rows=hot_rows, hot=hot).select(
+        "id", *[F.col(quote(c)) for c in events.columns if c != "id"], "Category")
 
 
 def domain_frame(expanded: DataFrame, category: str = "Category") -> DataFrame:
@@ -212,19 +228,24 @@ class NewCategories(ValueError):
 
 def category_flatten_incremental(events: DataFrame, bridge: DataFrame,
                                  categories: DataFrame, target: DataFrame, *,
-                                 on_new_category: str = "error") -> DataFrame:
+                                 on_new_category: str = "error", max_categories: int | None = None) -> DataFrame:
     """Flatten only events whose id is not yet in ``target``.
 
     The column list is the target's (its columns that are not event
     columns), so the result can be appended by name. Categories outside it
     raise ``NewCategories`` with the full drift by default
-    (``on_new_category='error'``) or are ignored.
+    (``on_new_category='error'``), are ignored (``'ignore'``), or become
+    columns after the target's, in order of their names (``'grow'``;
+    ``plans.growing`` keeps such a target). ``max_categories`` bounds those
+    new columns.
     """
     domain = [c for c in target.columns if c not in events.columns]
     fresh = events.join(target.select("id"), "id", "left_anti")
-    if on_new_category == "error":
-        rows = _category_rows(bridge, categories).join(fresh.select("id"), "id", "left_semi")
-        drift = category_drift(rows, domain).where(F.col("direction") == "not_in_target")
+    rows = _category_rows(bridge, categories).join(fresh.select("id"), "id", "left_semi")
+    drift = category_drift(rows, domain).where(F.col("direction") == "not_in_target")
+    if on_new_category == "grow":
+        domain += category_domain(drift, "Category", max_categories)
+    elif on_new_category == "error":
         # one row: how many, and the first few names for the message
         found = drift.agg(F.count(F.lit(1)).alias("n"), F.min("Category").alias("first"),
                           F.max("Category").alias("last")).first()

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.functions import code_maps as cm
-from ledgerloom.functions.exprs import ntz, to_local
+from ledgerloom.functions.exprs import ntz, to_local, to_utc, to_utc_later
 
 
 def _keys(key) -> list[str]:
@@ -64,6 +64,27 @@ def changed_since(source: DataFrame, column: str, mark, *, inclusive: bool = Fal
     return source.where(c >= lit if inclusive else c > lit)
 
 
+def changed_since_utc(source: DataFrame, column: str, mark, *, zone: str = cm.LEGACY_ZONE) -> DataFrame:
+    """J21 with a mark in UTC: rows whose wall-clock ``column`` may lie after it.
+
+    A wall-clock time inside the autumn overlap stands for two instants; a row
+    counts as changed when the later one is after the mark, so that a mark
+    inside the overlap skips nothing (rows read twice are replaced by key). The
+    mark (a datetime or text) crosses as two literals: the local time from
+    which on rows can qualify, which reaches the scan, and the mark itself for
+    the exact test above it. The bound is the mark's own local time, or where
+    the mark lies in the first pass of the overlap, the full hour at which the
+    second pass begins.
+    """
+    utc = ntz(mark)
+    local = to_local(utc, zone)
+    at = dt.datetime.fromisoformat(str(mark)).replace(tzinfo=None)
+    turn = ntz(at.replace(minute=0, second=0, microsecond=0) + dt.timedelta(hours=1))
+    twice = (to_utc(local, zone) == utc) & (to_utc_later(local, zone) > utc)
+    bound = source.sparkSession.range(1).select(F.when(twice, to_local(turn, zone)).otherwise(local).alias("m")).first()["m"]
+    return source.where((F.col(column) >= ntz(bound)) & (to_utc_later(column, zone) > utc))
+
+
 def replace_changed(target: DataFrame, rows: DataFrame, *, key, changed_keys: DataFrame | None = None,
                     literal: bool = False) -> tuple[DataFrame, DataFrame]:
     """Merge re-derived ``rows`` into ``target`` by key.

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions import code_maps as cm
 from ledgerloom.functions.exprs import month_end, ntz, person_ok, try_bigint
+from ledgerloom.functions.joins import text_join
 from ledgerloom.functions.ranking import HOT_GROUP_ROWS, hot_keys, rank_in_groups
 from ledgerloom.session import materialize
 
@@ -75,17 +76,23 @@ def qualify_accounts(master: DataFrame, cards: DataFrame, balances: DataFrame,
 
 def append_related(selected: DataFrame, master: DataFrame, *, person: str = "ssn",
                    type_col: str = "AccountTypeId", type_value=2, key: str = "entryid",
-                   seed: DataFrame | None = None) -> DataFrame:
+                   seed: DataFrame | None = None, as_text: bool = False, fold: bool = False) -> DataFrame:
     """Add the ``type_value`` accounts of every person in ``seed``.
 
+    ``as_text``: persons are the same when they differ in trailing blanks only
+    (``fold``: or in letter case), as the legacy server compares text.
+
     ``seed`` defaults to ``selected``. Persons are taken distinct before the
     semi join, and the result is deduplicated on ``key`` (a related account
     that already qualified is not added twice).
     """
     persons = (seed if seed is not None else selected).select(person).distinct()
-    related = (master.where(F.col(type_col) == F.lit(type_value))
-               .join(persons, person, "left_semi")
-               .join(selected.select(key), key, "left_anti"))
+    related = master.where(F.col(type_col) == F.lit(type_value))
+    if as_text or fold:
+        related = text_join(related, persons, (person, person), "left_semi", fold=fold)
+    else:
+        related = related.join(persons, person, "left_semi")
+    related = related.join(selected.select(key), key, "left_anti")
     return selected.unionByName(related.select(*selected.columns))
 
 

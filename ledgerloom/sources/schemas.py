@@ -105,6 +105,18 @@ DECLARED_KEYS = {"master": "entryid", "cards": "cardid", "fee_plans": "FeePlanCh
                  "states": "id", "card_requests": "CardRequestID"}
 
 
+# Keys of the targets, and the references between them: (child, column, parent, key).
+TARGET_KEYS = {"Cardholders": "Id", "Accounts": "Id", "AccountBalances": "Id", "Cards": "Id", "CardNumbers": "Id",
+               "CardCreationHistories": "Id", "DDID_Lookup": "entryid"}
+TARGET_REFERENCES = [
+    ("Accounts", "AccountBalance_Id", "AccountBalances", "Id"), ("AccountBalances", "Id", "Accounts", "Id"),
+    ("AccountCardholders", "Account_id", "Accounts", "Id"), ("AccountCardholders", "Cardholder_id", "Cardholders", "Id"),
+    ("Addresses", "CardHolder_Id", "Cardholders", "Id"), ("Emails", "CardHolder_Id", "Cardholders", "Id"),
+    ("Phones", "CardHolder_Id", "Cardholders", "Id"), ("Cards", "Account_Id", "Accounts", "Id"),
+    ("Cards", "CardHolder_Id", "Cardholders", "Id"), ("Cards", "CardNumber_Id", "CardNumbers", "Id"),
+]
+
+
 def conform(df: DataFrame, ddl: str, *, allow_missing: bool = False, on_bad: str = "fail") -> DataFrame:
     """Select and cast ``df`` to a declared schema by column name.
 
