@@ -4,7 +4,8 @@ Method: records are grouped into independent Zstandard frames, frames into
 bundles of bounded size. A bundle ends with the seek table of the seekable
 Zstandard format: a skippable frame that lists every frame's compressed and
 decompressed size. A record's place is its frame and the offset inside the
-decompressed frame, so one record needs one frame.
+decompressed frame, so one record needs one frame. An index of these places,
+by record identifier, lies beside the bundles, and records are read through it.
 
 Bundles are files that Spark writes and commits, in any file system it knows:
 a bundle is a row of the text writer, one row to a file, and the "line
@@ -18,6 +19,7 @@ import hashlib
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 import zstandard
@@ -37,6 +39,8 @@ ENTRY = struct.Struct("<II")  # compressed, decompressed size
 FRAME_BYTES, BUNDLE_BYTES = 256 << 10, 8 << 20
 #: Payloads of fewer bytes are always stored in full.
 LEAST_REVISIT_BYTES = 1_000
+#: A look-up whose records lie in at most so many bundles opens those alone.
+MOST_NAMED = 10_000
 EPOCH = "1970-01-01T00:00:00Z"
 
 
@@ -53,9 +57,10 @@ def record(kind: str, record_id: str, url: str, payload: bytes, digest: str, pay
     return "\r\n".join(head).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
-def parse(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
-    """Offset, headers and payload of each record of a decompressed frame."""
-    at = 0
+def parse(data: bytes, at: int = 0) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """Offset, headers and payload of each record of a decompressed frame, from
+    offset ``at`` on. A response whose payload has another digest than it
+    states is an error."""
     while at < len(data):
         end = data.index(b"\r\n\r\n", at)
         version, *lines = data[at:end].decode().split("\r\n")
@@ -66,7 +71,10 @@ def parse(data: bytes) -> Iterator[tuple[int, dict[str, str], bytes]]:
         stop = body + int(head["Content-Length"])
         if data[stop:stop + 4] != b"\r\n\r\n":
             raise ValueError(f"record at offset {at} has another length than it states")
-        yield at, head, data[body:stop]
+        found = data[body:stop]
+        if head["WARC-Type"] == "response" and hashlib.sha1(found).hexdigest() != head["WARC-Payload-Digest"].removeprefix("sha1:"):
+            raise ValueError(f"payload of {head['WARC-Record-ID']} has another digest than it states")
+        yield at, head, found
         at = stop + 4
 
 
@@ -141,7 +149,8 @@ def with_revisits(pages: DataFrame) -> DataFrame:
 
 def write(pages: DataFrame, path: str, level: int = 3, id_column: str = "page_id", url_column: str = "url",
           html_column: str = "html", frame_bytes: int = FRAME_BYTES, bundle_bytes: int = BUNDLE_BYTES) -> None:
-    """Write every row as a record, in bundles below ``path``.
+    """Write every row as a record, in ``path``/bundles, and the index of their
+    places in ``path``/index.
 
     The payload is the html in UTF-8 (null: empty). Of records with equal
     payloads of at least ``LEAST_REVISIT_BYTES`` bytes the one with the
@@ -149,7 +158,10 @@ def write(pages: DataFrame, path: str, level: int = 3, id_column: str = "page_id
     (rows that repeat an id with it are responses too); all other records are
     responses. A null id is kept as an empty identifier, a null url as an
     empty target. Line ends in a url become spaces. Long pages make long
-    frames. No rows give no bundle.
+    frames. No rows give no bundle. The index is taken from the bundles as
+    written, so writing fails if one does not read back. Its columns: id,
+    bundle (file name), frame, frame_offset, frame_bytes and offset (inside the
+    decompressed frame); an id stands once for each of its records.
     """
     rows = with_revisits(pick(pages, id=id_column, url=url_column, html=html_column))
     rows = rows.select(F.col("id").cast("string").alias("id"), "url", "digest", "payload_bytes",
@@ -182,53 +194,89 @@ def write(pages: DataFrame, path: str, level: int = 3, id_column: str = "page_id
     # the text writer adds the separator to each row: here the seek table's last four bytes
     (rows.mapInArrow(run, "archive binary").select(F.col("archive").cast("string").alias("value"))
      .write.option("encoding", "ISO-8859-1").option("lineSep", SEEKABLE_MAGIC.decode("ISO-8859-1"))
-     .option("compression", "none").option("maxRecordsPerFile", 1).mode("errorifexists").text(path))
+     .option("compression", "none").option("maxRecordsPerFile", 1).mode("errorifexists").text(f"{path}/bundles"))
+    spark = pages.sparkSession
+    _places(_bundles(spark, f"{path}/bundles")).write.mode("errorifexists").parquet(f"{path}/index")
 
 
-def read_records(spark: SparkSession, path: str, with_payload: bool = True) -> DataFrame:
-    """Every record of the bundles below ``path`` with its place.
+INDEX = "id string, bundle string, frame int, frame_offset bigint, frame_bytes bigint, offset bigint"
+
+
+def _bundles(spark: SparkSession, *paths: str) -> DataFrame:
+    files = spark.read.format("binaryFile").load(list(paths))
+    return files.select(F.substring_index("path", "/", -1).alias("bundle"), "content")
 
-    Returns id, url, record_type, refers_to, payload_digest and payload_bytes
-    as the record states them, payload (binary; null without
-    ``with_payload``), sha1 (of the payload read),
-    bundle (file), frame, frame_offset, frame_bytes and offset (inside the
-    decompressed frame).
-    """
+
+def _places(bundles: DataFrame) -> DataFrame:
+    """Where each record of the bundles lies (``INDEX``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload", "sha1",
-                 "bundle", "frame", "frame_offset", "frame_bytes", "offset"]
-        kinds = [pa.string()] * 5 + [pa.int64(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int64(),
-                                     pa.int64(), pa.int64()]
         for batch in batches:
             for r in range(batch.num_rows):
-                file, archive = batch.column("path")[r].as_py(), batch.column("content")[r].as_py()
+                file, archive = batch.column("bundle")[r].as_py(), batch.column("content")[r].as_py()
                 for k, (offset, packed, plain) in enumerate(seek_table(archive)):
-                    rows = []
-                    for at, head, body in parse(read_frame(archive, offset, packed, plain)):
-                        refers = head.get("WARC-Refers-To")
-                        rows.append((head["X-Page-ID"] or None, head["WARC-Target-URI"], head["WARC-Type"],
-                                     refers[len("<urn:page:"):-1] if refers else None,
-                                     head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"]),
-                                     body if with_payload else None, hashlib.sha1(body).hexdigest(), file, k, offset,
-                                     packed, at))
+                    places = [(head["X-Page-ID"] or None, at) for at, head, _ in parse(read_frame(archive, offset, packed, plain))]
+                    n = len(places)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+                        [pa.array([p[0] for p in places], pa.string()), pa.array([file] * n), pa.array([k] * n, pa.int32()),
+                         pa.array([offset] * n, pa.int64()), pa.array([packed] * n, pa.int64()), pa.array([p[1] for p in places], pa.int64())],
+                        names=["id", "bundle", "frame", "frame_offset", "frame_bytes", "offset"])
 
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path", "content")
-    return files.mapInArrow(run, "id string, url string, record_type string, refers_to string, payload_digest string, "
-                                 "payload_bytes bigint, payload binary, sha1 string, bundle string, frame int, "
-                                 "frame_offset bigint, frame_bytes bigint, offset bigint")
+    return bundles.mapInArrow(run, INDEX)
 
 
-def index(records: DataFrame) -> DataFrame:
+def index(spark: SparkSession, path: str) -> DataFrame:
     """Where each identifier lies: bundle, frame and the offset inside it."""
-    return records.select("id", "bundle", "frame", "frame_offset", "frame_bytes", "offset")
+    return spark.read.schema(INDEX).parquet(f"{path}/index")
+
+
+def read_records(spark: SparkSession, path: str, with_payload: bool = True, ids: DataFrame | None = None) -> DataFrame:
+    """The records below ``path`` by their index entries: all, or those whose
+    id is in ``ids`` (its first column; null finds records without an id).
+
+    Only frames that hold a wanted record are decompressed, each once, and for
+    records in few bundles only those are opened. Returns id, url, record_type,
+    refers_to, payload_digest and payload_bytes as the record states them,
+    payload (binary; null without ``with_payload``), sha1 (of the payload
+    read), bundle, frame and offset. A damaged frame or payload fails the job.
+    """
+    entries, opened = index(spark, path), [f"{path}/bundles"]
+    if ids is not None:
+        wanted = ids.select(F.col(ids.columns[0]).cast("string").alias("_id")).distinct()
+        entries = entries.join(wanted, F.col("id").eqNullSafe(F.col("_id")), "left_semi")
+        named = [r["bundle"] for r in entries.select("bundle").distinct().limit(MOST_NAMED + 1).collect()]
+        if len(named) <= MOST_NAMED:
+            opened = [f"{path}/bundles/{n}" for n in named] or opened
+    # no more than one bundle's records to a row
+    places = entries.groupBy("bundle").agg(F.sort_array(F.collect_list(F.struct("frame", "offset"))).alias("places"))
+    names = ["id", "url", "record_type", "refers_to", "payload_digest", "payload_bytes", "payload", "sha1", "bundle", "frame", "offset"]
+    kinds = [pa.string()] * 5 + [pa.int64(), pa.binary(), pa.string(), pa.string(), pa.int32(), pa.int64()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in range(batch.num_rows):
+                file, archive = batch.column("bundle")[r].as_py(), batch.column("content")[r].as_py()
+                table, wanted = seek_table(archive), batch.column("places")[r].values
+                for k, group in groupby(zip(wanted.field("frame").to_pylist(), wanted.field("offset").to_pylist()), key=lambda p: p[0]):
+                    plain, rows = read_frame(archive, *table[k]), []
+                    for _, at in group:
+                        _, head, body = next(parse(plain, at))
+                        refers = head.get("WARC-Refers-To")
+                        rows.append((head["X-Page-ID"] or None, head["WARC-Target-URI"], head["WARC-Type"],
+                                     refers[len("<urn:page:"):-1] if refers else None,
+                                     head["WARC-Payload-Digest"].removeprefix("sha1:"), int(head["X-Payload-Length"]),
+                                     body if with_payload else None, hashlib.sha1(body).hexdigest(), file, k, at))
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names=names)
+
+    # the places are hashed: the bundles are not sorted
+    held = _bundles(spark, *opened).join(places.hint("shuffle_hash"), "bundle").select("bundle", "content", "places")
+    return held.mapInArrow(run, "id string, url string, record_type string, refers_to string, payload_digest string, "
+                                "payload_bytes bigint, payload binary, sha1 string, bundle string, frame int, offset bigint")
 
 
 def lookup(archive: bytes, frame: int, offset: int) -> tuple[dict[str, str], bytes]:
     """Headers and payload of one record of a bundle, by its index entry; only
     the record's frame is decompressed."""
     plain = read_frame(archive, *seek_table(archive)[frame])
-    _, head, body = next(parse(plain[offset:]))
+    _, head, body = next(parse(plain, offset))
     return head, body

@@ -40,13 +40,15 @@ def test_round_trip(written):
 
 def test_bundles_are_seekable(spark, written):
     _, path, records = written
-    files = {r["path"]: bytes(r["content"]) for r in spark.read.format("binaryFile").load(path).collect()}
+    files = {r["path"].rsplit("/", 1)[1]: bytes(r["content"]) for r in spark.read.format("binaryFile").load(f"{path}/bundles").collect()}
     assert len(files) > 3
     for archive in files.values():
         table = warc.seek_table(archive)
         whole = zstandard.ZstdDecompressor().stream_reader(archive, read_across_frames=True).read()
         assert whole == b"".join(warc.read_frame(archive, *entry) for entry in table)
-    for r in warc.index(records).collect():
+    entries = warc.index(spark, path).collect()
+    assert len(entries) == records.count()
+    for r in entries:
         head, _ = warc.lookup(files[r["bundle"]], r["frame"], r["offset"])
         assert head["X-Page-ID"] == (r["id"] or "")
 
@@ -78,3 +80,29 @@ def test_an_id_with_two_payloads_keeps_both(spark):
     assert sorted((r["id"], r["payload_digest"], r["refers_to"] or "", bytes(r["payload"]).decode()) for r in got) == sorted([
         ("1", sha(BIG), "9", ""), ("1", sha(other), "", other), ("9", sha(BIG), "", BIG), ("2", sha(BIG), "9", ""),
         ("2", sha(copied), "8", ""), ("8", sha(copied), "", copied), ("3", sha(BIG), "9", ""), ("3", sha(BIG), "9", "")])
+
+
+def test_records_are_found_by_id(spark, written):
+    rows, path, records = written
+    ids = spark.createDataFrame([("102",), ("1",), (None,), ("nowhere",), ("102",)], "id string")
+    got = {r["id"]: bytes(r["payload"]) for r in warc.read_records(spark, path, ids=ids).collect()}
+    assert got == {"102": b"<p>page 2</p>" * 200, "1": b"", None: BIG.encode()}
+    assert warc.read_records(spark, path, ids=ids.where("id = 'nowhere'")).collect() == []
+    everything = warc.read_records(spark, path, ids=records.select("id"))
+    assert everything.count() == len(rows)
+    opened = {r["bundle"] for r in warc.read_records(spark, path, ids=ids.where("id = '102'")).collect()}
+    assert len(opened) == 1
+
+
+def test_a_look_up_over_many_bundles_joins_them_all(spark, written, monkeypatch):
+    rows, path, records = written
+    monkeypatch.setattr(warc, "MOST_NAMED", 1)
+    assert warc.read_records(spark, path, ids=records.select("id")).count() == len(rows)
+
+
+def test_a_payload_of_another_digest_is_reported():
+    good = warc.record("response", "1", "u", b"body", hashlib.sha1(b"body").hexdigest(), 4)
+    assert [p for _, _, p in warc.parse(good)] == [b"body"]
+    with pytest.raises(ValueError, match="another digest"):
+        list(warc.parse(good.replace(b"body", b"bodY")))
+    assert list(warc.parse(warc.record("revisit", "1", "u", b"", hashlib.sha1(b"body").hexdigest(), 4, "2")))
