@@ -33,6 +33,8 @@ SAMPLE_ROWS = 20_000
 CELL_ROWS, MOST_CODES = 128, 256
 #: Rows (about) of either side of a block.
 BLOCK_ROWS = 2_048
+#: Numbers (about) that ranking the cells of sampled rows holds at a time.
+RANKED = 1 << 22
 #: Share of the sample's hardest partners (at the very threshold, in any
 #: direction) that traversal must find.
 TARGET_RECALL = 0.98
@@ -109,10 +111,15 @@ class Index:
     def rank(self, rows: np.ndarray, partners: np.ndarray) -> np.ndarray:
         """How many cells a row visits before its partner's cell."""
         one, two = self.grid(rows)
-        sums = (one[:, :, None] + two[:, None, :]).reshape(len(rows), -1)
-        x, y = self.grid(partners)
-        cell = x.argmin(axis=1) * self.codes + y.argmin(axis=1)
-        return (sums < sums[np.arange(len(rows)), cell][:, None]).sum(axis=1)
+        x, y = [side.argmin(axis=1) for side in self.grid(partners)]
+        every = np.arange(len(rows))
+        least = one[every, x] + two[every, y]
+        # a slice of rows at a time: the grid of cells may be large
+        out, step = np.empty(len(rows), dtype=np.int64), max(1, RANKED // self.codes**2)
+        for k in range(0, len(rows), step):
+            at = slice(k, k + step)
+            out[at] = ((one[at, :, None] + two[at, None, :]) < least[at, None, None]).sum(axis=(1, 2))
+        return out
 
     def cells(self, rows: np.ndarray) -> list[list[int]]:
         """The cells that each row visits, its own first."""

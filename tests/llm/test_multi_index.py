@@ -71,3 +71,17 @@ def test_multi_sequence_gives_cells_by_distance():
 
 def test_empty_table(spark):
     assert run(spark, []) == [] and run(spark, [(1, None, 2)]) == [(1, 0, 1, True)]
+
+
+def test_ranks_in_slices_equal_whole_ones(monkeypatch):
+    rng = np.random.default_rng(3)
+    index = multi_index.Index(rng.normal(size=(400, 8)), 12, 0.93, 0.9)
+    rows, partners = rng.normal(size=(100, 8)), rng.normal(size=(100, 8))
+    want = []
+    for row, partner in zip(rows, partners):
+        (one, two), (x, y) = index.grid(row[None]), index.grid(partner[None])
+        sums = one[0][:, None] + two[0][None, :]
+        want.append(int((sums < sums[x[0].argmin(), y[0].argmin()]).sum()))
+    for held in (1 << 22, 300, 1):
+        monkeypatch.setattr(multi_index, "RANKED", held)
+        assert index.rank(rows, partners).tolist() == want
