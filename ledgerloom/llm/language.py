@@ -127,8 +127,9 @@ def fit(rows: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Trigrams:
     if not languages:
         none = np.zeros(0, dtype=np.int64)
         return Trigrams([], none, none, none)
-    taken = found.select("declared", (F.least(F.lit(1.0), F.lit(float(sample_rows)) / F.col("count")) * 1_000_000).alias("below"))
-    sample = known.join(F.broadcast(taken), "declared").where(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < F.col("below"))
+    # each language's share of all 64-bit values, in a table of any size
+    taken = found.select("declared", (F.lit(float(sample_rows)) / F.col("count") * 2.0**64 - 2.0**63).alias("below"))
+    sample = known.join(F.broadcast(taken), "declared").where(F.xxhash64("key").cast("double") <= F.col("below"))
     place = {x: i for i, x in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +201,8 @@ def identify(df: DataFrame, text_column: str, declared: Column, address: Column,
     no language is known at all), confidence (its share of the posterior),
     gain (nats per trigram over chance) and accepted, a row for each input
     row. Missing evidence says nothing. A null, empty or letterless text has
-    gain 0 and is not accepted. Rows that repeat count each. Tables without
+    gain 0 and is not accepted. Of languages with equal posteriors the first by
+    name is taken. Rows that repeat count each. Tables without
     rows give no rows. Texts are read whole.
     """
     held = [f"keep_{i}" for i in range(len(keep))]

@@ -1,5 +1,9 @@
 """Language identification: each kind of evidence, odd rows."""
 
+import math
+import re
+from collections import Counter
+
 from pyspark.sql import functions as F
 
 from helpers import documents
@@ -102,3 +106,53 @@ def test_a_rare_language_is_fitted_on_all_its_texts(spark):
     whole, part = language.fit(frame), language.fit(frame, 30)
     of = lambda m: m.missing[m.languages.index("fr")]
     assert of(part) == of(whole) and part.missing[0] > whole.missing[0]
+
+
+def by_hand(rows):
+    """(lang, confidence, gain) of each (declares, text, host), in plain Python."""
+    def grams(text):
+        kept = "".join(c.lower() if c.isascii() and c.isalpha() else c if not c.isascii() else " " for c in text)
+        data = re.sub(rb" +", b" ", b" " + kept.encode() + b" ")
+        return [((data[i] << 16 | data[i + 1] << 8 | data[i + 2]) * 2654435761 % 2**32) >> 15 for i in range(len(data) - 2)]
+
+    def normal(values):
+        return [v / sum(values) for v in values]
+
+    def softmax(logs):
+        return normal([math.exp(x - max(logs)) for x in logs])
+
+    declared = Counter(d for d, t, _ in rows if d and t is not None)
+    languages = sorted(x for x, n in declared.items() if n >= 2)
+    counts = {x: Counter(g for d, t, _ in rows if d == x for g in grams(t)) for x in languages}
+    logs, gains, own = [], [], []
+    for _, text, _ in rows:
+        found = grams(text or "")
+        if not found:
+            logs.append([0.0] * len(languages)), gains.append(0.0), own.append([0.0] * len(languages))
+            continue
+        mean = [sum(math.log((counts[x][g] + 0.5) / (sum(counts[x].values()) + 2**16)) for g in found) / len(found) for x in languages]
+        logs.append([m * min(len(found), 40) for m in mean]), gains.append(max(mean) + math.log(2**17)), own.append(softmax(logs[-1]))
+    top = normal([1 + sum(o[k] for o in own) for k in range(len(languages))])
+
+    def smooth(wanted, above):
+        taken = [o for o, r in zip(own, rows) if wanted(r)]
+        return [(sum(o[k] for o in taken) + 20 * a) / (sum(map(sum, taken)) + 20) for k, a in enumerate(above)]
+
+    suffix = lambda host: host.rsplit(".", 1)[1] if host and "." in host else None
+    out = []
+    for (tag, _, host), log, gain in zip(rows, logs, gains):
+        above = smooth(lambda r: suffix(r[2]) == suffix(host), top) if suffix(host) else top
+        prior = smooth(lambda r: r[2] == host, above) if host else top
+        says = [s / t for s, t in zip(smooth(lambda r: r[0] == tag, top), top)] if tag else [1.0] * len(top)
+        posterior = softmax([x + math.log(p) + math.log(s) for x, p, s in zip(log, prior, says)])
+        out.append((languages[posterior.index(max(posterior))], max(posterior), gain))
+    return out
+
+
+def test_posteriors_equal_those_by_hand(spark):
+    rows = [*texts(12), ("de", WORDS["fr"], "www.site-fr.fr"), (None, "Le chat, 12 - la MAISON!", "new.fr"), ("xx", "été là ça", None),
+            ("fr", "", "www.site-de.de"), (None, None, "archive"), ("en", "123 ...", None), (None, "der the le", "new.site-de.de"), *texts(1)]
+    got, want = identify(spark, rows), by_hand(rows)
+    for i, (best, confidence, gain) in enumerate(want):
+        assert got[i][5] == best and abs(got[i][6] - confidence) < 1e-4 and abs(got[i][7] - gain) < 1e-4, (i, rows[i], got[i], want[i])
+        assert got[i][8] == (got[i][6] >= 0.5 and got[i][7] >= 0.5)
