@@ -17,7 +17,9 @@ from ledgerloom.llm.queries import TOKENIZER
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier rejects go."""
+    """Documents that the toxicity classifier rejects go. Null and empty texts
+    are judged as texts without words, repeated rows each alike; null ids teach
+    nothing; an empty table stays empty; further columns stay."""
     ship(spark)
     return toxicity.keep_clean(docs, read(spark, sf_dir, "labels"))
 
@@ -33,7 +35,8 @@ def with_keys(docs: DataFrame, label: str) -> tuple[DataFrame, str]:
 
 def drop_unknown_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without an identified language go; the others carry the
-    identified one. Every row has its own verdict."""
+    identified one. Every row has its own verdict, repeated ones and those of
+    null ids too; null, empty and letterless texts go."""
     ship(spark)
     keyed, key = with_keys(docs, "documents_to_identify")
     found = language.identify(keyed, "text", F.col("lang"), F.col("source"), keep=(key,)).where("accepted")
@@ -53,13 +56,17 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets in texts are replaced by a mark; all documents stay."""
+    """Secrets in texts are replaced by a mark; all documents stay, repeated
+    rows and null ids too. Null and empty texts stay as they are, and n_chars
+    follows the text (null for a null one)."""
     ship(spark)
     return secret_scan.redact(docs).withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The remaining documents as sequences of 1024 tokens, a row per piece."""
+    """The remaining documents as sequences of 1024 tokens, a row per piece. A
+    null or empty text is its end id alone; repeated rows are packed each; a
+    null id stays null; an empty table gives no pieces."""
     ship(spark)
     return packing.pack(docs, TOKENIZER, capacity=1024, end_id=0)
 
