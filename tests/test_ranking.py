@@ -48,3 +48,29 @@ def test_auto_splits_hot_keys_only(spark, skewed, method):
     a = rank_in_groups(skewed, ["k"], order, "r", method=method, hot_group_rows=5000)
     b = rank_in_groups(skewed, ["k"], order, "r", method=method, strategy="window")
     assert sorted(a.collect(), key=repr) == sorted(b.collect(), key=repr)
+
+
+def test_a_low_threshold_makes_no_more_partitions(spark, monkeypatch):
+    """More hot keys than are collected, of few rows each: they come as a
+    table, and the range plan keeps to the session's partitions."""
+    from pyspark.sql import DataFrame
+
+    from ledgerloom.functions import ranking
+    df = spark.range(21000).select((F.col("id") % 10500).alias("k"), F.col("id").alias("v"))
+    df = df.unionByName(spark.createDataFrame([(None, 1), (None, 2), (-1, 5)], "k long, v long"))
+    assert isinstance(ranking.hot_keys(df, ["k"], 1), DataFrame)
+    used, plan = [], ranking._range_row_number
+    monkeypatch.setattr(ranking, "_range_row_number", lambda d, keys, order, out, n, *more: (
+        used.append((n, d.count())), plan(d, keys, order, out, n, *more))[1])
+    got = rank_in_groups(df, ["k"], [("v", True)], "r", hot_group_rows=1)
+    assert used == [(8, 21002)]  # the key of one row takes the window
+    want = rank_in_groups(df, ["k"], [("v", True)], "r", strategy="window")
+    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def test_ranks_are_taken_together(spark, skewed):
+    from ledgerloom.functions.ranking import ranks_in_groups
+    orders = {"a": [("v", True)], "b": [("w", False)]}
+    got, want = (ranks_in_groups(skewed, ["k"], orders, method="dense_rank", **more)
+                 for more in ({"hot_group_rows": 5000}, {"strategy": "window"}))
+    assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
