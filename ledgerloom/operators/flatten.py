@@ -107,11 +107,23 @@ def _long(rows: DataFrame, id: str, category: str) -> DataFrame:
     return rows.groupBy(id, category).agg(F.count(F.lit(1)).alias("_ll_n"))
 
 
-def _wide(long: DataFrame, domain, id: str, category: str) -> DataFrame:
+#: Bytes of wide rows that one task of the pivot aggregates, at most.
+TASK_BYTES = 128 << 20
+
+
+def _wide(long: DataFrame, domain, id: str, category: str, pairs: int) -> DataFrame:
     """``id`` + one bigint count per domain value (0 when absent), from the
     counted pairs: one aggregate and one shuffle on ``id`` for a list of any
-    width (a collated category is matched as it was grouped)."""
+    width (a collated category is matched as it was grouped).
+
+    ``pairs``: how many there are at most. The pairs are narrow and the rows
+    made of them are wide, so the partitions are numbered by the latter: a
+    task holds ``TASK_BYTES`` of them (ids of many pairs less).
+    """
     c = F.col(category)
+    n = -(-pairs * 8 * (len(domain) + 1) // TASK_BYTES)
+    if n > 1:
+        long = long.repartition(n, id)
     return long.groupBy(id).agg(*[
         F.coalesce(F.sum(F.when(c == F.lit(v), F.col("_ll_n"))), F.lit(0)).cast("bigint").alias(v)
         for v in domain])
@@ -122,16 +134,15 @@ def category_pivot(expanded: DataFrame, domain=None, *, id: str = "id", category
     """One row per id, one bigint count per category value.
 
     Pairs (id, category) are counted map-side, so a hot id is small before it
-    is shuffled. Without ``domain`` the counted pairs are written once: the
-    list and the pivot are both taken from them.
+    is shuffled. The counted pairs are written once: their number, the list
+    (without ``domain``) and the pivot are taken from them.
     """
-    long = _long(expanded, id, category)
+    long = materialize(_long(expanded, id, category), "category_counts")
     if domain is None:
-        long = materialize(long, "category_counts")
         domain = category_domain(long, category, max_categories)
     if not domain:
         return expanded.select(id).where(F.lit(False))
-    return _wide(long, domain, id, category)
+    return _wide(long, domain, id, category, long.count())
 
 
 def category_counts_long(events: DataFrame, bridge: DataFrame, categories: DataFrame, *,
@@ -164,7 +175,7 @@ def category_counts(events: DataFrame, bridge: DataFrame, categories: DataFrame,
         domain = category_domain(long, "Category", max_categories)
     if not domain:
         return events.select("id").where(F.lit(False))
-    return _wide(long, domain, "id", "Category")
+    return _wide(long, domain, "id", "Category", bridge.count())
 
 
 def category_flatten(events: DataFrame, bridge: DataFrame, categories: DataFrame,
@@ -194,7 +205,7 @@ def category_flatten(events: DataFrame, bridge: DataFrame, categories: DataFrame
     if not domain:
         return events.where(F.lit(False))
     left = events.join(rows.select("id"), "id") if literal else events
-    return left.join(_wide(counted, domain, "id", "Category"), "id").select(
+    return left.join(_wide(counted, domain, "id", "Category", bridge.count()), "id").select(
         *[F.col(quote(c)) for c in event_cols], *[F.col(quote(v)) for v in domain])
 
 
