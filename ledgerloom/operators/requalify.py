@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.functions.exprs import month_end, ntz
 from ledgerloom.operators import qualify
-from ledgerloom.operators.feed import change_feed
+from ledgerloom.operators.feed import changed_keys
 from ledgerloom.session import materialize
 
 RELATED_TYPE = 2
@@ -48,10 +48,10 @@ def source_changes(before: dict[str, DataFrame], after: dict[str, DataFrame]) ->
     feeds: master (entryid), cards (holders, old and new), balances (provider
     accounts), goals (goal and paid accounts, old and new)."""
     def rows(role: str, key: str) -> DataFrame:
-        changed = change_feed(before[role], after[role], key).select(key)
+        changed = materialize(changed_keys(before[role], after[role], key), f"changed_keys_{role}")
         return before[role].join(changed, key, "left_semi").unionByName(after[role].join(changed, key, "left_semi"))
 
-    out = {"master": change_feed(before["master"], after["master"], "entryid").select("entryid"),
+    out = {"master": changed_keys(before["master"], after["master"], "entryid"),
            "cards": rows("cards", "cardid").select("cardholderid"),
            "balances": rows("balances", "TransactionID").select("UserAccountID")}
     if "goals" in after:
