@@ -79,7 +79,7 @@ def usage_rerank(stored: DataFrame, before: tuple[DataFrame, DataFrame, DataFram
     ``before``. Uses are counted for the ids of changed entries alone."""
     master, child, usage = after
     groups = materialize(changed_entries(before, after, key=key, id=id, account=account), "changed_entries")
-    rows = of_groups(child, KEY, groups)
+    rows = materialize(of_groups(child, KEY, groups), "changed_ids")  # counted, joined and ranked below
     uses = usage.join(rows.select(F.col(id).alias("_used")).distinct(), F.col(account) == F.col("_used"), "left_semi")
     fresh = usage_rank(of_groups(master, key, groups), rows, uses, key=key, **ranking)
     return replace_groups(stored, fresh, KEY, groups)
