@@ -12,6 +12,7 @@ The oracles nest the first run's SQL, over its own ``orders`` and
 from __future__ import annotations
 
 import uuid
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -40,9 +41,11 @@ def second_run(spark: SparkSession, sf_dir: str, output: str, late: str = "load"
     root = f"{runs.default_root(spark)}/{uuid.uuid4().hex}"
     if _STATE[output]:
         conversion.commit_run(spark, A.conversion_inputs(A.FirstSnapshot(spark, sf_dir)), root, exp_date=A.EXP_DATE,
-                              as_of=A.FIRST_AS_OF, run_id=FIRST, late=late, only=_STATE[output], buckets=buckets)
+                              as_of=A.FIRST_AS_OF, run_id=FIRST, late=late, only=_STATE[output], buckets=buckets,
+                              master_among=partial(A.accounts_master, A.FirstSnapshot(spark, sf_dir)))
     conversion.commit_run(spark, A.conversion_inputs(A.SecondSnapshot(spark, sf_dir)), root, exp_date=A.SECOND_EXP_DATE,
-                          as_of=A.AS_OF, run_id=SECOND, late=late, only=(output,), buckets=buckets)
+                          as_of=A.AS_OF, run_id=SECOND, late=late, only=(output,), buckets=buckets,
+                          master_among=partial(A.accounts_master, A.SecondSnapshot(spark, sf_dir)))
     if buckets:
         return BucketedTable(spark, root, output, TARGET_SCHEMAS[output], conversion.BUCKET_KEYS[output], buckets).read(SECOND)
     return runs.read_run(spark, root, output, SECOND)
@@ -53,9 +56,11 @@ def second_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = f"{runs.default_root(spark)}/{uuid.uuid4().hex}"
     conversion.commit_run(spark, A.conversion_inputs(A.FirstSnapshot(spark, sf_dir)), root, exp_date=A.EXP_DATE,
                           as_of=A.FIRST_AS_OF, run_id=FIRST,
-                          only=(*conversion.TARGETS, "QualifyingAccounts", "DDID_Lookup"))
+                          only=(*conversion.TARGETS, "QualifyingAccounts", "DDID_Lookup"),
+                          master_among=partial(A.accounts_master, A.FirstSnapshot(spark, sf_dir)))
     _, report = conversion.commit_run(spark, A.conversion_inputs(A.SecondSnapshot(spark, sf_dir)), root,
-                                      exp_date=A.SECOND_EXP_DATE, as_of=A.AS_OF, run_id=SECOND)
+                                      exp_date=A.SECOND_EXP_DATE, as_of=A.AS_OF, run_id=SECOND,
+                                      master_among=partial(A.accounts_master, A.SecondSnapshot(spark, sf_dir)))
     return report.where(report["step"].isin(*conversion.STEPS))
 
 
@@ -255,6 +260,8 @@ def requalify(spark, sf_dir):
     """Qualifying accounts of the second snapshot (J13-J15), from the first one's and the changes."""
     before = A.conversion_inputs(A.FirstSnapshot(spark, sf_dir))
     after = A.conversion_inputs(A.SecondSnapshot(spark, sf_dir))
+    for name, inputs in (("before", before), ("after", after)):  # the rules and the comparison read the master several times
+        inputs["master"] = R.materialize(inputs["master"], f"master_{name}")
     state = R.materialize(rq.qualification(before["master"], before["cards"], before["balances"], before["goals"],
                                            exp_date=A.EXP_DATE), "qualification")
     state = rq.requalify(state, after["master"], after["cards"], after["balances"], after["goals"],
