@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators.incremental import append
 from ledgerloom.plans.runs import complete_runs, run_path
-from ledgerloom.session import delete_path
+from ledgerloom.session import COMPACT, delete_path
 
 BUCKET = "bucket"
 
@@ -57,7 +57,7 @@ class BucketedTable:
     def _commit(self, rows: DataFrame, run_id: str, others: dict[int, str]) -> dict[int, str]:
         path = run_path(self.base, "data", run_id)
         (rows.withColumn(BUCKET, self.bucket_of(self.key)).repartition(F.col(BUCKET)).write.mode("overwrite")
-         .partitionBy(BUCKET).parquet(path))
+         .options(**COMPACT).partitionBy(BUCKET).parquet(path))
         jvm = self.spark.sparkContext._jvm
         jpath = jvm.org.apache.hadoop.fs.Path(path)
         fs = jpath.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
