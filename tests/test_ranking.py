@@ -74,3 +74,38 @@ def test_ranks_are_taken_together(spark, skewed):
     got, want = (ranks_in_groups(skewed, ["k"], orders, method="dense_rank", **more)
                  for more in ({"hot_group_rows": 5000}, {"strategy": "window"}))
     assert sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+
+
+def _uneven(spark):
+    """One key of many values and rows, null keys and values, ties, columns that are carried along."""
+    rows = spark.range(20000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN 'hot' WHEN id % 101 = 0 THEN NULL ELSE CONCAT('k', id % 997) END AS k",
+        "CASE WHEN id % 9 <> 0 THEN id * 7919 % 4001 END AS v", "CAST(id AS double) / 3 AS x",
+        "TIMESTAMP_NTZ '2001-01-01' + make_dt_interval(id % 400) AS at", "id")
+    return rows.unionByName(rows.where("id < 3000"))
+
+
+def test_dense_ranks_shuffle_the_rows_once(spark, monkeypatch):
+    """Values are counted where the rows lie: no join back on the values."""
+    from ledgerloom.functions import ranking
+    df, written = _uneven(spark), []
+    monkeypatch.setattr(ranking, "_range_row_number", lambda *a: pytest.fail("rows are joined back"))
+    write = ranking.materialize
+    monkeypatch.setattr(ranking, "materialize", lambda d, label: (written.append(write(d, label)), written[-1])[1])
+    orders = {"a": [("v", True)], "b": [("at", False), ("v", False)]}
+    got, want = (ranking.ranks_in_groups(df, ["k"], orders, method="dense_rank", strategy=s, partitions=11) for s in ("range", "window"))
+    assert got.columns == want.columns and sorted(got.collect(), key=repr) == sorted(want.collect(), key=repr)
+    assert written[0].groupBy("k").agg(F.countDistinct("_ll_pid").alias("n")).where("k = 'hot' AND n > 3").count() == 1
+    assert 0 < written[1].count() < 11 and "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+    none = ranking.ranks_in_groups(df.where("id < 0"), ["k"], orders, method="dense_rank", strategy="range")
+    assert none.columns == want.columns and none.isEmpty()
+
+
+def test_values_that_arrow_compares_otherwise_are_joined_back(spark):
+    """NaN equals NaN, and text with a collation is equal in any case."""
+    rows = [(1, float("nan"), "a"), (1, float("nan"), "A"), (1, 2.0, "b"), (2, None, "B"), (2, -0.0, "b"), (2, 0.0, None)]
+    df = spark.createDataFrame(rows, "k long, v double, t string").withColumn("t", F.collate("t", "UTF8_LCASE"))
+    for order in ([("v", False)], [("t", True)]):
+        got, want = (rank_in_groups(df, ["k"], order, "r", method="dense_rank", strategy=s).selectExpr("k", "v", "CAST(t AS string) t", "r")
+                     for s in ("range", "window"))
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
