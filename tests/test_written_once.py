@@ -59,3 +59,14 @@ def test_entries_of_the_lookup_are_left_out_first(spark, small_dir):
     run = conversion.Conversion(inputs, exp_date=A.EXP_DATE, as_of=A.AS_OF, existing_lookup=existing)
     want = lookup.best_id_lookup(inputs["master"], inputs["deposit_ids"], inputs["deposit_usage"], existing)
     assert rows(run.lookup_added()) == rows(want) != []
+
+
+def test_the_selected_accounts_are_selected_once(spark, monkeypatch):
+    """They are read three times (as they are, their persons, their keys)."""
+    master = spark.createDataFrame([(1, "a", 1), (2, "a", 2), (3, "b", 2), (4, None, 2), (None, "a", 2)], "entryid long, ssn string, AccountTypeId int")
+    written, write = [], qualify.materialize
+    monkeypatch.setattr(qualify, "materialize", lambda df, label: (written.append(label), write(df, label))[1])
+    selected = master.where("entryid = 1").select("entryid", "ssn")
+    got = qualify.append_related(selected, master, write=True)
+    assert written == ["selected_accounts"] and rows(got) == rows(qualify.append_related(selected, master))
+    assert "entryid#" in (plan := got._jdf.queryExecution().optimizedPlan().toString()) and "entryid = 1" not in plan
