@@ -70,3 +70,23 @@ def test_the_selected_accounts_are_selected_once(spark, monkeypatch):
     got = qualify.append_related(selected, master, write=True)
     assert written == ["selected_accounts"] and rows(got) == rows(qualify.append_related(selected, master))
     assert "entryid#" in (plan := got._jdf.queryExecution().optimizedPlan().toString()) and "entryid = 1" not in plan
+
+
+def test_late_cards_are_sought_among_those_of_the_accounts(spark, small_dir):
+    """The wide cards are not shuffled for the late keys or the fee plans; the rows are the same."""
+    import re
+
+    from ledgerloom.operators import loads
+    i = A.conversion_inputs(Tables(spark, small_dir))
+    acc = i["master"].where("entryid % 3 = 0")
+    late = i["cards"].where("cardid % 2 = 0").select("cardid")
+    late = late.unionByName(late.limit(3))
+    tables = [i[n] for n in ("legacy_mapping", "cards", "materials", "plastic_types", "fee_plans", "pin_sets", "status_history")]
+    got = loads.load_cards(acc, *tables, mark="1998-01-01", late=late)
+    whole = loads.load_cards(acc, *tables, mark=None)
+    newer = i["cards"].where("LastUpdateDate > TIMESTAMP_NTZ '1998-01-01' OR cardid % 2 = 0").selectExpr("cardid AS Id")
+    assert rows(got) == rows(whole.join(newer, "Id", "left_semi").select(*whole.columns)) != rows(whole)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    holder = re.search(r"\((?:cardholderid#\w+ = entryid#\w+|entryid#\w+ = cardholderid#\w+)\)", plan).start()
+    fee = re.search(r"LastFeePlanChangeID#\w+ = LastFeePlanChangeID#\w+", plan).start()
+    assert plan.index("_late#") < holder < fee
