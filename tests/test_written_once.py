@@ -90,3 +90,16 @@ def test_late_cards_are_sought_among_those_of_the_accounts(spark, small_dir):
     holder = re.search(r"\((?:cardholderid#\w+ = entryid#\w+|entryid#\w+ = cardholderid#\w+)\)", plan).start()
     fee = re.search(r"LastFeePlanChangeID#\w+ = LastFeePlanChangeID#\w+", plan).start()
     assert plan.index("_late#") < holder < fee
+
+
+def test_loaded_accounts_meet_the_lookup_where_they_met_the_late_keys(spark, small_dir):
+    import re
+
+    from ledgerloom.operators import loads
+    t = Tables(spark, small_dir)
+    i = A.conversion_inputs(t)
+    late = i["master"].where("entryid % 2 = 0").select("entryid")
+    got = loads.load_accounts(i["master"], i["fee_plans"], A.deposit_lookup(t), i["applications"], mark="1998-01-01", late=late)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    fee, deposit, late_keys = (re.search(f"= _{c}#", plan).start() for c in ("fpc", "dd", "late"))
+    assert fee < deposit < late_keys and got.count() > 0
