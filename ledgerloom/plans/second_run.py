@@ -36,16 +36,20 @@ _STATE = {
 }
 
 
+def _commit(snapshot: R.Tables, root: str, **options) -> tuple[str, DataFrame]:
+    """One run over a snapshot."""
+    return conversion.commit_run(snapshot.spark, A.conversion_inputs(snapshot), root, rule_rows=A.rule_rows(snapshot),
+                                 master_among=partial(A.accounts_master, snapshot), **options)
+
+
 def second_run(spark: SparkSession, sf_dir: str, output: str, late: str = "load", buckets: int | None = None) -> DataFrame:
     """One output of the second run, read from its committed directory (or buckets)."""
     root = f"{runs.default_root(spark)}/{uuid.uuid4().hex}"
     if _STATE[output]:
-        conversion.commit_run(spark, A.conversion_inputs(A.FirstSnapshot(spark, sf_dir)), root, exp_date=A.EXP_DATE,
-                              as_of=A.FIRST_AS_OF, run_id=FIRST, late=late, only=_STATE[output], buckets=buckets,
-                              master_among=partial(A.accounts_master, A.FirstSnapshot(spark, sf_dir)))
-    conversion.commit_run(spark, A.conversion_inputs(A.SecondSnapshot(spark, sf_dir)), root, exp_date=A.SECOND_EXP_DATE,
-                          as_of=A.AS_OF, run_id=SECOND, late=late, only=(output,), buckets=buckets,
-                          master_among=partial(A.accounts_master, A.SecondSnapshot(spark, sf_dir)))
+        _commit(A.FirstSnapshot(spark, sf_dir), root, exp_date=A.EXP_DATE, as_of=A.FIRST_AS_OF, run_id=FIRST, late=late,
+                only=_STATE[output], buckets=buckets)
+    _commit(A.SecondSnapshot(spark, sf_dir), root, exp_date=A.SECOND_EXP_DATE, as_of=A.AS_OF, run_id=SECOND, late=late,
+            only=(output,), buckets=buckets)
     if buckets:
         return BucketedTable(spark, root, output, TARGET_SCHEMAS[output], conversion.BUCKET_KEYS[output], buckets).read(SECOND)
     return runs.read_run(spark, root, output, SECOND)
@@ -54,13 +58,9 @@ def second_run(spark: SparkSession, sf_dir: str, output: str, late: str = "load"
 def second_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of every step of the second run."""
     root = f"{runs.default_root(spark)}/{uuid.uuid4().hex}"
-    conversion.commit_run(spark, A.conversion_inputs(A.FirstSnapshot(spark, sf_dir)), root, exp_date=A.EXP_DATE,
-                          as_of=A.FIRST_AS_OF, run_id=FIRST,
-                          only=(*conversion.TARGETS, "QualifyingAccounts", "DDID_Lookup"),
-                          master_among=partial(A.accounts_master, A.FirstSnapshot(spark, sf_dir)))
-    _, report = conversion.commit_run(spark, A.conversion_inputs(A.SecondSnapshot(spark, sf_dir)), root,
-                                      exp_date=A.SECOND_EXP_DATE, as_of=A.AS_OF, run_id=SECOND,
-                                      master_among=partial(A.accounts_master, A.SecondSnapshot(spark, sf_dir)))
+    _commit(A.FirstSnapshot(spark, sf_dir), root, exp_date=A.EXP_DATE, as_of=A.FIRST_AS_OF, run_id=FIRST,
+            only=(*conversion.TARGETS, "QualifyingAccounts", "DDID_Lookup"))
+    _, report = _commit(A.SecondSnapshot(spark, sf_dir), root, exp_date=A.SECOND_EXP_DATE, as_of=A.AS_OF, run_id=SECOND)
     return report.where(report["step"].isin(*conversion.STEPS))
 
 
